@@ -34,11 +34,11 @@ def scan_project(spark, sf):
 # ---------------------------------------------------------------- P2 / P4
 @query("filter_and", """
 SELECT p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, has_recorder
-FROM (SELECT *, p_retailprice > 1000 AS has_recorder FROM part) p
+FROM (SELECT *, p_retailprice > 950 AS has_recorder FROM part) p
 WHERE p_size <= 19 AND has_recorder = TRUE AND p_type <> 'PROMO'""")
 def filter_and(spark, sf):
     t = Tables(spark, sf)
-    p = t.part.withColumn("has_recorder", F.col("p_retailprice") > 1000)
+    p = t.part.withColumn("has_recorder", F.col("p_retailprice") > 950)
     return (p.filter((F.col("p_size") <= 19) & F.col("has_recorder") & (F.col("p_type") != "PROMO"))
             .select("p_name", "p_brand", "p_type", F.col("p_size").cast("bigint").alias("p_size"),
                     "has_recorder")
