@@ -44,6 +44,7 @@ def dsum(expr: str, scale: int = 2) -> str:
 PLAN_MODULES = (
     "star",
     "text_dates",
+    "kpis",
 )
 
 
