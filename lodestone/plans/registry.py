@@ -45,6 +45,8 @@ PLAN_MODULES = (
     "star",
     "text_dates",
     "kpis",
+    "subqueries",
+    "setops",
 )
 
 
