@@ -47,6 +47,7 @@ PLAN_MODULES = (
     "kpis",
     "subqueries",
     "setops",
+    "window_reports",
 )
 
 
