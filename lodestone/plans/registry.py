@@ -48,6 +48,7 @@ PLAN_MODULES = (
     "subqueries",
     "setops",
     "window_reports",
+    "olap",
 )
 
 
