@@ -40,27 +40,31 @@ def hierarchy_paths(nodes: DataFrame, id_col: str = "location_id", parent_col: s
                     sep: str = " > ", indent: str = "  ") -> DataFrame:
     """Expand an adjacency list from its roots (parent NULL).
 
-    Output: id, parent, name, ``level`` (1 = root), ``indented_name``
+    Output: every node column plus ``level`` (1 = root), ``indented_name``
     (name left-padded by ``indent`` per level below the root) and ``path``
     (names from the root joined by ``sep``).  Raises if the hierarchy is
-    deeper than ``max_depth`` (a cycle, or bad data).
+    deeper than ``max_depth`` (a cycle, or bad data).  Every 8 levels the
+    frontier is checkpointed so the plan of a deep tree stays short.
     """
-    base = nodes.select(F.col(id_col), F.col(parent_col), F.col(name_col))
-    frontier = (base.filter(F.col(parent_col).isNull())
+    from lodestone.session import checkpoint
+
+    cols = nodes.columns
+    frontier = (nodes.filter(F.col(parent_col).isNull())
                 .withColumn("level", F.lit(1))
                 .withColumn("path", F.col(name_col).cast("string")))
     levels = [frontier]
     for depth in range(2, max_depth + 2):
-        nxt = (base.alias("c")
+        nxt = (nodes.alias("c")
                .join(frontier.select(F.col(id_col).alias("_pid"), F.col("path").alias("_ppath")),
                      F.col(f"c.{parent_col}") == F.col("_pid"))
-               .select(F.col(f"c.{id_col}").alias(id_col), F.col(f"c.{parent_col}").alias(parent_col),
-                       F.col(f"c.{name_col}").alias(name_col), F.lit(depth).alias("level"),
+               .select(*[F.col(f"c.{c}").alias(c) for c in cols], F.lit(depth).alias("level"),
                        F.concat(F.col("_ppath"), F.lit(sep), F.col(f"c.{name_col}")).alias("path")))
         if nxt.isEmpty():
             break
         if depth > max_depth:
             raise RuntimeError(f"hierarchy deeper than {max_depth} levels (cycle?)")
+        if depth % 8 == 0:
+            nxt = checkpoint(nxt)
         levels.append(nxt)
         frontier = nxt
     out = levels[0]

@@ -49,6 +49,7 @@ PLAN_MODULES = (
     "setops",
     "window_reports",
     "olap",
+    "views",
 )
 
 
