@@ -50,6 +50,7 @@ PLAN_MODULES = (
     "window_reports",
     "olap",
     "views",
+    "state_jobs",
 )
 
 
