@@ -51,6 +51,7 @@ PLAN_MODULES = (
     "olap",
     "views",
     "state_jobs",
+    "dashboards",
 )
 
 
