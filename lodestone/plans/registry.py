@@ -52,6 +52,7 @@ PLAN_MODULES = (
     "views",
     "state_jobs",
     "dashboards",
+    "routines",
 )
 
 
