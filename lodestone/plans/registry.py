@@ -53,6 +53,7 @@ PLAN_MODULES = (
     "state_jobs",
     "dashboards",
     "routines",
+    "procedures",
 )
 
 
