@@ -54,6 +54,7 @@ PLAN_MODULES = (
     "dashboards",
     "routines",
     "procedures",
+    "validation",
 )
 
 
