@@ -339,15 +339,25 @@ def process_daily_production(t: Tables, staging: DataFrame, date_id: int) -> Dat
     day = staging.filter(F.col("date_id") == date_id)
     if day.isEmpty():
         raise ValueError(f"no staged rows for date {date_id}")
-    e = t.supplier.select(F.col("s_suppkey").alias("_e"))
-    o = t.customer.select(F.col("c_custkey").alias("_o"))
-    j = day.join(e, F.col("equipment_id") == F.col("_e"), "left").join(o, F.col("operator_id") == F.col("_o"), "left")
+    return tag_daily(day, t.supplier.select(F.col("s_suppkey").alias("id")),
+                     t.customer.select(F.col("c_custkey").alias("id")))
+
+
+def tag_daily(rows: DataFrame, equipment_ids: DataFrame, operator_ids: DataFrame,
+              keep: tuple[str, ...] = ("l_orderkey",)) -> DataFrame:
+    """Daily-load rules on staged rows (any number of days): negative tons
+    -> negative trips -> unknown machine -> unknown operator; adds
+    ``status`` (loaded / rejected) and ``reject_reason``."""
+    e = equipment_ids.select(F.col("id").alias("_e"))
+    o = operator_ids.select(F.col("id").alias("_o"))
+    j = rows.join(e, F.col("equipment_id") == F.col("_e"), "left").join(o, F.col("operator_id") == F.col("_o"), "left")
     reason = (F.when(F.col("tons_mined") < 0, "negative tons").when(F.col("trips_count") < 0, "negative trips")
               .when(F.col("_e").isNull(), F.concat(F.lit("unknown equipment (ID="), F.col("equipment_id").cast("string"), F.lit(")")))
               .when(F.col("_o").isNull(), F.concat(F.lit("unknown operator (ID="), F.col("operator_id").cast("string"), F.lit(")")))
               .otherwise("business rule violation"))
     bad = (F.col("tons_mined") < 0) | (F.col("trips_count") < 0) | F.col("_e").isNull() | F.col("_o").isNull()
-    return j.select("date_id", "l_orderkey", "equipment_id", "shift_id", "operator_id", "tons_mined", "trips_count",
+    extra = [c for c in keep if c in rows.columns]
+    return j.select("date_id", *extra, "equipment_id", "shift_id", "operator_id", "tons_mined", "trips_count",
                     F.when(bad, "rejected").otherwise("loaded").alias("status"),
                     F.when(bad, reason).alias("reject_reason"))
 
