@@ -16,9 +16,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """Mark ``df`` as a side of proven bounded size (broadcast hint)."""
-    return F.broadcast(df)
+# Largest side (optimizer estimate, bytes) that ``bounded`` will hint for
+# broadcast.  Overridable per session with ``lodestone.broadcast.maxBytes``.
+BROADCAST_CAP_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (no job is run)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimates are best effort
+        return None
+
+
+def bounded(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint for a side whose size is bounded by its domain (a code
+    table, a one-row aggregate, one row per month / partition / class).
+
+    The bound is also checked: if the optimizer's estimate exceeds the cap,
+    the hint is dropped and AQE decides at runtime from the materialised
+    size (broadcast if small, shuffled join otherwise).
+    """
+    cap = max_bytes
+    if cap is None:
+        conf = df.sparkSession.conf.get("lodestone.broadcast.maxBytes", None)
+        cap = int(conf) if conf else BROADCAST_CAP_BYTES
+    est = estimated_bytes(df)
+    if est is not None and est <= cap:
+        return F.broadcast(df)
+    return df
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",

@@ -116,6 +116,15 @@ def delete_returning(state: DataFrame, predicate: Column) -> tuple[DataFrame, Da
     return state.filter(~hit), state.filter(hit)
 
 
+def tag_delete(state: DataFrame, predicate: Column, col: str = "destination",
+               kept: str = "fact", deleted: str = "archive") -> DataFrame:
+    """DELETE ... RETURNING as one tagged pass: every row labelled with where
+    it ends up.  Persist the result and write each label to its sink, so the
+    state is scanned once for both outputs."""
+    hit = F.coalesce(predicate, F.lit(False))
+    return state.withColumn(col, F.when(hit, F.lit(deleted)).otherwise(F.lit(kept)))
+
+
 # ---------------------------------------------------------------- merge / upsert
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> None:
     """Raise if ``keys`` repeat in ``df`` (one grouped count, nothing but a

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from lodestone.functions.dates import ts
 from lodestone.operators.joins import bounded
-from lodestone.operators.state import (delete_returning, insert, insert_new_only, max_key, merge,
+from lodestone.operators.state import (insert, insert_new_only, max_key, merge, tag_delete,
                                        row_index, update, update_where_in, upsert)
 from lodestone.plans.registry import query
 from lodestone.sources.tables import Tables
@@ -186,11 +186,9 @@ def delete_archive(spark, sf):
     the result is the fact table after the delete plus the archive rows."""
     t = Tables(spark, sf)
     ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
-    kept, gone = delete_returning(ev, (F.col("ts") >= ts("2024-01-15")) & (F.col("ts") < ts("2024-01-16"))
-                                  & (F.col("event_type") == "error"))
-    return (kept.withColumn("destination", F.lit("fact")).withColumn("archived_at", F.lit(None).cast("timestamp_ntz"))
-            .unionByName(gone.withColumn("destination", F.lit("archive"))
-                         .withColumn("archived_at", ts(ARCHIVED_AT))))
+    tagged = tag_delete(ev, (F.col("ts") >= ts("2024-01-15")) & (F.col("ts") < ts("2024-01-16"))
+                        & (F.col("event_type") == "error"))
+    return tagged.withColumn("archived_at", F.when(F.col("destination") == "archive", ts(ARCHIVED_AT)))
 
 
 # ---------------------------------------------------------------- D11
