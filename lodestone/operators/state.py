@@ -27,7 +27,7 @@ class MergeCardinalityError(ValueError):
 
 # ---------------------------------------------------------------- ids
 def row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
-              start: int | Column = 1) -> DataFrame:
+              start: int | Column = 1, bounded_rows: bool = False) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order) + start - 1`` without moving all
     rows into one task.
 
@@ -37,9 +37,16 @@ def row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
     position is its offset inside its partition plus the row count of all
     earlier partitions (a table with one row per partition, broadcast).
     ``order`` must be a total order for the numbering to be deterministic.
+
+    ``bounded_rows=True`` is for frames bounded by their domain (one row per
+    mine and day, say): a plain ordered window, no checkpoint.
     """
     from lodestone.session import checkpoint
 
+    base = start if isinstance(start, Column) else F.lit(start)
+    if bounded_rows:
+        w = Window.orderBy(*order)
+        return df.withColumn(out, (base - 1 + F.row_number().over(w)).cast("bigint"))
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = checkpoint(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
@@ -48,7 +55,6 @@ def row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
     counts = tagged.groupBy("_ri_pid").agg(F.count(F.lit(1)).alias("_ri_n"))
     w = Window.orderBy("_ri_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_ri_pid", F.coalesce(F.sum("_ri_n").over(w), F.lit(0)).alias("_ri_off"))
-    base = start if isinstance(start, Column) else F.lit(start)
     return (tagged.join(bounded(offsets), "_ri_pid")
             .withColumn(out, (base + F.col("_ri_off") + F.col("_ri_local")).cast("bigint"))
             .drop("_ri_pid", "_ri_local", "_ri_off"))

@@ -302,11 +302,11 @@ def kpi_upsert(spark, sf):
                      F.lit(None).cast("double").alias("oee_percent"), F.lit(None).cast("double").alias("downtime_hours"),
                      F.lit(None).cast("double").alias("quality_score"), F.lit("ERROR").alias("status"),
                      F.lit("stale").alias("error_detail")))
-    state0 = row_index(prev.unionByName(stale), ["date_id", "mine_id"], out="kpi_id")
+    state0 = row_index(prev.unionByName(stale), ["date_id", "mine_id"], out="kpi_id", bounded_rows=True)
     state0 = state0.select("kpi_id", *[c for c in state0.columns if c != "kpi_id"])
     fresh = daily_kpi(t, KPI_DAY, KPI_DOWNTIME_DAY)
     base = max_key(state0, "kpi_id")
-    src = (row_index(fresh, ["mine_id"], out="_rn").crossJoin(bounded(base))
+    src = (row_index(fresh, ["mine_id"], out="_rn", bounded_rows=True).crossJoin(bounded(base))
            .withColumn("new_id", F.col("_rn") + F.col("_max_key")).drop("_rn", "_max_key"))
     return merge(state0, src, ["mine_id", "date_id"], _KPI_COLS, insert_values={"kpi_id": "new_id"})
 
