@@ -103,7 +103,14 @@ def pareto_classes(df: DataFrame, key: str, value: str, a: float = 80.0, b: floa
     """Share of the grand total, cumulative share in descending ``value``
     order (ties by ``key``) and an A/B/C class (cumulative <= a, <= b, rest).
     ``value`` should be exact (DECIMAL) so ties and shares are reproducible.
+
+    The grouped input is read four times (boundaries, bucket sums, running
+    sums, grand total), so it is checkpointed once (reliably) instead of
+    recomputing the aggregation over the facts for each pass.
     """
+    from lodestone.session import checkpoint
+
+    df = checkpoint(df)
     grand = df.agg(F.sum(value).alias("_grand"))
     cum = prefix_sum(df, value, ascending=False, tie=[key], value=value, out="_cum")
     pct = F.try_divide(F.col(value) * 100, F.col("_grand"))

@@ -19,6 +19,7 @@ from lodestone.operators.joins import bounded
 from lodestone.operators.quality import batch_gate, json_payload, range_check, tag
 from lodestone.operators.state import insert, max_key, merge, row_index
 from lodestone.plans.registry import query, rd
+from lodestone.sources.snapshots import materialize
 from lodestone.sources.tables import Tables
 
 DEC = "CAST({} AS DECIMAL(18,2))"
@@ -209,27 +210,36 @@ KPI_DOWNTIME_DAY = "2024-01-15"   # the downtime table's day standing for the sa
 KPI_DAY_ID = 19980115
 
 
+def _next_day(day: str) -> str:
+    import datetime as _dt
+    return (_dt.date.fromisoformat(day) + _dt.timedelta(days=1)).isoformat()
+
+
 def daily_kpi(t: Tables, day: str, downtime_day: str) -> DataFrame:
     """recalculate_daily_kpi for one date: every mine's KPIs from four
     grouped facts left-joined to the mine dimension (mines without rows get
     0 tons, NULL OEE / quality, 0 downtime)."""
-    nxt = F.date_add(F.lit(day).cast("date"), 1)
-    prod = (t.lineitem.filter((F.col("l_shipdate") >= ts(day)) & (F.col("l_shipdate") < nxt.cast("timestamp_ntz")))
+    # Range bounds as literals, so both ends are pushed into the parquet scan.
+    nxt = ts(_next_day(day))
+    prod = (t.lineitem.filter((F.col("l_shipdate") >= ts(day)) & (F.col("l_shipdate") < nxt))
             .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .groupBy(F.col("s_nationkey").alias("_pm"))
+            .groupBy(F.col("s_nationkey").cast("bigint").alias("_pm"))
             .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_tons"),
                  F.sum((F.col("l_tax") * 100).cast("decimal(18,2)")).alias("_hours")))
-    dnxt = F.date_add(F.lit(downtime_day).cast("date"), 1)
-    down = (t.events.filter((F.col("ts") >= ts(downtime_day)) & (F.col("ts") < dnxt.cast("timestamp_ntz")))
+    dnxt = ts(_next_day(downtime_day))
+    down = (t.events.filter((F.col("ts") >= ts(downtime_day)) & (F.col("ts") < dnxt))
             .join(t.customer.select("c_custkey", "c_nationkey"), F.col("user_id") == F.col("c_custkey"))
-            .groupBy(F.col("c_nationkey").alias("_dm"))
+            .groupBy(F.col("c_nationkey").cast("bigint").alias("_dm"))
             .agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("_down")))
-    qual = (t.orders.filter((F.col("o_orderdate") >= ts(day)) & (F.col("o_orderdate") < nxt.cast("timestamp_ntz")))
+    qual = (t.orders.filter((F.col("o_orderdate") >= ts(day)) & (F.col("o_orderdate") < nxt))
             .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-            .groupBy(F.col("c_nationkey").alias("_qm")).agg(F.avg(F.col("o_totalprice") / 10000).alias("_q")))
+            .groupBy(F.col("c_nationkey").cast("bigint").alias("_qm")).agg(F.avg(F.col("o_totalprice") / 10000).alias("_q")))
     m = t.nation.select(F.col("n_nationkey").cast("bigint").alias("mine_id"))
-    j = (m.join(prod, F.col("mine_id") == F.col("_pm"), "left").join(down, F.col("mine_id") == F.col("_dm"), "left")
-         .join(qual, F.col("mine_id") == F.col("_qm"), "left"))
+    # One row per mine on every side: the aggregates are bounded by the mine
+    # dimension and joined by broadcast (subject to the size check).
+    j = (m.join(bounded(prod), F.col("mine_id") == F.col("_pm"), "left")
+         .join(bounded(down), F.col("mine_id") == F.col("_dm"), "left")
+         .join(bounded(qual), F.col("mine_id") == F.col("_qm"), "left"))
     return j.select(
         "mine_id", F.lit(int(day.replace("-", ""))).cast("bigint").alias("date_id"),
         F.coalesce(F.col("_tons").cast("double"), F.lit(0.0)).alias("tons_mined"),
@@ -296,14 +306,16 @@ def kpi_upsert(spark, sf):
     mines' rows are inserted with new serial ids, other days untouched."""
     t = Tables(spark, sf)
     prev = daily_kpi(t, "1998-01-14", "2024-01-14")
-    stale = (prev.join(t.nation.filter(F.col("n_regionkey") == 0), F.col("mine_id") == F.col("n_nationkey"),
-                       "left_semi")
-             .select("mine_id", F.lit(KPI_DAY_ID).cast("bigint").alias("date_id"), F.lit(0.0).alias("tons_mined"),
+    stale = (t.nation.filter(F.col("n_regionkey") == 0)
+             .select(F.col("n_nationkey").cast("bigint").alias("mine_id"),
+                     F.lit(KPI_DAY_ID).cast("bigint").alias("date_id"), F.lit(0.0).alias("tons_mined"),
                      F.lit(None).cast("double").alias("oee_percent"), F.lit(None).cast("double").alias("downtime_hours"),
                      F.lit(None).cast("double").alias("quality_score"), F.lit("ERROR").alias("status"),
                      F.lit("stale").alias("error_detail")))
     state0 = row_index(prev.unionByName(stale), ["date_id", "mine_id"], out="kpi_id", bounded_rows=True)
-    state0 = state0.select("kpi_id", *[c for c in state0.columns if c != "kpi_id"])
+    # The KPI table as it stands before the upsert is a stored table: write
+    # it once and read it back (merge and the max-id lookup both read it).
+    state0 = materialize(state0.select("kpi_id", *[c for c in state0.columns if c != "kpi_id"]), "daily_kpi")
     fresh = daily_kpi(t, KPI_DAY, KPI_DOWNTIME_DAY)
     base = max_key(state0, "kpi_id")
     src = (row_index(fresh, ["mine_id"], out="_rn", bounded_rows=True).crossJoin(bounded(base))
