@@ -20,6 +20,9 @@ TABLE_NAMES = (
 # for broadcast; everything else is left to AQE's runtime size check.
 BOUNDED_TABLES = frozenset({"region", "nation"})
 
+# Schemas inferred once per path (the inputs are read-only for a session).
+_SCHEMAS: dict = {}
+
 
 class Tables:
     """Lazy accessor: ``t = Tables(spark, sf_dir); t.lineitem``."""
@@ -34,7 +37,15 @@ class Tables:
     def get(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise KeyError(f"unknown table {name!r}")
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        schema = _SCHEMAS.get(path)
+        if schema is None:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[path] = df.schema
+            return df
+        # Known schema: no footer read to infer it again.  Each call is still
+        # a new relation, so a table may appear twice in one plan.
+        return self.spark.read.schema(schema).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
