@@ -28,7 +28,9 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] | None = N
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    if partition_by:
+        return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)     # schema known: no footer inference
 
 
 def refresh(df: DataFrame, name: str) -> DataFrame:
@@ -55,3 +57,21 @@ def projection(df: DataFrame, name: str, predicate, cols: Sequence[str]) -> Data
     """Pre-filtered narrow dataset: rows matching ``predicate``, columns
     ``cols`` only (a partial + covering index, materialised)."""
     return materialize(df.filter(predicate).select(*cols), name)
+
+
+def empty_like(df: DataFrame, extra: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """CREATE TABLE ... (LIKE t) [+ extra columns]: an empty DataFrame with
+    ``df``'s schema plus ``extra`` (name, DDL type) fields — e.g. a reject
+    table = staging columns + reason + rejected_at."""
+    from pyspark.sql import functions as F
+
+    out = df.limit(0)
+    for name, ddl in extra:
+        out = out.withColumn(name, F.lit(None).cast(ddl))
+    return out
+
+
+def truncate(spark, path: str, like: DataFrame) -> None:
+    """TRUNCATE: replace the dataset at ``path`` with an empty one of the same
+    schema (readers of an earlier snapshot path are unaffected)."""
+    like.limit(0).write.mode("overwrite").parquet(path)
