@@ -54,51 +54,54 @@ def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     return fact.join(bounded(dim) if is_bounded else dim, on, how)
 
 
+# ---------------------------------------------------------------- scalar values
+def scalar(agg: Column, of: DataFrame) -> Column:
+    """An uncorrelated scalar subquery ``(SELECT agg FROM of)`` as a Column.
+
+    Spark evaluates it once, before the outer query, and uses it as a
+    constant; several scalars over the same input are merged into one
+    aggregate by the optimizer.  No join is planned, so the outer rows are
+    never paired with anything.
+    """
+    return of.select(agg).scalar()
+
+
 # ---------------------------------------------------------------- quantified
 def compare_all(df: DataFrame, value: str, subquery: DataFrame, sub_col: str,
                 op: str = ">") -> DataFrame:
     """``value op ALL (SELECT sub_col FROM subquery)`` with SQL three-valued
     semantics: TRUE on an empty set, never TRUE when the set holds a NULL.
 
-    The set is reduced to one row (count, non-null count, min, max) before it
-    meets ``df``, so the join side is a single row whatever the input size.
+    The set is reduced to scalars (count, non-null count, max or min), so the
+    outer filter compares each row with constants whatever the set's size.
     """
-    stats = subquery.agg(
-        F.count(F.lit(1)).alias("_q_n"),
-        F.count(sub_col).alias("_q_nn"),
-        F.max(sub_col).alias("_q_max"),
-        F.min(sub_col).alias("_q_min"),
-    )
+    n = scalar(F.count(F.lit(1)), subquery)
+    nn = scalar(F.count(sub_col), subquery)
     v = F.col(value)
     cmp = {
-        ">": v > F.col("_q_max"), ">=": v >= F.col("_q_max"),
-        "<": v < F.col("_q_min"), "<=": v <= F.col("_q_min"),
+        ">": v > scalar(F.max(sub_col), subquery), ">=": v >= scalar(F.max(sub_col), subquery),
+        "<": v < scalar(F.min(sub_col), subquery), "<=": v <= scalar(F.min(sub_col), subquery),
     }[op]
-    keep = (F.col("_q_n") == 0) | ((F.col("_q_n") == F.col("_q_nn")) & cmp)
-    return (df.crossJoin(bounded(stats)).filter(keep)
-            .drop("_q_n", "_q_nn", "_q_max", "_q_min"))
+    return df.filter((n == 0) | ((n == nn) & cmp))
 
 
 def compare_any(df: DataFrame, value: str, subquery: DataFrame, sub_col: str,
                 op: str = ">") -> DataFrame:
     """``value op ANY (SELECT sub_col ...)``: FALSE on an empty set; NULLs in
     the set can only turn FALSE into NULL, which a filter drops anyway."""
-    stats = subquery.agg(F.max(sub_col).alias("_q_max"), F.min(sub_col).alias("_q_min"))
     v = F.col(value)
     cmp = {
-        ">": v > F.col("_q_min"), ">=": v >= F.col("_q_min"),
-        "<": v < F.col("_q_max"), "<=": v <= F.col("_q_max"),
+        ">": v > scalar(F.min(sub_col), subquery), ">=": v >= scalar(F.min(sub_col), subquery),
+        "<": v < scalar(F.max(sub_col), subquery), "<=": v <= scalar(F.max(sub_col), subquery),
     }[op]
-    return df.crossJoin(bounded(stats)).filter(cmp).drop("_q_max", "_q_min")
+    return df.filter(cmp)
 
 
 def compare_scalar_max(df: DataFrame, value: str, subquery: DataFrame,
                        sub_col: str) -> DataFrame:
     """``value > (SELECT MAX(sub_col) ...)``: NULL (row dropped) on an empty
     set, NULLs in the set ignored."""
-    stats = subquery.agg(F.max(sub_col).alias("_q_max"))
-    return (df.crossJoin(bounded(stats)).filter(F.col(value) > F.col("_q_max"))
-            .drop("_q_max"))
+    return df.filter(F.col(value) > scalar(F.max(sub_col), subquery))
 
 
 # ---------------------------------------------------------------- anti / semi
@@ -110,8 +113,8 @@ def not_in(df: DataFrame, col: str, subquery: DataFrame, sub_col: str,
     row (NULL probes too); a NULL anywhere in the subquery empties the
     result; otherwise NULL probes are dropped.  Spark plans the native form
     only as a *broadcast* null-aware anti join and degrades to a nested loop
-    when the subquery is large, so it is rebuilt here from a one-row summary
-    of the subquery (count, NULL count) and an ordinary equi anti join, which
+    when the subquery is large, so it is rebuilt here from two scalars of the
+    subquery (row count, NULL count) and an ordinary equi anti join, which
     AQE may broadcast or shuffle as sizes dictate.
 
     ``null_aware=False`` is the guarded form (``WHERE sub_col IS NOT NULL``).
@@ -121,10 +124,9 @@ def not_in(df: DataFrame, col: str, subquery: DataFrame, sub_col: str,
     anti = df.join(nonnull, F.col(col) == F.col("_ni_k"), "left_anti")
     if not null_aware:
         return anti.filter(F.col(col).isNotNull())
-    stats = keys.agg(F.count(F.lit(1)).alias("_ni_n"),
-                     (F.count(F.lit(1)) - F.count("_ni_k")).alias("_ni_nulls"))
-    keep = (F.col("_ni_n") == 0) | ((F.col("_ni_nulls") == 0) & F.col(col).isNotNull())
-    return anti.crossJoin(bounded(stats)).filter(keep).drop("_ni_n", "_ni_nulls")
+    n = scalar(F.count(F.lit(1)), keys)
+    nulls = scalar(F.count(F.lit(1)) - F.count("_ni_k"), keys)
+    return anti.filter((n == 0) | ((nulls == 0) & F.col(col).isNotNull()))
 
 
 # ---------------------------------------------------------------- per-group picks

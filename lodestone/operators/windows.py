@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.operators.joins import bounded
+from lodestone.operators.joins import bounded, scalar
 
 
 def _w(partition: Sequence[str] | None, order: Sequence[Column]):
@@ -111,15 +111,15 @@ def pareto_classes(df: DataFrame, key: str, value: str, a: float = 80.0, b: floa
     from lodestone.session import checkpoint
 
     df = checkpoint(df)
-    grand = df.agg(F.sum(value).alias("_grand"))
+    grand = scalar(F.sum(value), df)
     cum = prefix_sum(df, value, ascending=False, tie=[key], value=value, out="_cum")
-    pct = F.try_divide(F.col(value) * 100, F.col("_grand"))
-    cpct = F.try_divide(F.col("_cum") * 100, F.col("_grand"))
-    return (cum.crossJoin(bounded(grand))
+    pct = F.try_divide(F.col(value) * 100, grand)
+    cpct = F.try_divide(F.col("_cum") * 100, grand)
+    return (cum
             .withColumn(pct_col, pct.cast("double"))
             .withColumn(cum_col, cpct.cast("double"))
             .withColumn(class_col, F.when(cpct <= a, "A").when(cpct <= b, "B").otherwise("C"))
-            .drop("_cum", "_grand"))
+            .drop("_cum"))
 
 
 def first_crossing(series: DataFrame, partition: Sequence[str], order_col: str,

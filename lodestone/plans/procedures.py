@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.dates import age_years, d, date_key, ts
 from lodestone.functions.numeric import int_div, rnd, safe_div
 from lodestone.operators.hierarchy import calendar
-from lodestone.operators.joins import bounded
+from lodestone.operators.joins import bounded, scalar
 from lodestone.operators.windows import carry_forward, first_crossing, previous_avg, running_sum
 from lodestone.plans.registry import query, rd
 from lodestone.sources.tables import Tables
@@ -35,17 +35,18 @@ SELECT (SELECT COUNT(*) FROM nation) AS mine_count,
    WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-02-01') AS avg_fe,
   (SELECT COUNT(*) FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01') AS downtime_count""")
 def company_summary(spark, sf):
-    """Four one-row aggregates side by side (each a separate scan with its
-    own pushed filter; the cross joins are between single rows)."""
+    """Four scalar aggregates in one row (each a separate scan with its own
+    pushed filter, evaluated once as an uncorrelated scalar subquery)."""
     t = Tables(spark, sf)
-    a = t.nation.agg(F.count(F.lit(1)).alias("mine_count"))
-    b = (t.lineitem.filter(_range("l_shipdate", "1998-01-01", "1998-02-01"))
-         .agg(F.coalesce(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double"), F.lit(0.0))
-              .alias("total_production")))
-    c = (t.orders.filter(_range("o_orderdate", "1998-01-01", "1998-02-01"))
-         .agg(rnd(F.avg(F.col("o_totalprice") / 10000), 1).alias("avg_fe")))
-    e = t.events.filter(_range("ts", "2024-01-01", "2024-02-01")).agg(F.count(F.lit(1)).alias("downtime_count"))
-    return a.crossJoin(b).crossJoin(c).crossJoin(e)
+    prod = t.lineitem.filter(_range("l_shipdate", "1998-01-01", "1998-02-01"))
+    qual = t.orders.filter(_range("o_orderdate", "1998-01-01", "1998-02-01"))
+    down = t.events.filter(_range("ts", "2024-01-01", "2024-02-01"))
+    return t.nation.agg(F.count(F.lit(1)).alias("mine_count")).select(
+        "mine_count",
+        scalar(F.coalesce(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double"), F.lit(0.0)), prod)
+        .alias("total_production"),
+        scalar(rnd(F.avg(F.col("o_totalprice") / 10000), 1), qual).alias("avg_fe"),
+        scalar(F.count(F.lit(1)), down).alias("downtime_count"))
 
 
 # ---------------------------------------------------------------- C11 / F12 / F30
@@ -121,10 +122,10 @@ def best_day(spark, sf):
     (value, -day) struct, plus the loop's closing totals."""
     t = Tables(spark, sf)
     daily = _daily(t).withColumn("day_no", F.row_number().over(Window.orderBy("date_id")).cast("bigint"))
-    last = daily.agg(F.max("day_no").alias("_last"))
-    agg = daily.crossJoin(bounded(last)).agg(
+    last = scalar(F.max("day_no"), daily)
+    agg = daily.agg(
         F.sum("total_tons").alias("grand_total"),
-        rnd(F.avg(F.when(F.col("day_no") < F.col("_last"), F.col("total_tons")))).alias("last_avg_prev"),
+        rnd(F.avg(F.when(F.col("day_no") < last, F.col("total_tons")))).alias("last_avg_prev"),
         F.max_by("day_no", F.struct(F.col("total_tons"), -F.col("day_no"))).alias("best_day"),
         F.max("total_tons").alias("best_tons"))
     return agg

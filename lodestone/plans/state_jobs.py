@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions.dates import ts
-from lodestone.operators.joins import bounded
-from lodestone.operators.state import (insert, insert_new_only, max_key, merge, tag_delete,
+from lodestone.operators.joins import bounded, scalar
+from lodestone.operators.state import (insert, insert_new_only, merge, tag_delete,
                                        row_index, update, update_where_in, upsert)
 from lodestone.plans.registry import query
 from lodestone.sources.tables import Tables
@@ -252,10 +252,8 @@ def merge_sync(spark, sf):
     t = Tables(spark, sf)
     target = _cust_target(t)
     src = _cust_source(t)
-    base = max_key(target, "c_custkey")
-    numbered = row_index(src, ["c_name"], out="_rn")
-    source = numbered.crossJoin(bounded(base)).withColumn("new_id", F.col("_rn") + F.col("_max_key")) \
-        .drop("_rn", "_max_key")
+    base = scalar(F.coalesce(F.max("c_custkey"), F.lit(0)), target)
+    source = row_index(src, ["c_name"], out="_rn").withColumn("new_id", F.col("_rn") + base).drop("_rn")
     return merge(target, source, ["c_name"], ["c_mktsegment", "c_acctbal"], insert_values={"c_custkey": "new_id"})
 
 

@@ -19,7 +19,7 @@ from lodestone.functions.numeric import dsum, rnd
 from lodestone.functions.text import concat_pg
 from lodestone.operators.hierarchy import calendar
 from lodestone.operators.joins import (bounded, compare_all, compare_any,
-                                       compare_scalar_max, not_in)
+                                       compare_scalar_max, not_in, scalar)
 from lodestone.plans.registry import dsum as sql_dsum
 from lodestone.plans.registry import query, rd
 from lodestone.sources.tables import Tables
@@ -43,8 +43,8 @@ WITH base AS (
 SELECT full_name, tonnage, (SELECT {rd('AVG(tonnage)')} FROM base) AS avg_tonnage
 FROM base WHERE tonnage > (SELECT {rd('AVG(tonnage)')} FROM base)""")
 def above_average(spark, sf):
-    """Groups above the (rounded) average group total: the average is a
-    one-row aggregate of the grouped result, broadcast to every task."""
+    """Groups above the (rounded) average group total: the average is an
+    uncorrelated scalar subquery over the grouped result."""
     t = Tables(spark, sf)
     li = t.lineitem.filter(_between("l_shipdate", MONTH)).select("l_orderkey", "l_quantity")
     j = (li.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -52,8 +52,8 @@ def above_average(spark, sf):
     name = concat_pg(F.col("c_name"), " ", F.left("c_mktsegment", F.lit(1)), ". ",
                      F.left(F.coalesce(F.lit(None).cast("string"), F.lit("")), F.lit(1)), ".")
     base = j.groupBy(name.alias("full_name")).agg(dsum("l_quantity").alias("tonnage"))
-    avg = base.agg(rnd(F.avg("tonnage")).alias("avg_tonnage"))
-    return (base.crossJoin(bounded(avg)).filter(F.col("tonnage") > F.col("avg_tonnage"))
+    avg = scalar(rnd(F.avg("tonnage")), base)
+    return (base.withColumn("avg_tonnage", avg).filter(F.col("tonnage") > F.col("avg_tonnage"))
             .select("full_name", "tonnage", "avg_tonnage"))
 
 

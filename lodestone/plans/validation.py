@@ -15,9 +15,9 @@ from lodestone.functions.dates import date_key, ts
 from lodestone.functions.kpi import (SENSOR_OUT_OF_RANGE, SENSOR_RANGES, SENSOR_UNKNOWN_TYPE,
                                      safe_production_rate)
 from lodestone.functions.numeric import rnd
-from lodestone.operators.joins import bounded
+from lodestone.operators.joins import bounded, scalar
 from lodestone.operators.quality import batch_gate, json_payload, range_check, tag
-from lodestone.operators.state import insert, max_key, merge, row_index
+from lodestone.operators.state import insert, merge, row_index
 from lodestone.plans.registry import query, rd
 from lodestone.sources.snapshots import materialize
 from lodestone.sources.tables import Tables
@@ -317,9 +317,9 @@ def kpi_upsert(spark, sf):
     # it once and read it back (merge and the max-id lookup both read it).
     state0 = materialize(state0.select("kpi_id", *[c for c in state0.columns if c != "kpi_id"]), "daily_kpi")
     fresh = daily_kpi(t, KPI_DAY, KPI_DOWNTIME_DAY)
-    base = max_key(state0, "kpi_id")
-    src = (row_index(fresh, ["mine_id"], out="_rn", bounded_rows=True).crossJoin(bounded(base))
-           .withColumn("new_id", F.col("_rn") + F.col("_max_key")).drop("_rn", "_max_key"))
+    base = scalar(F.coalesce(F.max("kpi_id"), F.lit(0)), state0)
+    src = (row_index(fresh, ["mine_id"], out="_rn", bounded_rows=True)
+           .withColumn("new_id", F.col("_rn") + base).drop("_rn"))
     return merge(state0, src, ["mine_id", "date_id"], _KPI_COLS, insert_values={"kpi_id": "new_id"})
 
 
@@ -414,14 +414,15 @@ def balances(t: Tables) -> DataFrame:
 def apply_batch(state: DataFrame, deltas: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Apply a batch of (equipment_id, delta) atomically under the CHECK
     balance >= 0: deltas are summed per key, and the new balances are used
-    only if none is negative (decided by a one-row aggregate, broadcast),
+    only if none is negative (a scalar aggregate evaluated once),
     else the state is returned unchanged.  Returns (state, status row)."""
     d = deltas.groupBy(F.col("equipment_id").alias("_k")).agg(F.sum("delta").alias("_d"))
     cand = (state.join(d, F.col("equipment_id") == F.col("_k"), "left")
             .withColumn("_new", F.col("balance_tons") + F.coalesce(F.col("_d"), F.lit(0))))
     status = cand.agg((F.min("_new") >= 0).alias("accepted"), F.min("_new").cast("double").alias("min_balance_after"))
-    out = (cand.crossJoin(bounded(status.select("accepted")))
-           .select("equipment_id", F.when(F.col("accepted"), F.col("_new")).otherwise(F.col("balance_tons"))
+    accepted = scalar(F.min("_new") >= 0, cand)
+    out = (cand
+           .select("equipment_id", F.when(accepted, F.col("_new")).otherwise(F.col("balance_tons"))
                    .cast("decimal(18,2)").alias("balance_tons")))
     return out, status
 
