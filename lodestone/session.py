@@ -44,15 +44,25 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only when the session names none (local tests) is a folder created.
+    Sessions without a SparkContext handle (Spark Connect) use the conf
+    value as is.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             # No shared folder configured (local tests): make one.
             root = tempfile.mkdtemp(prefix="lodestone-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root
 
 
