@@ -58,3 +58,23 @@ def test_no_query_plans_a_cartesian_product(spark):
         if "CartesianProduct" in p or "BroadcastNestedLoopJoin" in p:
             bad.append(k)
     assert bad == []
+
+
+def test_bucketed_fact_tables_join_without_exchange(spark):
+    from pyspark.sql import functions as F
+    from lodestone.sources.snapshots import bucketed_table
+    from lodestone.sources.tables import Tables
+    t = Tables(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        li = bucketed_table(t.lineitem, "li_by_order", "l_orderkey", 8)
+        o = bucketed_table(t.orders, "orders_by_order", "o_orderkey", 8)
+        j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderpriority").agg(F.count(F.lit(1)))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        join_part = plan.split("SortMergeJoin")[1]
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning(l_orderkey" not in plan \
+            and "Exchange hashpartitioning(o_orderkey" not in plan, join_part[:500]
+        assert j.agg(F.sum("count(1)")).first()[0] == t.lineitem.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
