@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestone.operators.joins import bounded, scalar
 
@@ -54,47 +55,51 @@ def carry_forward(df: DataFrame, partition: Sequence[str] | None, order: Sequenc
     return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
 
 
+def _running_sum_type(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.DecimalType):
+        return T.DecimalType(min(38, dtype.precision + 10), dtype.scale)
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return T.LongType()
+    return T.DoubleType()
+
+
 def prefix_sum(df: DataFrame, key: str, ascending: bool, tie: Sequence[str],
-               value: str, out: str, buckets: int | None = None) -> DataFrame:
+               value: str, out: str, partitions: int | None = None) -> DataFrame:
     """Global running total of ``value`` ordered by ``key`` (then ``tie``),
-    without a single-partition window.
-
-    1. A small aggregate (``approx_percentile`` of ``key``) picks bucket
-       boundaries; the list has ``buckets`` entries and is the only thing
-       read on the driver.
-    2. Each row's bucket is a pure function of ``key`` (rows of equal key
-       share a bucket, so the order is preserved across buckets).
-    3. Running total inside each bucket (window partitioned by bucket),
-       plus the total of all earlier buckets (a ``buckets``-row table,
-       broadcast).
-
-    The result is exact for DECIMAL/integer ``value`` and independent of
-    partitioning.
+    without a single-partition window and without a hot task on ties.
+
+    1. Range-partition on the full order (``key``, ``tie``): Spark's range
+       partitioner samples the composite key, so even a value shared by a
+       third of the rows is split across partitions by the tie columns.
+       The ranged frame is checkpointed (reliably) so its partition
+       contents are fixed for the two reads below.
+    2. Running sum inside each range partition (a window partitioned by the
+       partition id; each window group is one balanced range).
+    3. Each partition's total, summed over all earlier partitions (a table
+       with one row per partition, broadcast), is added as an offset.
+
+    Exact for DECIMAL / integer ``value``.
     """
+    from lodestone.session import checkpoint
+
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(1, n)
-    qs = [i / n for i in range(1, n)]
-    bounds = []
-    if qs:
-        row = df.agg(F.percentile_approx(F.col(key).cast("double"), qs, 10000).alias("b")).first()
-        bounds = sorted(set(row["b"] or [])) if row else []
-    k = F.col(key).cast("double")
-    bucket = F.lit(0)
-    for b in bounds:
-        bucket = bucket + F.when(k > F.lit(b), 1).otherwise(0)
-    if not ascending:
-        bucket = F.lit(len(bounds)) - bucket
-    tagged = df.withColumn("_pb", bucket.cast("int"))
-    order = [F.col(key).asc() if ascending else F.col(key).desc()] + [F.col(c).asc() for c in tie]
-    w = Window.partitionBy("_pb").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = max(1, partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    order = [F.col(key).asc_nulls_last() if ascending else F.col(key).desc_nulls_last()] + \
+        [F.col(c).asc_nulls_last() for c in tie]
+    ranged = checkpoint(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    tagged = ranged.withColumn("_pp", F.spark_partition_id())
+    sum_type = _running_sum_type(df.schema[value].dataType)
+
+    # Running sum inside each range partition: a window partitioned by the
+    # partition id (its groups are the balanced ranges, so no hot task).
+    w = Window.partitionBy("_pp").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = tagged.withColumn("_local", F.sum(value).over(w))
-    totals = tagged.groupBy("_pb").agg(F.sum(value).alias("_bt"))
-    wt = Window.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pb", F.coalesce(F.sum("_bt").over(wt), F.lit(0)).alias("_off"))
-    return (local.join(bounded(offsets), "_pb")
-            .withColumn(out, F.col("_off") + F.col("_local"))
-            .drop("_pb", "_local", "_off"))
+    totals = tagged.groupBy("_pp").agg(F.sum(value).alias("_pt"))
+    wt = Window.orderBy("_pp").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pp", F.coalesce(F.sum("_pt").over(wt), F.lit(0)).alias("_off"))
+    return (local.join(bounded(offsets), "_pp")
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast(sum_type))
+            .drop("_pp", "_local", "_off"))
 
 
 def pareto_classes(df: DataFrame, key: str, value: str, a: float = 80.0, b: float = 95.0,
@@ -104,15 +109,11 @@ def pareto_classes(df: DataFrame, key: str, value: str, a: float = 80.0, b: floa
     order (ties by ``key``) and an A/B/C class (cumulative <= a, <= b, rest).
     ``value`` should be exact (DECIMAL) so ties and shares are reproducible.
 
-    The grouped input is read four times (boundaries, bucket sums, running
-    sums, grand total), so it is checkpointed once (reliably) instead of
-    recomputing the aggregation over the facts for each pass.
+    The grouped input is materialised once (inside ``prefix_sum``); the
+    grand total is a scalar over that result.
     """
-    from lodestone.session import checkpoint
-
-    df = checkpoint(df)
-    grand = scalar(F.sum(value), df)
     cum = prefix_sum(df, value, ascending=False, tie=[key], value=value, out="_cum")
+    grand = scalar(F.sum(value), cum)
     pct = F.try_divide(F.col(value) * 100, grand)
     cpct = F.try_divide(F.col("_cum") * 100, grand)
     return (cum

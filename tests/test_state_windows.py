@@ -108,7 +108,7 @@ def test_prefix_sum_matches_sequential_cumsum(spark):
     r = random.Random(11)
     data = [(f"k{i:04d}", r.randint(0, 40)) for i in range(3000)]   # many ties in the value
     df = spark.createDataFrame(data, "k string, v long")
-    got = dict(prefix_sum(df, "v", ascending=False, tie=["k"], value="v", out="c", buckets=7)
+    got = dict(prefix_sum(df, "v", ascending=False, tie=["k"], value="v", out="c", partitions=7)
                .select("k", "c").collect())
     acc, exp = 0, {}
     for k, v in sorted(data, key=lambda x: (-x[1], x[0])):
@@ -117,6 +117,26 @@ def test_prefix_sum_matches_sequential_cumsum(spark):
     assert got == exp
 
 
+def test_prefix_sum_splits_a_hot_tie_across_tasks(spark):
+    """A third of the rows share one value: the running sum is still exact,
+    and the ranged frame spreads that value over several partitions."""
+    from pyspark.sql import functions as F
+    data = [(f"k{i:05d}", 7 if i % 3 == 0 else (i % 50)) for i in range(6000)]
+    df = spark.createDataFrame(data, "k string, v long")
+    out = prefix_sum(df, "v", ascending=False, tie=["k"], value="v", out="c", partitions=8)
+    got = dict(out.select("k", "c").collect())
+    acc, exp = 0, {}
+    for k, v in sorted(data, key=lambda x: (-x[1], x[0])):
+        acc += v
+        exp[k] = acc
+    assert got == exp
+    hot = (df.repartitionByRange(8, F.col("v").desc(), F.col("k").asc())
+           .withColumn("p", F.spark_partition_id())          # tagged before the filter
+           .filter("v = 7").groupBy("p").count())
+    sizes = [r["count"] for r in hot.collect()]
+    assert len(sizes) >= 3 and max(sizes) < 2000               # the 2000 tied rows are split
+
+
 def test_pareto_classes(spark):
     df = spark.createDataFrame([("a", 50), ("b", 30), ("c", 15), ("d", 5)], "k string, v long")
     got = {r["k"]: (r["cumulative_pct"], r["pareto_category"]) for r in pareto_classes(df, "k", "v").collect()}
