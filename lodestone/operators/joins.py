@@ -29,6 +29,22 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def partitions_for(df: DataFrame) -> int:
+    """Partition count for an explicit repartition of ``df``: its estimated
+    size over the advisory partition size (AQE's target), at least 1 and at
+    most ``spark.sql.shuffle.partitions``."""
+    conf = df.sparkSession.conf
+    cap = max(1, int(conf.get("spark.sql.shuffle.partitions")))
+    target = conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    t = target.strip().lower().rstrip("b")
+    target_bytes = int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t or 64 << 20)
+    est = estimated_bytes(df)
+    if est is None:
+        return cap
+    return max(1, min(cap, -(-est // max(1, target_bytes))))
+
+
 def bounded(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Broadcast hint for a side whose size is bounded by its domain (a code
     table, a one-row aggregate, one row per month / partition / class).

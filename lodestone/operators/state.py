@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.operators.joins import bounded
+from lodestone.operators.joins import bounded, partitions_for
 
 
 class MergeCardinalityError(ValueError):
@@ -47,8 +47,7 @@ def row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
     if bounded_rows:
         w = Window.orderBy(*order)
         return df.withColumn(out, (base - 1 + F.row_number().over(w)).cast("bigint"))
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions_for(df)
     ranged = checkpoint(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
     tagged = (ranged.withColumn("_ri_pid", F.spark_partition_id())
               .withColumn("_ri_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
@@ -60,11 +59,6 @@ def row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
             .drop("_ri_pid", "_ri_local", "_ri_off"))
 
 
-def max_key(df: DataFrame, col: str) -> DataFrame:
-    """One row: ``COALESCE(MAX(col), 0)`` as ``_max_key``."""
-    return df.agg(F.coalesce(F.max(col), F.lit(0)).alias("_max_key"))
-
-
 # ---------------------------------------------------------------- insert
 def insert(state: DataFrame, rows: DataFrame) -> DataFrame:
     """INSERT rows (columns matched by name; missing ones NULL)."""

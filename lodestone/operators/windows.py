@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.operators.joins import bounded, scalar
+from lodestone.operators.joins import bounded, partitions_for, scalar
 
 
 def _w(partition: Sequence[str] | None, order: Sequence[Column]):
@@ -82,8 +82,7 @@ def prefix_sum(df: DataFrame, key: str, ascending: bool, tie: Sequence[str],
     """
     from lodestone.session import checkpoint
 
-    spark = df.sparkSession
-    n = max(1, partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, partitions or partitions_for(df))
     order = [F.col(key).asc_nulls_last() if ascending else F.col(key).desc_nulls_last()] + \
         [F.col(c).asc_nulls_last() for c in tie]
     ranged = checkpoint(df.repartitionByRange(n, *order).sortWithinPartitions(*order))

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from lodestone.operators.joins import partitions_for
 from lodestone.session import scratch_dir
 
 
@@ -45,7 +46,7 @@ def clustered_layout(df: DataFrame, name: str, cluster_col: str, sort_cols: Sequ
     key range, so a range filter on ``cluster_col`` skips whole files and
     row groups using parquet statistics (what a BRIN / clustered index buys)."""
     spark = df.sparkSession
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = files or partitions_for(df)
     path = scratch_dir(spark, name)
     (df.repartitionByRange(n, cluster_col)
        .sortWithinPartitions(*sort_cols)
