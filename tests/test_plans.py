@@ -78,3 +78,43 @@ def test_bucketed_fact_tables_join_without_exchange(spark):
         assert j.agg(F.sum("count(1)")).first()[0] == t.lineitem.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+# Queries allowed a window without PARTITION BY, and why its frame is
+# bounded independently of the data volume.
+UNPARTITIONED_WINDOW_OK = {
+    "downtime_categories": "one row per downtime class (4)",
+    "downtime_classes": "one row per class (5)",
+    "moving_avg_7_14": "one row per day of a quarter",
+    "moving_anomaly": "one row per day of a quarter",
+    "monthly_trend": "one row per month (12)",
+    "daily_record_flag": "one row per day of the range (14)",
+    "best_day": "one row per day of the range (14)",
+    "threshold_crossing": "one row per day of a month (dense calendar)",
+    "quality_trend": "12 months",
+    "quality_trend_mine": "12 months",
+    "kpi_upsert": "one row per mine",
+    "pareto_abc": "one row per range partition (offsets)",
+    "merge_sync": "one row per range partition (offsets)",
+}
+
+
+def _unpartitioned_windows(node, out):
+    if node.nodeName() == "Window" and node.partitionSpec().isEmpty():
+        out.append(node)
+    ch = node.children()
+    for i in range(ch.size()):
+        _unpartitioned_windows(ch.apply(i), out)
+
+
+def test_single_partition_windows_only_on_bounded_frames(spark):
+    skip = {"layout_pruned_read", "alarm_projection", "mat_monthly_quality"}
+    offenders = []
+    for k, fn in Q.items():
+        if k in skip:
+            continue
+        found = []
+        _unpartitioned_windows(fn(spark, SF_SMALL)._jdf.queryExecution().sparkPlan(), found)
+        if found and k not in UNPARTITIONED_WINDOW_OK:
+            offenders.append(k)
+    assert offenders == []
