@@ -45,12 +45,16 @@ JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-02-01'
 GROUP BY ROLLUP (n_name, shift_name)""")
 def rollup_report(spark, sf):
-    """Shift report with per-mine subtotals and a grand total."""
+    """Shift report with per-mine subtotals and a grand total.  The facts
+    are first reduced to one row per (mine, shift, machine); the ROLLUP
+    expansion and the distinct machine count then run over those rows."""
     t = Tables(spark, sf)
     p = _production(t, "1998-01-01", "1998-02-01").select(
         F.col("n_name").alias("mine_name"), _shift_name().alias("shift_name"), "l_quantity", "l_suppkey")
-    r = labelled_grouping(p, "rollup", ["mine_name", "shift_name"],
-                          [F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("total_tons"),
+    fine = p.groupBy("mine_name", "shift_name", "l_suppkey").agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_t"))
+    r = labelled_grouping(fine, "rollup", ["mine_name", "shift_name"],
+                          [F.sum("_t").cast("double").alias("total_tons"),
                            F.countDistinct("l_suppkey").alias("equipment_count")],
                           total_label="Total")
     r = r.withColumn("shift_name", F.when((F.col("grouping_level") % 2) == 1, F.lit("-"))
@@ -72,13 +76,17 @@ WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-04-0
 GROUP BY CUBE (n_name, p_type)""")
 def cube_report(spark, sf):
     """Mine x type matrix with all subtotals; ``grouping_level`` is the
-    GROUPING bit mask (two-argument GROUPING = grouping_id)."""
+    GROUPING bit mask (two-argument GROUPING = grouping_id).  CUBE expands
+    each input row four times and COUNT(DISTINCT) adds its own expansion,
+    so the facts are first reduced to one row per (mine, type, machine)."""
     t = Tables(spark, sf)
     p = (_production(t, "1998-01-01", "1998-04-01")
          .join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
          .select(F.col("n_name").alias("mine_name"), F.col("p_type").alias("type_name"), "l_quantity", "l_suppkey"))
-    c = labelled_grouping(p, "cube", ["mine_name", "type_name"],
-                          [F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("sum_tons"),
+    fine = p.groupBy("mine_name", "type_name", "l_suppkey").agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_t"))
+    c = labelled_grouping(fine, "cube", ["mine_name", "type_name"],
+                          [F.sum("_t").cast("double").alias("sum_tons"),
                            F.countDistinct("l_suppkey").alias("_n")])
     return (c.select(F.when(F.col("grouping_level").bitwiseAND(2) > 0, "All mines")
                      .otherwise(F.col("mine_name")).alias("mine_name"),
@@ -103,14 +111,17 @@ JOIN part ON l_partkey = p_partkey
 WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-02-01'
 GROUP BY GROUPING SETS ((n_name), (shift_name), (p_type), ())""")
 def grouping_sets_report(spark, sf):
-    """KPI summary over several independent slices in one aggregate."""
+    """KPI summary over several independent slices in one aggregate, run
+    over the facts pre-aggregated to (mine, shift, type)."""
     t = Tables(spark, sf)
     p = (_production(t, "1998-01-01", "1998-02-01")
          .join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
          .select("n_name", _shift_name().alias("shift_name"), "p_type", "l_quantity", "l_linenumber"))
-    g = (p.groupingSets([["n_name"], ["shift_name"], ["p_type"], []], "n_name", "shift_name", "p_type")
-         .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("total_tons"),
-              F.sum("l_linenumber").cast("bigint").alias("total_trips"),
+    fine = p.groupBy("n_name", "shift_name", "p_type").agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_t"), F.sum("l_linenumber").alias("_trips"))
+    g = (fine.groupingSets([["n_name"], ["shift_name"], ["p_type"], []], "n_name", "shift_name", "p_type")
+         .agg(F.sum("_t").cast("double").alias("total_tons"),
+              F.sum("_trips").cast("bigint").alias("total_trips"),
               F.grouping("n_name").alias("g_m"), F.grouping("shift_name").alias("g_s"),
               F.grouping("p_type").alias("g_t")))
     dim = (F.when(F.col("g_m") == 0, "mine").when(F.col("g_s") == 0, "shift")
