@@ -55,6 +55,7 @@ PLAN_MODULES = (
     "routines",
     "procedures",
     "validation",
+    "incremental",
 )
 
 
