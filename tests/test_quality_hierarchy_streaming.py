@@ -109,3 +109,29 @@ def test_streaming_daily_load_is_idempotent(spark, scratch):
     rej = rows(spark.read.parquet(scratch + "/rejected"), "date_id", "reject_reason")
     assert fact == [(20250120, 500.5), (20250121, 100.0)]
     assert rej == [(20250120, "negative tons"), (20250120, "unknown operator (ID=999999)")]
+
+
+def test_deep_hierarchy_checkpoints_and_stays_exact(spark):
+    """A 20-level chain crosses the every-8-levels checkpoint twice."""
+    chain = [("n0", None, "L0")] + [(f"n{i}", f"n{i - 1}", f"L{i}") for i in range(1, 20)]
+    nodes = spark.createDataFrame(chain, "id string, parent string, name string")
+    got = {r["id"]: (r["level"], r["path"]) for r in hierarchy_paths(nodes, "id", "parent", "name", sep="/").collect()}
+    assert got["n19"] == (20, "/".join(f"L{i}" for i in range(20)))
+    assert len(got) == 20
+
+
+def test_hierarchy_depth_limit_is_enforced(spark):
+    import pytest
+    tree = spark.createDataFrame([("r", None, "root"), ("a", "r", "a"), ("b", "a", "b"), ("c", "b", "c")],
+                                 "id string, parent string, name string")
+    with pytest.raises(RuntimeError):
+        hierarchy_paths(tree, "id", "parent", "name", max_depth=2).collect()
+
+
+def test_hierarchy_cycle_is_reported(spark):
+    import pytest
+    # "a" hangs under the root and under "b", and "b" under "a": reachable cycle
+    cyc = spark.createDataFrame([("r", None, "root"), ("a", "r", "a"), ("b", "a", "b"), ("a", "b", "a")],
+                                "id string, parent string, name string")
+    with pytest.raises(RuntimeError):
+        hierarchy_paths(cyc, "id", "parent", "name", max_depth=12).collect()
