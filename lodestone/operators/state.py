@@ -141,35 +141,41 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     WHEN MATCHED THEN UPDATE SET update_cols = source.*
     WHEN NOT MATCHED THEN INSERT (all target columns).
 
-    One full outer join on the keys.  A match flag (not COALESCE) picks the
-    side for every column, so a NULL in the source does overwrite.
+    * updated target = target LEFT JOIN source: a match flag (not COALESCE)
+      picks the side of every updated column, so a NULL in the source does
+      overwrite.  A small change set is broadcast (by AQE's runtime size
+      check), so the target itself is not shuffled;
+    * inserted rows = source LEFT ANTI target keys (a keys-only read of the
+      target).
+
     ``insert_values`` maps a target column to the source column that fills
     it on insert (e.g. a generated id computed in the source beforehand).
+    NULL keys never match (as in SQL): such target rows stay, such source
+    rows are inserted.
     """
     if check_unique:
         assert_unique(source, on)
     insert_values = dict(insert_values or {})
     tcols = target.columns
-    t = target.withColumn("_m_t", F.lit(True))
-    s_cols = [c for c in source.columns]
+    s_cols = list(source.columns)
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in s_cols]).withColumn("_m_s", F.lit(True))
     cond = [F.col(k) == F.col(f"_s_{k}") for k in on]
-    j = t.join(s, cond[0] if len(cond) == 1 else _and(cond), "full_outer")
-    in_t, in_s = F.col("_m_t").isNotNull(), F.col("_m_s").isNotNull()
+    j = target.join(s, cond[0] if len(cond) == 1 else _and(cond), "left")
+    matched = F.col("_m_s").isNotNull()
+    updated = j.select(*[(F.when(matched, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in update_cols
+                          else F.col(c)).alias(c) for c in tcols])
+
+    tkeys = target.select(*[F.col(k).alias(f"_t_{k}") for k in on])
+    kcond = [F.col(k) == F.col(f"_t_{k}") for k in on]
+    new = source.join(tkeys, kcond[0] if len(kcond) == 1 else _and(kcond), "left_anti")
 
     def src(c):
         if c in insert_values:
-            return F.col(f"_s_{insert_values[c]}")
-        return F.col(f"_s_{c}") if c in s_cols else F.lit(None)
+            return F.col(insert_values[c])
+        return F.col(c) if c in s_cols else F.lit(None)
 
-    out = []
-    for c in tcols:
-        if c in update_cols:
-            v = F.when(in_t & in_s, F.col(f"_s_{c}")).when(in_t, F.col(c)).otherwise(src(c))
-        else:
-            v = F.when(in_t, F.col(c)).otherwise(src(c))
-        out.append(v.alias(c))
-    return j.select(*out)
+    inserted = new.select(*[src(c).cast(target.schema[c].dataType).alias(c) for c in tcols])
+    return updated.unionByName(inserted)
 
 
 def _and(cols):
