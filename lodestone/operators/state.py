@@ -136,7 +136,7 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> N
 
 def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
           update_cols: Sequence[str], insert_values: Mapping[str, str] | None = None,
-          check_unique: bool = True) -> DataFrame:
+          check_unique: bool = True, insert_unmatched: bool = True) -> DataFrame:
     """MERGE INTO target USING source ON keys
     WHEN MATCHED THEN UPDATE SET update_cols = source.*
     WHEN NOT MATCHED THEN INSERT (all target columns).
@@ -151,7 +151,8 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     ``insert_values`` maps a target column to the source column that fills
     it on insert (e.g. a generated id computed in the source beforehand).
     NULL keys never match (as in SQL): such target rows stay, such source
-    rows are inserted.
+    rows are inserted.  ``insert_unmatched=False`` is MERGE without the
+    NOT MATCHED branch (an UPDATE ... FROM).
     """
     if check_unique:
         assert_unique(source, on)
@@ -164,6 +165,8 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     matched = F.col("_m_s").isNotNull()
     updated = j.select(*[(F.when(matched, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in update_cols
                           else F.col(c)).alias(c) for c in tcols])
+    if not insert_unmatched:
+        return updated
 
     tkeys = target.select(*[F.col(k).alias(f"_t_{k}") for k in on])
     kcond = [F.col(k) == F.col(f"_t_{k}") for k in on]
@@ -196,14 +199,16 @@ def upsert(target: DataFrame, rows: DataFrame, conflict_key: Sequence[str],
     """
     assert_unique(rows, conflict_key, "upsert")
     ck = list(conflict_key)
-    existing = rows.join(target.select(*ck), ck, "left_semi")
     fresh = rows.join(target.select(*ck), ck, "left_anti")
     rejected = fresh.limit(0)
     if primary_key:
         pk = list(primary_key)
         rejected = fresh.join(target.select(*pk), pk, "left_semi")
         fresh = fresh.join(target.select(*pk), pk, "left_anti")
-    upd = merge(target, existing.select(*ck, *update_cols), ck, update_cols, check_unique=False)
+    # Conflicting rows update only ``update_cols``; rows without a conflict
+    # are not touched by this join (insert_unmatched=False).
+    upd = merge(target, rows.select(*ck, *update_cols), ck, update_cols, check_unique=False,
+                insert_unmatched=False)
     return insert(upd, fresh.select(*[c for c in target.columns if c in fresh.columns])), rejected
 
 
