@@ -15,11 +15,6 @@ TABLE_NAMES = (
     "conversations",
 )
 
-# Tables whose row count does not grow with the scale factor.  Only these
-# (and aggregates proven small, e.g. one row or one row per month) are hinted
-# for broadcast; everything else is left to AQE's runtime size check.
-BOUNDED_TABLES = frozenset({"region", "nation"})
-
 # Schemas inferred once per path (the inputs are read-only for a session).
 _SCHEMAS: dict = {}
 
