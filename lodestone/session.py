@@ -78,3 +78,32 @@ def checkpoint(df):
     """Reliable checkpoint (cuts lineage, survives executor loss)."""
     _checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20,
+               max_partitions: int = 32768) -> dict:
+    """Session settings sized for a cluster run.
+
+    * ``spark.sql.shuffle.partitions``: enough that a shuffle of the whole
+      input lands at ~``target_partition_bytes`` per task (AQE then coalesces
+      smaller stages), never fewer than 2 x cores and capped at
+      ``max_partitions`` — shuffles carry pruned, filtered and partially
+      aggregated columns, far less than the raw input, and map-status
+      tracking grows with maps x reducers;
+    * scan splits of 256 MB (fewer, larger scan tasks over columnar files);
+    * AQE advisory size = the target, skew splitting for partitions 5x the
+      median and above 256 MB.
+
+    E.g. 100 TB on 8000 cores -> 32768 shuffle partitions (the cap).
+    """
+    parts = min(max_partitions, max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }
