@@ -121,3 +121,22 @@ def test_bounded_dimension_is_broadcast(spark):
     load_all()
     p = _plan(QUERIES["agg_multi_key"](spark, "/root/testdata/sf0.001"))
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    """One key holds a third of the rows: top-N keeps n rows per key in each
+    map task (partial WindowGroupLimit below the exchange) and latest-per-key
+    is a partial hash aggregate (one row per key per task) before shuffling."""
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 100).alias("g"),
+                                   F.col("id").alias("v"), (F.col("id") * 7 % 1000).alias("t"))
+    top = top_n_per_group(df, ["g"], [F.desc("v")], 3)
+    got = {r["v"] for r in top.filter("g = 0").collect()}
+    assert got == {29997, 29994, 29991}
+    lines = _plan(top).splitlines()
+    ex = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(g" in ln]
+    part = [i for i, ln in enumerate(lines) if "WindowGroupLimit" in ln and "Partial" in ln]
+    assert ex and part and min(part) > min(ex)          # partial limit is below (after, in the text) the exchange
+    lat = latest_per_key(df, "g", ["t", "v"], ["t", "v"])
+    assert lat.filter("g = 0").first()["t"] == 999
+    p = _plan(lat)
+    assert "partial_max_by" in p and "Window" not in p
