@@ -58,7 +58,11 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            # No shared folder configured (local tests): make one.
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+            if not str(master).startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                                   "(checkpoints and snapshots are written there)")
+            # Local mode (tests, laptops) without a configured folder: make one.
             root = tempfile.mkdtemp(prefix="lodestone-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
