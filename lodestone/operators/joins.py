@@ -63,13 +63,6 @@ def bounded(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     return df
 
 
-def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             is_bounded: bool = False) -> DataFrame:
-    """Fact-to-dimension join.  ``is_bounded`` dims are broadcast; others are
-    sized by AQE at runtime."""
-    return fact.join(bounded(dim) if is_bounded else dim, on, how)
-
-
 # ---------------------------------------------------------------- scalar values
 def scalar(agg: Column, of: DataFrame) -> Column:
     """An uncorrelated scalar subquery ``(SELECT agg FROM of)`` as a Column.

@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestone.functions.dates import dow0, ts
+from lodestone.functions.dates import ts
 from lodestone.functions.numeric import dsum, rnd
 from lodestone.functions.text import concat_pg
-from lodestone.operators.hierarchy import calendar
+from lodestone.operators.hierarchy import calendar, calendar_parts
 from lodestone.operators.joins import (bounded, compare_all, compare_any,
                                        compare_scalar_max, not_in, scalar)
 from lodestone.plans.registry import dsum as sql_dsum
@@ -190,9 +190,8 @@ def missing_days(spark, sf):
     cal = calendar(spark, "1997-03-01", "1997-03-31")
     used = (t.lineitem.filter((F.col("l_suppkey") == 5) & _between("l_shipdate", ("1997-03-01", "1997-04-01")))
             .select(F.to_date("l_shipdate").alias("d")))
-    return (cal.join(used, cal.full_date == F.col("d"), "left_anti")
-            .select("full_date", dow0("full_date").cast("bigint").alias("day_of_week"),
-                    dow0("full_date").isin(0, 6).alias("is_weekend"))
+    days = calendar_parts(cal.join(used, cal.full_date == F.col("d"), "left_anti"))
+    return (days.select("full_date", F.col("day_of_week").cast("bigint").alias("day_of_week"), "is_weekend")
             .orderBy("full_date"))
 
 
