@@ -180,26 +180,27 @@ FROM src LEFT JOIN cats ON src.p_brand = cats.p_brand
 GROUP BY s_name""")
 def crosstab_top5(spark, sf):
     """Dynamic crosstab: the categories are the top-N brands by value in the
-    period.  The N names are found first (an N-row result, the only data
-    read on the driver); the pivot then runs with that fixed list, so its
-    schema is known before the main job starts.  Columns are positional
-    (``reason_1`` = largest category)."""
+    period, found inside the plan — category totals, a distributed top-N
+    (TakeOrderedAndProject), a rank over those N rows — and broadcast back
+    to the facts; the pivot is on the rank 1..N, so the schema is fixed
+    before execution and nothing is read on the driver.  Columns are
+    positional (``reason_1`` = largest category)."""
+    from pyspark.sql import Window
+
     t = Tables(spark, sf)
     src = (t.lineitem.filter(_range("l_shipdate", "1998-01-01", "1998-04-01"))
-           .select("l_suppkey", "l_partkey", "l_extendedprice")
+           .select("l_suppkey", "l_partkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("_x"))
            .join(t.supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
            .join(t.part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")))
-    top = (src.groupBy("p_brand").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("_v"))
-           .orderBy(F.desc("_v"), "p_brand").limit(CROSSTAB_N).collect())
-    cats = [r["p_brand"] for r in top]
-    cols = _CT_COLS[:len(cats)]
-    pv = pivot_by_values(src.withColumn("_x", F.col("l_extendedprice").cast("decimal(18,2)")),
-                         [F.col("s_name").alias("equipment_name")], "p_brand", cats, F.col("_x"),
-                         agg="sum", names=cols)
-    out = pv.select("equipment_name", *[rnd(F.col(c) / 60.0, 1).alias(c) for c in cols])
-    for c in _CT_COLS[len(cats):]:
-        out = out.withColumn(c, F.lit(None).cast("double"))
-    return out.orderBy("equipment_name")
+    order = [F.desc("_v"), F.asc("p_brand")]
+    top = (src.groupBy("p_brand").agg(F.sum("_x").alias("_v"))
+           .orderBy(*order).limit(CROSSTAB_N)                      # N rows
+           .select(F.col("p_brand").alias("_cat"), F.row_number().over(Window.orderBy(*order)).alias("_rank")))
+    ranked = src.join(bounded(top), F.col("p_brand") == F.col("_cat"), "left")
+    pv = pivot_by_values(ranked, [F.col("s_name").alias("equipment_name")], "_rank",
+                         list(range(1, CROSSTAB_N + 1)), F.col("_x"), agg="sum", names=_CT_COLS)
+    return (pv.select("equipment_name", *[rnd(F.col(c) / 60.0, 1).alias(c) for c in _CT_COLS])
+            .orderBy("equipment_name"))
 
 
 # ---------------------------------------------------------------- A18 / U7

@@ -96,6 +96,7 @@ UNPARTITIONED_WINDOW_OK = {
     "kpi_upsert": "one row per mine",
     "pareto_abc": "one row per range partition (offsets)",
     "merge_sync": "one row per range partition (offsets)",
+    "crosstab_top5": "the N top categories (after a top-N)",
 }
 
 
