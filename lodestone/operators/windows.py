@@ -125,8 +125,12 @@ def pareto_classes(df: DataFrame, key: str, value: str, a: float = 80.0, b: floa
 def first_crossing(series: DataFrame, partition: Sequence[str], order_col: str,
                    cum_col: str, threshold: float) -> DataFrame:
     """Per partition: the first ``order_col`` where ``cum_col >= threshold``
-    (NULL when never reached) and the final cumulative value."""
+    (NULL when never reached), the cumulative value on that row
+    (``value_at_crossing``) and the final cumulative value — one aggregate,
+    no join back to the series."""
     keys = list(partition)
     g = series.groupBy(*keys) if keys else series.groupBy()
-    return g.agg(F.min(F.when(F.col(cum_col) >= threshold, F.col(order_col))).alias("crossed_on"),
+    reached = F.when(F.col(cum_col) >= threshold, F.col(order_col))
+    return g.agg(F.min(reached).alias("crossed_on"),
+                 F.min_by(F.col(cum_col), reached).alias("value_at_crossing"),
                  F.max_by(F.col(cum_col), F.col(order_col)).alias("final_total"))

@@ -159,11 +159,10 @@ def threshold_crossing(spark, sf):
     cum = running_sum(dense, [], [F.col("full_date")], "m", "_cm").withColumn(
         "cum_hours", F.col("_cm").cast("double") / 60.0)
     cross = first_crossing(cum, [], "full_date", "cum_hours", THRESHOLD_HOURS)
-    at = cum.select(F.col("full_date").alias("_d"), "cum_hours")
-    return (cross.join(at, F.col("crossed_on") == F.col("_d"), "left")
-            .select(F.lit(THRESHOLD_HOURS).alias("threshold_hours"),
-                    F.col("crossed_on").isNotNull().alias("threshold_reached"), "crossed_on",
-                    rnd("cum_hours", 1).alias("hours_at_crossing"), rnd("final_total", 1).alias("total_hours")))
+    return cross.select(F.lit(THRESHOLD_HOURS).alias("threshold_hours"),
+                        F.col("crossed_on").isNotNull().alias("threshold_reached"), "crossed_on",
+                        rnd("value_at_crossing", 1).alias("hours_at_crossing"),
+                        rnd("final_total", 1).alias("total_hours"))
 
 
 # ---------------------------------------------------------------- C14 / A29 / F26 / T8
@@ -184,18 +183,13 @@ SELECT type_name, sensor_count, telemetry_count,
 FROM j""")
 def sensor_activity(spark, sf):
     """Per sensor type: sensors, readings in the period, readings per sensor
-    (integer division) and a status — the FOREACH over an id array becomes
-    the type dimension left-joined to two grouped counts."""
+    (integer division) and a status — the FOREACH over an id array, with
+    two queries per id, becomes one grouped pass over the readings (the
+    types are those present; both counts are conditional aggregates)."""
     t = Tables(spark, sf)
-    ev = t.events
-    types = ev.select(F.col("event_type").alias("type_name")).distinct()
-    sensors = ev.groupBy(F.col("event_type").alias("_t1")).agg(F.countDistinct("user_id").alias("_sc"))
-    tele = (ev.filter(_range("ts", "2024-01-01", "2024-01-16"))
-            .groupBy(F.col("event_type").alias("_t2")).agg(F.count(F.lit(1)).alias("_tc")))
-    j = (types.join(sensors, F.col("type_name") == F.col("_t1"), "left")
-         .join(tele, F.col("type_name") == F.col("_t2"), "left")
-         .select("type_name", F.coalesce("_sc", F.lit(0)).alias("sensor_count"),
-                 F.coalesce("_tc", F.lit(0)).alias("telemetry_count")))
+    in_period = _range("ts", "2024-01-01", "2024-01-16")
+    j = (t.events.groupBy(F.col("event_type").alias("type_name"))
+         .agg(F.countDistinct("user_id").alias("sensor_count"), F.count_if(in_period).alias("telemetry_count")))
     avg = int_div(F.col("telemetry_count"), F.col("sensor_count"))
     return j.select("type_name", "sensor_count", "telemetry_count", avg.alias("avg_readings"),
                     F.when(F.col("telemetry_count") == 0, "no data").when(avg > 1000, "very active")
