@@ -9,6 +9,6 @@ plans      parametric reports and the registry of named queries
 streaming  incremental (micro-batch) drivers for the batch load jobs
 """
 
-from lodestone.session import get_session, scratch_dir
+from lodestone.session import get_session, scale_conf, scratch_dir
 
-__all__ = ["get_session", "scratch_dir"]
+__all__ = ["get_session", "scale_conf", "scratch_dir"]
