@@ -1,7 +1,8 @@
 """Table registry over a directory of parquet files.
 
 Every read goes through ``spark.read.parquet`` so Catalyst sees the scan and
-can push filters and prune columns into it.  Nothing is cached here: a plan
+can push filters and prune columns into it.  Only the inferred schema is kept
+(per path, so later reads skip footer inference); no data is cached: a plan
 that reuses a table twice reads it twice unless the caller decides otherwise.
 """
 
