@@ -320,7 +320,8 @@ def kpi_upsert(spark, sf):
     base = scalar(F.coalesce(F.max("kpi_id"), F.lit(0)), state0)
     src = (row_index(fresh, ["mine_id"], out="_rn", bounded_rows=True)
            .withColumn("new_id", F.col("_rn") + base).drop("_rn"))
-    return merge(state0, src, ["mine_id", "date_id"], _KPI_COLS, insert_values={"kpi_id": "new_id"})
+    # the change set has one row per mine (bounded by the dimension)
+    return merge(state0, bounded(src), ["mine_id", "date_id"], _KPI_COLS, insert_values={"kpi_id": "new_id"})
 
 
 # ---------------------------------------------------------------- X14 / Q1 / D12 / T18
