@@ -141,7 +141,7 @@ def below_group_average(spark, sf):
     f = (t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_suppkey")
          .join(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")))
     avg = f.groupBy(F.col("s_nationkey").alias("_k")).agg(F.avg("l_quantity").alias("_avg"))
-    j = (f.join(bounded(avg), F.col("s_nationkey") == F.col("_k"))
+    j = (f.join(bounded(avg, rows_of=t.nation), F.col("s_nationkey") == F.col("_k"))
          .filter(F.col("l_quantity") < F.col("_avg"))
          .join(bounded(t.nation), F.col("s_nationkey") == F.col("n_nationkey")))
     return (j.orderBy(F.desc(F.abs(F.col("l_quantity") - F.col("_avg"))), "l_orderkey", "l_linenumber")

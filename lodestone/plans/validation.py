@@ -237,9 +237,9 @@ def daily_kpi(t: Tables, day: str, downtime_day: str) -> DataFrame:
     m = t.nation.select(F.col("n_nationkey").cast("bigint").alias("mine_id"))
     # One row per mine on every side: the aggregates are bounded by the mine
     # dimension and joined by broadcast (subject to the size check).
-    j = (m.join(bounded(prod), F.col("mine_id") == F.col("_pm"), "left")
-         .join(bounded(down), F.col("mine_id") == F.col("_dm"), "left")
-         .join(bounded(qual), F.col("mine_id") == F.col("_qm"), "left"))
+    j = (m.join(bounded(prod, rows_of=t.nation), F.col("mine_id") == F.col("_pm"), "left")
+         .join(bounded(down, rows_of=t.nation), F.col("mine_id") == F.col("_dm"), "left")
+         .join(bounded(qual, rows_of=t.nation), F.col("mine_id") == F.col("_qm"), "left"))
     return j.select(
         "mine_id", F.lit(int(day.replace("-", ""))).cast("bigint").alias("date_id"),
         F.coalesce(F.col("_tons").cast("double"), F.lit(0.0)).alias("tons_mined"),
@@ -321,7 +321,7 @@ def kpi_upsert(spark, sf):
     src = (row_index(fresh, ["mine_id"], out="_rn", bounded_rows=True)
            .withColumn("new_id", F.col("_rn") + base).drop("_rn"))
     # the change set has one row per mine (bounded by the dimension)
-    return merge(state0, bounded(src), ["mine_id", "date_id"], _KPI_COLS, insert_values={"kpi_id": "new_id"})
+    return merge(state0, bounded(src, rows_of=t.nation), ["mine_id", "date_id"], _KPI_COLS, insert_values={"kpi_id": "new_id"})
 
 
 # ---------------------------------------------------------------- X14 / Q1 / D12 / T18

@@ -69,3 +69,14 @@ def test_calendar_parts(spark):
     assert [(x["date_id"], x["day_of_week"], x["is_weekend"], x["quarter"]) for x in r] == \
         [(20240301, 5, False, 1), (20240302, 6, True, 1), (20240303, 0, True, 1)]
     assert r[0]["full_date"] == dt.date(2024, 3, 1)
+
+
+def test_bounded_by_a_dimension_row_count(spark):
+    """A per-key aggregate over a join has a loose estimate; bounded by the
+    key dimension's row count it is hinted, and over the cap it is not."""
+    facts = spark.range(200000).select((F.col("id") % 25).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(25).withColumnRenamed("id", "k")
+    agg = facts.join(facts.select(F.col("k").alias("k2")).limit(1000), F.col("k") == F.col("k2")) \
+        .groupBy("k").agg(F.sum("v").alias("s"))
+    assert _hinted(bounded(agg, rows_of=dim))
+    assert not _hinted(bounded(agg, max_bytes=10, rows_of=dim))
