@@ -320,8 +320,11 @@ def kpi_upsert(spark, sf):
     base = scalar(F.coalesce(F.max("kpi_id"), F.lit(0)), state0)
     src = (row_index(fresh, ["mine_id"], out="_rn", bounded_rows=True)
            .withColumn("new_id", F.col("_rn") + base).drop("_rn"))
-    # the change set has one row per mine (bounded by the dimension)
-    return merge(state0, bounded(src, rows_of=t.nation), ["mine_id", "date_id"], _KPI_COLS, insert_values={"kpi_id": "new_id"})
+    # The change set has one row per mine by construction (grouped per mine and
+    # left-joined to the mine dimension): bounded by that dimension, and its
+    # keys are unique, so MERGE's uniqueness check is skipped.
+    return merge(state0, bounded(src, rows_of=t.nation), ["mine_id", "date_id"], _KPI_COLS,
+                 insert_values={"kpi_id": "new_id"}, check_unique=False)
 
 
 # ---------------------------------------------------------------- X14 / Q1 / D12 / T18
