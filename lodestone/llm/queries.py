@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, exact
+from . import common, exact, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +29,8 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(common.read(spark, sf_dir, "documents"))
+
+
+@query("op3_simhash_near_dedup")
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(common.read(spark, sf_dir, "documents"))
