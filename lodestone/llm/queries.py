@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, exact, simhash
+from . import bpe, common, exact, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +35,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_simhash_near_dedup")
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.read(spark, sf_dir, "documents"))
+
+
+@query("op5_bpe_tokenization")
+def op5_bpe_tokenization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(common.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
