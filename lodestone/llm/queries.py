@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, common, exact, simhash
+from . import bpe, common, exact, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,3 +40,17 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_bpe_tokenization")
 def op5_bpe_tokenization(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(common.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op2_warc_revisits", """
+WITH hashed AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+first AS (SELECT payload_digest, max(page_id) AS first_id FROM hashed WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM hashed LEFT JOIN first USING (payload_digest)
+""")
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (warc.archived(common.read(spark, sf_dir, "pages"))
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
