@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, common, exact, simhash, topk, warc
+from . import bpe, common, exact, langid, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,3 +68,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """)
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(common.read(spark, sf_dir, "embeddings"))
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(common.read(spark, sf_dir, "documents"))
