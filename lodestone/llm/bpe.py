@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-#: Tables are emptied beyond these sizes (nothing but speed depends on them).
+#: Tables are emptied, or the older half of them, beyond these sizes (nothing but speed depends on them).
 MOST_STATES, MOST_WORDS = 1 << 19, 1 << 18
 #: Long texts are split into words in pieces of about so many characters, at white space.
 PIECE = 1 << 20
@@ -212,27 +212,38 @@ class Tokenizer:
         rules = spec["pre_tokenizer"]["pretokenizers"]
         self.pattern = regex.compile(rules[0]["pattern"]["Regex"])
 
-    def _words(self, piece: str) -> list[str]:
+    def _keys(self, piece: str) -> list[str | bytes]:
         if not _ODD.search(piece):
-            return self.pattern.findall(piece.lower())
+            return piece.lower().split()
         normal = self.normalizer.normalize_str(piece)
-        return [bytes(map(self.bytes_of.__getitem__, w)).decode("utf-8", "surrogateescape") for w, _ in self.splitter.pre_tokenize_str(normal)]
+        return [bytes(map(self.bytes_of.__getitem__, w)) for w, _ in self.splitter.pre_tokenize_str(normal)]
 
-    def words(self, text: str) -> Iterator[list[str | int]]:
-        """The words of a text, a piece at a time; special tokens stand as their ids."""
+    def keys(self, text: str) -> Iterator[list[str | bytes | int]]:
+        """What a text is encoded by, a piece at a time.
+
+        Lower-cased runs between white space, or, where characters need the
+        library's normalizer, bytes of split words; special tokens are their ids.
+        """
         at = 0
         while at < len(text):
             cut = _SPACE.search(text, at + PIECE) if len(text) - at > PIECE else None
             to = cut.start() if cut else len(text)
             piece = text[at:to]
             if self.apart is None or "<" not in piece or not self.apart.search(piece):
-                yield self._words(piece)
+                yield self._keys(piece)
             else:
-                yield [w for k, part in enumerate(self.apart.split(piece)) for w in ([self.special[part]] if k % 2 else self._words(part))]
+                yield [w for k, part in enumerate(self.apart.split(piece)) for w in ([self.special[part]] if k % 2 else self._keys(part))]
             at = to
 
-    def ids(self, word: str | int) -> list[int]:
-        return [word] if isinstance(word, int) else self.automaton.encode(word.encode("utf-8", "surrogateescape"))
+    def ids(self, key: str | bytes | int) -> list[int]:
+        if isinstance(key, int):
+            return [key]
+        if isinstance(key, bytes):
+            return self.automaton.encode(key)
+        return [i for word in self.pattern.findall(key) for i in self.automaton.encode(word.encode())]
+
+    def encode(self, text: str) -> list[int]:
+        return [i for keys in self.keys(text) for key in keys for i in self.ids(key)]
 
     def decode(self, ids) -> str:
         """The labels of the arcs, joined as the library does for files without a decoder."""
@@ -240,21 +251,25 @@ class Tokenizer:
 
 
 class Words(dict):
-    """Words seen before, with what ``make`` gives for their ids."""
+    """Keys met lately, with what ``make`` gives for their ids; ``old`` has those met before."""
 
     def __init__(self, tokenizer: Tokenizer, make):
         super().__init__()
-        self.tokenizer, self.make = tokenizer, make
+        self.tokenizer, self.make, self.old = tokenizer, make, {}
 
-    def __missing__(self, word):
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(self.tokenizer.ids(key))
         if len(self) >= MOST_WORDS:
+            self.old = dict(self)
             self.clear()
-        found = self[word] = self.make(self.tokenizer.ids(word))
+        self[key] = found
         return found
 
     def pieces(self, text: str) -> Iterator[list]:
-        for words in self.tokenizer.words(text):
-            yield [self[w] for w in words]
+        for keys in self.tokenizer.keys(text):
+            yield [self[k] for k in keys]
 
 
 def little_endian(ids: list[int]) -> bytes:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, common, exact, langid, simhash, topk, warc
+from . import bpe, common, exact, langid, packing, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +73,8 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_language_id")
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(common.read(spark, sf_dir, "documents"))
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(common.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -26,7 +26,7 @@ def test_random_texts_as_the_library(library):
     own, rng = bpe.tokenizer(bpe.vocabulary(PATH)), random.Random(1)
     for _ in range(1500):
         text = "".join(rng.choice("ab é'<|>sStTreE1 \n日😀́Σς İ\x1f") for _ in range(rng.randint(1, 60)))
-        ids = [i for words in own.words(text) for w in words for i in own.ids(w)]
+        ids = own.encode(text)
         assert (ids, own.decode(ids)) == plain(library, text)
 
 
@@ -34,14 +34,21 @@ def test_tables_may_be_emptied(library, monkeypatch):
     monkeypatch.setattr(bpe, "MOST_STATES", 50)
     own = bpe.Tokenizer(bpe.vocabulary(PATH))
     text = "the quick brown foxes jumped over thoroughly unreasonable hedgerows"
-    assert [i for words in own.words(text) for w in words for i in own.ids(w)] == plain(library, text)[0]
+    assert own.encode(text) == plain(library, text)[0]
+
+
+def test_old_words_are_found_again(library, monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_WORDS", 4)
+    known = bpe.Words(bpe.tokenizer(bpe.vocabulary(PATH)), tuple)
+    text = "one two three one four, five six one seven it's eight one nine ten"
+    assert [i for p in known.pieces(text) for ids in p for i in ids] == plain(library, text)[0]
 
 
 def test_long_texts_in_pieces(library, monkeypatch):
     monkeypatch.setattr(bpe, "PIECE", 30)
     own = bpe.tokenizer(bpe.vocabulary(PATH))
     text = "it's a long text <|endoftext|> cut é anywhere\nat white space " * 20
-    assert [i for words in own.words(text) for w in words for i in own.ids(w)] == plain(library, text)[0]
+    assert own.encode(text) == plain(library, text)[0]
 
 
 def test_a_small_automaton_by_hand():
