@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, common, exact, langid, packing, simhash, suffixes, topk, warc
+from . import bpe, common, exact, langid, lines, packing, simhash, suffixes, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +83,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_array_dedup")
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(common.read(spark, sf_dir, "documents"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_duplicates(common.read(spark, sf_dir, "documents"))
