@@ -221,16 +221,22 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, most_pivots: int =
                   np.cumsum(tokens) - tokens, total, sequence, sequence + total // capacity + tail.bit_count())
 
 
+def _kind(path: str) -> str:
+    """Ids are kept in 16 bits where the vocabulary allows."""
+    return "<u2" if len(bpe.tokenizer(bpe.vocabulary(path)).labels) <= 1 << 16 else "<u4"
+
+
 def encoded(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(task, doc_id, tokens, length, number, ids): each document's ids with ``end``, numbered within its task and remainder length."""
     text = docs.sparkSession.sparkContext.broadcast(bpe.vocabulary(path))
-    last = np.array([end], "<u4").tobytes()
+    kind = _kind(path)
+    last = np.array([end], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, task, seen = bpe.cached_words(text.value, bpe.little_endian), TaskContext.get().partitionId(), np.zeros(capacity, np.int64)
-        for batch in common.slices(batches, "text", 1 << 20):
-            ids = [b"".join([*(b"".join(p) for p in known.pieces(t or "")), last]) for t in batch.column(1).to_pylist()]
-            tokens = [len(b) // 4 for b in ids]
+        known, task, seen = bpe.encoder(text.value), TaskContext.get().partitionId(), np.zeros(capacity, np.int64)
+        for batch in common.slices(batches, "text"):
+            ids = [i.astype(kind).tobytes() + last for i in known.encode([t or "" for t in batch.column(1).to_pylist()])]
+            tokens = [len(b) // len(last) for b in ids]
             numbers = []
             for n in tokens:
                 numbers.append(int(seen[n % capacity]))
@@ -276,11 +282,15 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, w
             for start, n, sequence, offset in layout.place(length, rank):
                 yield full * capacity + start, n, sequence, offset
 
+    kind = _kind(path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layout = shared.value
-        for batch in common.slices(batches, "ids", 8 << 20):
+        bpe.encoder.cache_clear()  # this stage has no use for its tables
+        for batch in common.slices(batches, "ids"):
             out = []
             for doc, tokens, length, rank, ids in zip(*(c.to_pylist() for c in batch.columns)):
+                ids = np.frombuffer(ids, kind).astype("<u4").tobytes()
                 for start, n, sequence, offset in pieces(layout, tokens, length, rank):
                     own = ids[4 * start:4 * (start + n)]
                     out.append((doc, start, n, zlib.crc32(own), tokens, sequence, offset, own))

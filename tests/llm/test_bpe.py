@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tokenizers
@@ -22,33 +23,40 @@ def plain(library, text):
     return ids, library.decode(ids, skip_special_tokens=False)
 
 
+def encode(text):
+    (ids,) = bpe.encoder(bpe.vocabulary(PATH)).encode([text])
+    return ids.tolist()
+
+
 def test_random_texts_as_the_library(library):
-    own, rng = bpe.tokenizer(bpe.vocabulary(PATH)), random.Random(1)
-    for _ in range(1500):
-        text = "".join(rng.choice("ab é'<|>sStTreE1 \n日😀́Σς İ\x1f") for _ in range(rng.randint(1, 60)))
-        ids = own.encode(text)
-        assert (ids, own.decode(ids)) == plain(library, text)
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("ab é'<|>sStTreE1 \n日😀́Σς İ\x1f") for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    for text in texts:
+        assert encode(text) == plain(library, text)[0]
+    own = bpe.encoder(bpe.vocabulary(PATH))
+    for text, ids in zip(texts, own.encode(texts)):
+        assert (ids.tolist(), own.tokenizer.decode(ids)) == plain(library, text)
 
 
-def test_tables_may_be_emptied(library, monkeypatch):
-    monkeypatch.setattr(bpe, "MOST_STATES", 50)
-    own = bpe.Tokenizer(bpe.vocabulary(PATH))
-    text = "the quick brown foxes jumped over thoroughly unreasonable hedgerows"
-    assert own.encode(text) == plain(library, text)[0]
+def test_words_one_by_one_and_many(library):
+    own, rng = bpe.tokenizer(bpe.vocabulary(PATH)).automaton, random.Random(2)
+    words = ["".join(rng.choice("thereandingxyzéß7") for _ in range(rng.randint(1, 20))).encode() for _ in range(800)]
+    ids, ends = own.encode_many(words)
+    assert [f.tolist() for f in np.split(ids, ends[:-1])] == [own.encode(w) for w in words]
 
 
-def test_old_words_are_found_again(library, monkeypatch):
-    monkeypatch.setattr(bpe, "MOST_WORDS", 4)
-    known = bpe.Words(bpe.tokenizer(bpe.vocabulary(PATH)), tuple)
-    text = "one two three one four, five six one seven it's eight one nine ten"
-    assert [i for p in known.pieces(text) for ids in p for i in ids] == plain(library, text)[0]
+def test_tables_may_be_emptied(library, monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_STATES", 50)
+    monkeypatch.setattr(bpe, "MOST_RUNS", 4)
+    own = bpe.Encoder(bpe.Tokenizer(bpe.vocabulary(PATH)))
+    texts = ["the quick brown foxes jumped", "over thoroughly unreasonable", "the hedgerows it's", "the quick"] * 2
+    assert [own.encode([t])[0].tolist() for t in texts] == [plain(library, t)[0] for t in texts]
 
 
 def test_long_texts_in_pieces(library, monkeypatch):
     monkeypatch.setattr(bpe, "PIECE", 30)
-    own = bpe.tokenizer(bpe.vocabulary(PATH))
-    text = "it's a long text <|endoftext|> cut é anywhere\nat white space " * 20
-    assert own.encode(text) == plain(library, text)[0]
+    text = "it's a long text <|endoftext|> cut é anywhere\nat white space, " * 20 + "y" * 100 + " 日本 end"
+    assert encode(text) == plain(library, text)[0]
 
 
 def test_a_small_automaton_by_hand():
