@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, common, exact, langid, lines, packing, simhash, suffixes, topk, warc
+from . import bpe, common, exact, langid, lines, packing, simhash, suffixes, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,3 +88,9 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_duplicates(common.read(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity_severity")
+def op4_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, common.read(spark, sf_dir, "labels")))
