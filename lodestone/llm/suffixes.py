@@ -387,3 +387,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
 
     return (_with_ranges(docs, length, **options).select("doc_id", "text", "ranges")
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text))
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
+    """``docs`` with the bytes that stay; what a cut leaves of a broken character goes with it, and so does a document of which only white space is left."""
+    ranges = repeated_starts(docs, length, **options).groupBy("doc", "text_hash").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
+    keyed = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    joined = keyed.join(ranges, ["doc", "text_hash"], "left").select("row", "ranges", F.col("row.text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, "text"):
+            texts = batch.column(2).to_pylist()
+            spans = [_spans(r, length) for r in batch.column(1).to_pylist()]
+            kept = [_kept(t.encode(), s).decode(errors="ignore") if s else t for t, s in zip(texts, spans)]
+            stays = pa.array([not s or bool(t.strip()) for t, s in zip(kept, spans)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["row", "kept"]).filter(stays)
+
+    cut = joined.mapInArrow(run, joined.select("row", F.col("text").alias("kept")).schema)
+    return cut.select(*[F.col("kept").alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
