@@ -4,7 +4,7 @@ Every byte covered by a string of ``LENGTH`` bytes that starts anywhere else in
 the corpus goes, whole texts counted, matches never across documents.
 
 *Sharding by content.*  A start (the place of one such string) belongs to the
-least hash among the ``ANCHOR``-byte strings inside its own string, its anchor.
+least hash among the strings of ``ANCHORS[0]`` bytes inside its own, its anchor.
 Equal strings have equal anchors at equal distance, so all starts that can
 match share an anchor, and the starts of one anchor place are a run.  The text
 that a run's strings cover is its piece.  Only anchors that occur twice or more
@@ -20,9 +20,10 @@ Pieces of one anchor that a shard's end parts are merged by binary search of
 the later shard's strings in the sorted strings of the earlier.
 
 *Crowded anchors.*  More than ``MOST_KINDS`` different pieces with one anchor
-(a frequent line in changing surroundings) would fill a task.  Their strings
-are told apart one by one by a 128-bit hash instead, counted with map-side
-aggregation.
+(a frequent line in changing surroundings) would fill a task.  They are dealt
+again by longer anchors (``ANCHORS``), which surroundings tell apart, equal
+pieces counted as before; the longest anchor is a whole string, whose pieces
+are all equal, so no group is left that is too large.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from lodestone.session import scratch_dir
 
 from . import common
 
-LENGTH, ANCHOR = 200, 64
+LENGTH, ANCHORS = 200, (64, 168, 200)
 MOST_KINDS, SHARD = 256, 2 << 20
 _STEP, _PLACE = 1 << 21, np.uint64((1 << 24) - 1)
 _ODD = np.random.default_rng(8).integers(1, 1 << 63, 300, dtype=np.uint64) | np.uint64(1)
@@ -82,6 +83,7 @@ def _runs(text: bytes, ends: np.ndarray, length: int, anchor: int) -> Iterator[t
 
 _KEY = "doc long, text_hash long"
 _PIECE = "anchor long, piece long, starts int"
+_NAMES = ["anchor", "piece", "starts"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -96,7 +98,7 @@ def _joined(column: pa.Array) -> tuple[bytes, np.ndarray]:
     return b"".join(texts), np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
 
 
-def anchors(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def anchors_of(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHORS[0]) -> DataFrame:
     """(anchor): one row for each run of starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +109,7 @@ def anchors(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> Data
     return _keyed(docs).select("text").mapInArrow(run, "anchor long")
 
 
-def pieces(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def pieces(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHORS[0]) -> DataFrame:
     """One row for each run of starts: its anchor, the hash of its piece, number of starts, document and first start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,57 +289,86 @@ def _sorted_shards(length: int, shard_bytes: int):
 
 
 def _cut(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """The text of pieces; of crowded ones the hash of each string instead."""
-    wanted = places.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("at", "anchor", "piece", "starts", "copies", "crowded")).alias("places"))
+    """The text of pieces."""
+    wanted = places.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("at", *_NAMES, "copies", "crowded")).alias("places"))
     one = _keyed(docs).select("doc", "text_hash", "text").join(wanted, ["doc", "text_hash"]).select("text", "places")
-    schema = pa.schema([("anchor", pa.int64()), ("piece", pa.int64()), ("starts", pa.int32()), ("copies", pa.int64()), ("data", pa.binary()), ("at", pa.int32()), ("string", pa.binary())])
+    schema = pa.schema([("anchor", pa.int64()), ("piece", pa.int64()), ("starts", pa.int32()), ("copies", pa.int64()), ("crowded", pa.bool_()), ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text", 1 << 20):
-            out = []
+            out, done = [], set()
             for text, own in zip(common.encoded(batch.column(0)), batch.column(1).to_pylist()):
-                done = set()
                 for p in own:
                     key = (p["anchor"], p["piece"], p["starts"])
-                    if key in done:  # a repeated row
-                        continue
-                    done.add(key)
-                    data = text[p["at"]:p["at"] + p["starts"] + length - 1]
-                    if not p["crowded"]:
-                        out.append((*key, p["copies"], data, None, None))
-                    else:
-                        out += [(*key, p["copies"], None, i, xxhash.xxh3_128_digest(data[i:i + length])) for i in range(p["starts"])]
-                    if len(out) >= 20000:
-                        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
-                        out = []
+                    if key not in done:  # a repeated row has the same pieces
+                        done.add(key)
+                        out.append((*key, p["copies"], p["crowded"], text[p["at"]:p["at"] + p["starts"] + length - 1]))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    return one.mapInArrow(run, f"{_PIECE}, copies long, data binary, at int, string binary")
+    return one.mapInArrow(run, f"{_PIECE}, copies long, crowded boolean, data binary")
+
+
+def _dealt_again(rows: DataFrame, length: int, anchor: int) -> DataFrame:
+    """The pieces of longer anchors inside pieces, with the piece that each lies in and where."""
+    owners = ["owner_anchor", "owner_piece", "owner_starts"]
+    names = [*_NAMES, "copies", "data", *owners, "at"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, "data"):
+            text, ends = _joined(batch.column(4))
+            keys, begins = list(zip(*(batch.column(i).to_pylist() for i in range(3)))), np.r_[0, ends]
+            copies = batch.column(3).to_pylist()
+            for first, starts, found in _runs(text, ends, length, anchor):
+                out = []
+                row = np.searchsorted(ends, first, side="right")
+                for a, n, h, r in zip(first.tolist(), starts.tolist(), found.tolist(), row.tolist()):
+                    data = text[a:a + n + length - 1]
+                    piece = np.uint64(xxhash.xxh3_64_intdigest(data)).astype(np.int64)
+                    out.append((h, int(piece), n, copies[r], data, *keys[r], a - int(begins[r])))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
+
+    return rows.select(*_NAMES, "copies", "data").mapInArrow(
+        run, f"{_PIECE}, copies long, data binary, owner_anchor long, owner_piece long, owner_starts int, at int")
 
 
-def repeated_starts(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, most_kinds: int = MOST_KINDS, shard_bytes: int = SHARD) -> DataFrame:
+def repeated_starts(docs: DataFrame, length: int = LENGTH, anchors: tuple[int, ...] = ANCHORS, most_kinds: int = MOST_KINDS, shard_bytes: int = SHARD) -> DataFrame:
     """(doc, text_hash, from, to): runs of starts whose string starts anywhere else too."""
-    spark, key = docs.sparkSession, ["anchor", "piece", "starts"]
+    spark = docs.sparkSession
 
     def written(df: DataFrame, name: str) -> DataFrame:
         folder = scratch_dir(spark, name)
         df.write.parquet(folder)
         return spark.read.parquet(folder)
 
-    often = anchors(docs, length, anchor).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    found = written(pieces(docs, length, anchor).join(often, "anchor"), "pieces")
-    kinds = written(found.groupBy(key).agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("doc", "text_hash", "at")]), "kinds")
-    many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    places = kinds.join(many, "anchor").withColumn("crowded", F.col("kinds") > most_kinds)
-    cut = written(_cut(docs, places, length), "cut")
-    sharded = (cut.where("data IS NOT NULL").select(*key, "copies", "data").repartition("anchor").sortWithinPartitions("anchor", "piece", "starts")
-               .mapInArrow(_sorted_shards(length, shard_bytes), f"{_PIECE}, from int, to int"))
-    strings = cut.where("string IS NOT NULL")
-    twice = strings.groupBy("string").agg(F.sum("copies").alias("n")).where("n > 1").select("string")
-    alone = strings.where("copies = 1").join(twice, "string").select(*key, F.col("at").alias("from"), (F.col("at") + 1).alias("to"))
-    whole = kinds.where("copies > 1").select(*key, F.lit(0).alias("from"), F.col("starts").alias("to"))
-    repeated = whole.union(sharded).union(alone)
-    return found.join(repeated, key).select("doc", "text_hash", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to"))
+    def compared(kinds: DataFrame, level: int) -> DataFrame:
+        """Of anchors with several kinds of pieces: those kinds, and whether they are too many."""
+        many = written(kinds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select(
+            "anchor", (F.col("n") > (most_kinds if level + 1 < len(anchors) else 1 << 62)).alias("crowded")), "many")
+        return kinds.join(many, "anchor")
+
+    def sharded(rows: DataFrame) -> DataFrame:
+        return (rows.where("NOT crowded").select(*_NAMES, "copies", "data").repartition("anchor").sortWithinPartitions(*_NAMES)
+                .mapInArrow(_sorted_shards(length, shard_bytes), f"{_PIECE}, from int, to int"))
+
+    def settled(kinds: DataFrame, rows: DataFrame, level: int) -> DataFrame:
+        """(anchor, piece, starts, from, to) of the kinds of a level; ``rows`` has the text of those to compare."""
+        out = kinds.where("copies > 1").select(*_NAMES, F.lit(0).alias("from"), F.col("starts").alias("to")).union(sharded(rows))
+        crowded = rows.where("crowded")
+        if level + 1 == len(anchors) or crowded.isEmpty():
+            return out
+        parts = written(_dealt_again(crowded, length, anchors[level + 1]), "dealt")
+        inner = written(parts.groupBy(*_NAMES).agg(F.sum("copies").alias("copies"), F.first("data").alias("data")), "kinds")
+        deeper = settled(inner, written(compared(inner, level + 1), "cut"), level + 1)
+        back = parts.drop("copies", "data").join(deeper, _NAMES)
+        return out.union(back.select(*[F.col(f"owner_{c}").alias(c) for c in _NAMES], F.col("at") + F.col("from"), F.col("at") + F.col("to")))
+
+    often = written(anchors_of(docs, length, anchors[0]).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "often")
+    found = written(pieces(docs, length, anchors[0]).join(often, "anchor"), "pieces")
+    kinds = written(found.groupBy(*_NAMES).agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("doc", "text_hash", "at")]), "kinds")
+    cut = written(_cut(docs, compared(kinds, 0), length), "cut")
+    repeated = settled(kinds, cut, 0)
+    return found.join(repeated, _NAMES).select("doc", "text_hash", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to"))
 
 
 def _spans(ranges: list[dict], length: int) -> list[tuple[int, int]]:

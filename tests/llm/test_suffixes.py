@@ -46,7 +46,7 @@ def mixed(seed, alphabet="abcé \0"):
 @pytest.mark.parametrize("options", [{}, {"most_kinds": 2}, {"shard_bytes": 60}, {"shard_bytes": 500, "most_kinds": 8}])
 def test_short_strings_in_all_paths(spark, options):
     rows = mixed(1) + [(100, "xy" * 40), (101, None), (102, ""), (102, ""), (103, "z" * 90), (104, "twin text of some length"), (104, "twin text of some length"), (None, "z" * 30)]
-    assert run(spark, rows, 20, anchor=8, **options) == plain(rows, 20)
+    assert run(spark, rows, 20, anchors=(8, 16, 20), **options) == plain(rows, 20)
 
 
 def test_empty_table(spark):
