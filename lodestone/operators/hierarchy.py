@@ -36,39 +36,37 @@ def calendar_parts(df: DataFrame, col: str = "full_date") -> DataFrame:
 
 
 def hierarchy_paths(nodes: DataFrame, id_col: str = "location_id", parent_col: str = "parent_id",
-                    name_col: str = "location_name", max_depth: int = 100,
-                    sep: str = " > ", indent: str = "  ") -> DataFrame:
+                    name_col: str = "location_name", sep: str = " > ", indent: str = "  ") -> DataFrame:
     """Expand an adjacency list from its roots (parent NULL).
 
     Output: every node column plus ``level`` (1 = root), ``indented_name``
     (name left-padded by ``indent`` per level below the root) and ``path``
-    (names from the root joined by ``sep``).  Raises if the hierarchy is
-    deeper than ``max_depth`` (a cycle, or bad data).  Every 8 levels the
-    frontier is checkpointed so the plan of a deep tree stays short.
+    (names from the root joined by ``sep``).  A node that is its own ancestor
+    is a cycle and raises; any depth is fine otherwise.  Each level is
+    checkpointed, so it is computed once and the plan stays short.
     """
     from lodestone.session import checkpoint
 
     cols = nodes.columns
-    frontier = (nodes.filter(F.col(parent_col).isNull())
-                .withColumn("level", F.lit(1))
-                .withColumn("path", F.col(name_col).cast("string")))
-    levels = [frontier]
-    for depth in range(2, max_depth + 2):
-        nxt = (nodes.alias("c")
-               .join(frontier.select(F.col(id_col).alias("_pid"), F.col("path").alias("_ppath")),
-                     F.col(f"c.{parent_col}") == F.col("_pid"))
-               .select(*[F.col(f"c.{c}").alias(c) for c in cols], F.lit(depth).alias("level"),
-                       F.concat(F.col("_ppath"), F.lit(sep), F.col(f"c.{name_col}")).alias("path")))
+    node = F.col(id_col).cast("string")
+    frontier = checkpoint(nodes.filter(F.col(parent_col).isNull())
+                          .withColumn("level", F.lit(1))
+                          .withColumn("path", F.col(name_col).cast("string"))
+                          .withColumn("_above", F.array(node)))
+    out, depth = frontier, 1
+    while True:
+        depth += 1
+        nxt = checkpoint(nodes.alias("c")
+                         .join(frontier.select(F.col(id_col).alias("_pid"), F.col("path").alias("_ppath"), F.col("_above").alias("_pabove")),
+                               F.col(f"c.{parent_col}") == F.col("_pid"))
+                         .select(*[F.col(f"c.{c}").alias(c) for c in cols], F.lit(depth).alias("level"),
+                                 F.concat(F.col("_ppath"), F.lit(sep), F.col(f"c.{name_col}")).alias("path"),
+                                 F.concat(F.col("_pabove"), F.array(F.col(f"c.{id_col}").cast("string"))).alias("_above")))
         if nxt.isEmpty():
             break
-        if depth > max_depth:
-            raise RuntimeError(f"hierarchy deeper than {max_depth} levels (cycle?)")
-        if depth % 8 == 0:
-            nxt = checkpoint(nxt)
-        levels.append(nxt)
-        frontier = nxt
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
+        again = nxt.filter(F.size(F.array_distinct("_above")) < F.size("_above")).select(id_col).limit(1).collect()
+        if again:
+            raise RuntimeError(f"cycle in the hierarchy at {again[0][0]!r}")
+        out, frontier = out.unionByName(nxt), nxt
     pad = F.expr(f"repeat('{indent}', level - 1)")
-    return out.withColumn("indented_name", F.concat(pad, F.col(name_col)))
+    return out.drop("_above").withColumn("indented_name", F.concat(pad, F.col(name_col)))

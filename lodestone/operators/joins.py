@@ -45,18 +45,6 @@ def partitions_for(df: DataFrame) -> int:
     return max(1, min(cap, -(-est // max(1, target_bytes))))
 
 
-_ROW_COUNTS: dict = {}
-
-
-def _row_count(dim: DataFrame) -> int:
-    """Row count of a small bounding dimension, memoised per logical plan
-    (dimensions are read-only inputs within a session)."""
-    key = dim.semanticHash()
-    if key not in _ROW_COUNTS:
-        _ROW_COUNTS[key] = dim.count()
-    return _ROW_COUNTS[key]
-
-
 def bounded(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | None = None) -> DataFrame:
     """Broadcast hint for a side whose size is bounded by its domain (a code
     table, a one-row aggregate, one row per month / partition / class).
@@ -74,7 +62,7 @@ def bounded(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | No
         conf = df.sparkSession.conf.get("lodestone.broadcast.maxBytes", None)
         cap = int(conf) if conf else BROADCAST_CAP_BYTES
     if rows_of is not None and (estimated_bytes(rows_of) or cap + 1) <= cap:
-        est = _row_count(rows_of) * int(df._jdf.schema().defaultSize())
+        est = rows_of.count() * int(df._jdf.schema().defaultSize())
     else:
         est = estimated_bytes(df)
     if est is not None and est <= cap:

@@ -25,6 +25,10 @@ class MergeCardinalityError(ValueError):
     """A target row would be modified by more than one source row."""
 
 
+class PrimaryKeyError(ValueError):
+    """A row to insert has a primary key that is taken."""
+
+
 # ---------------------------------------------------------------- ids
 def row_index(df: DataFrame, order: Sequence[str], out: str = "row_index",
               start: int | Column = 1, bounded_rows: bool = False) -> DataFrame:
@@ -189,27 +193,27 @@ def _and(cols):
 
 
 def upsert(target: DataFrame, rows: DataFrame, conflict_key: Sequence[str],
-           update_cols: Sequence[str], primary_key: Sequence[str] | None = None
-           ) -> tuple[DataFrame, DataFrame]:
-    """INSERT ... ON CONFLICT (conflict_key) DO UPDATE SET update_cols.
+           update_cols: Sequence[str], primary_key: Sequence[str] | None = None) -> DataFrame:
+    """INSERT ... ON CONFLICT (conflict_key) DO UPDATE SET update_cols: the new state.
 
-    Returns ``(new_state, rejected)``.  A new row (no conflict) whose
-    ``primary_key`` already exists in the target would violate the primary
-    key: it is rejected instead of inserted.
+    A new row (no conflict) whose ``primary_key`` is in the target, or in
+    another new row, violates the primary key: ``PrimaryKeyError``, and
+    nothing of the batch is applied (as a failed statement).
     """
     assert_unique(rows, conflict_key, "upsert")
     ck = list(conflict_key)
     fresh = rows.join(target.select(*ck), ck, "left_anti")
-    rejected = fresh.limit(0)
     if primary_key:
         pk = list(primary_key)
-        rejected = fresh.join(target.select(*pk), pk, "left_semi")
-        fresh = fresh.join(target.select(*pk), pk, "left_anti")
+        clash = (fresh.join(target.select(*pk), pk, "left_semi").select(*pk)
+                 .unionByName(fresh.groupBy(*pk).count().filter(F.col("count") > 1).select(*pk)).limit(1).collect())
+        if clash:
+            raise PrimaryKeyError(f"duplicate primary key {clash[0].asDict()}")
     # Conflicting rows update only ``update_cols``; rows without a conflict
     # are not touched by this join (insert_unmatched=False).
     upd = merge(target, rows.select(*ck, *update_cols), ck, update_cols, check_unique=False,
                 insert_unmatched=False)
-    return insert(upd, fresh.select(*[c for c in target.columns if c in fresh.columns])), rejected
+    return insert(upd, fresh.select(*[c for c in target.columns if c in fresh.columns]))
 
 
 # ---------------------------------------------------------------- partitions

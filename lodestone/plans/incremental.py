@@ -1,11 +1,11 @@
 """The daily production load run incrementally with Structured Streaming.
 
 Staged rows for several days (derived from the line items with the planted
-faults of ``validation.daily_staging``) arrive as one file batch per day in
-a folder under the shared scratch location; the stream
-(``streaming.daily_load``) validates each micro-batch and replaces the
-loaded and rejected days by dynamic partition overwrite.  The query returns
-what landed: every staged row with its outcome.
+faults of ``validation.daily_staging``) arrive in a folder under the shared
+scratch location, several files a day; the stream (``streaming.daily_load``)
+validates each micro-batch of files and writes its loaded and rejected rows as
+partitions of their own.  The query returns what landed: every staged row with
+its outcome.
 """
 
 from __future__ import annotations
@@ -16,15 +16,16 @@ from lodestone.plans.registry import query
 from lodestone.plans.validation import daily_staging
 from lodestone.session import scratch_dir
 from lodestone.sources.tables import Tables
-from lodestone.streaming.daily_load import STAGING_SCHEMA, start_daily_load
+from lodestone.streaming.daily_load import STAGING_SCHEMA, landed, start_daily_load
 
+FILES_PER_BATCH = 3
 STREAM_DAYS = ("1997-03-14", "1997-03-15", "1997-03-16")
 
 _STAGED_SQL = """
   SELECT CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS date_id,
-    CASE WHEN l_linenumber = 3 THEN l_suppkey + 100000 WHEN l_linenumber = 6 THEN NULL ELSE l_suppkey END AS equipment_id,
+    CASE WHEN l_linenumber = 3 THEN -l_suppkey WHEN l_linenumber = 6 THEN NULL ELSE l_suppkey END AS equipment_id,
     CAST(l_linenumber AS BIGINT) AS shift_id,
-    CASE WHEN l_linenumber = 5 THEN 999999 ELSE o_custkey END AS operator_id,
+    CASE WHEN l_linenumber = 5 THEN -1 ELSE o_custkey END AS operator_id,
     CASE WHEN l_linenumber = 2 THEN -l_quantity ELSE l_quantity END AS tons_mined,
     CAST(CASE WHEN l_linenumber = 4 THEN -1 ELSE l_linenumber END AS BIGINT) AS trips_count
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -47,18 +48,17 @@ def streaming_daily_load(spark, sf):
     t = Tables(spark, sf)
     staging = scratch_dir(spark, "staging_daily_production")
     cols = [f.name for f in STAGING_SCHEMA.fields]
-    for day in STREAM_DAYS:            # one arriving file batch per day
-        daily_staging(t, day).select(*cols).write.mode("errorifexists").parquet(f"{staging}/{day}")
+    for day in STREAM_DAYS:            # several files a day
+        daily_staging(t, day).select(*cols).repartition(2).write.mode("errorifexists").parquet(f"{staging}/{day}")
     fact, rejected = scratch_dir(spark, "fact_production"), scratch_dir(spark, "staging_rejected")
     q = start_daily_load(spark, f"{staging}/*", fact, rejected,
                          t.supplier.select(F.col("s_suppkey").alias("id")),
                          t.customer.select(F.col("c_custkey").alias("id")),
-                         scratch_dir(spark, "daily_load_stream_ckpt"), max_files_per_trigger=1)
+                         scratch_dir(spark, "daily_load_stream_ckpt"), max_files_per_trigger=FILES_PER_BATCH)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"daily load stream failed: {q.exception()}")
-    loaded = (spark.read.parquet(fact)
+    loaded = (landed(spark, fact)
               .withColumn("status", F.lit("loaded")).withColumn("reject_reason", F.lit(None).cast("string")))
-    out = [c for c in cols] + ["status", "reject_reason"]
-    both = loaded.select(*out).unionByName(spark.read.parquet(rejected).select(*out))
-    return both.withColumn("date_id", F.col("date_id").cast("bigint"))
+    out = [*cols, "status", "reject_reason"]
+    return loaded.select(*out).unionByName(landed(spark, rejected, rejected=True).withColumn("status", F.lit("rejected")).select(*out))

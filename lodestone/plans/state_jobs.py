@@ -40,9 +40,9 @@ _EQ_SCHEMA = T.StructType([
 
 # Machines added by the insert statements.
 NEW_EQUIPMENT = [
-    (100200, "Haul truck 7529", 2, 2025, "active", True),
-    (100201, "Loader 1400", 1, 2025, "active", False),
-    (100202, "Skip hoist 12", 2, 2024, "active", True),
+    (-100200, "Haul truck 7529", 2, 2025, "active", True),
+    (-100201, "Loader 1400", 1, 2025, "active", False),
+    (-100202, "Skip hoist 12", 2, 2024, "active", True),
 ]
 
 
@@ -272,7 +272,7 @@ def _op_target(t):
 
 def _op_rows(t):
     return t.customer.filter(F.col("c_acctbal") > 5000).select(
-        (F.col("c_custkey") + 1000000).alias("operator_id"), F.col("c_name").alias("tab_number"),
+        (-F.col("c_custkey")).alias("operator_id"), F.col("c_name").alias("tab_number"),
         F.lower("c_mktsegment").alias("position"),
         F.concat(F.lit("grade "), (F.col("c_nationkey") % 7).cast("string")).alias("qualification"),
         F.lit(99).cast("bigint").alias("mine_id"))
@@ -280,7 +280,7 @@ def _op_rows(t):
 
 @query("upsert_partial", f"""
 WITH target AS ({_OP_TARGET}),
-rows AS (SELECT c_custkey + 1000000 AS operator_id, c_name AS tab_number, lower(c_mktsegment) AS position,
+rows AS (SELECT -c_custkey AS operator_id, c_name AS tab_number, lower(c_mktsegment) AS position,
                 'grade ' || CAST(c_nationkey % 7 AS VARCHAR) AS qualification, CAST(99 AS BIGINT) AS mine_id
          FROM customer WHERE c_acctbal > 5000)
 SELECT t.operator_id, t.tab_number,
@@ -295,6 +295,4 @@ def upsert_partial(spark, sf):
     qualification: conflicting rows change only those two columns, the rest
     are inserted whole."""
     t = Tables(spark, sf)
-    new_state, _rejected = upsert(_op_target(t), _op_rows(t), ["tab_number"], ["position", "qualification"],
-                                  primary_key=["operator_id"])
-    return new_state
+    return upsert(_op_target(t), _op_rows(t), ["tab_number"], ["position", "qualification"], primary_key=["operator_id"])

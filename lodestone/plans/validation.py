@@ -19,6 +19,7 @@ from lodestone.operators.joins import bounded, scalar
 from lodestone.operators.quality import batch_gate, json_payload, range_check, tag
 from lodestone.operators.state import merge, row_index
 from lodestone.plans.registry import query, rd
+from lodestone.session import scratch_dir
 from lodestone.sources.snapshots import materialize
 from lodestone.sources.tables import Tables
 
@@ -99,7 +100,7 @@ _FK_DAY = ("2024-01-20", "2024-01-21")
 @query("fk_load_split", f"""
 WITH src AS (
   SELECT event_id AS row_index,
-         CASE WHEN event_type = 'signup' AND value > 300 THEN 999999 ELSE user_id END AS equipment_id,
+         CASE WHEN event_type = 'signup' AND value > 300 THEN -1 ELSE user_id END AS equipment_id,
          ts AS start_time,
          CASE WHEN event_type = 'error' AND value < 20 THEN NULL ELSE ts + INTERVAL 45 MINUTE END AS end_time
   FROM events WHERE ts >= TIMESTAMP '{_FK_DAY[0]}' AND ts < TIMESTAMP '{_FK_DAY[1]}'),
@@ -116,7 +117,7 @@ def fk_load_split(spark, sf):
     t = Tables(spark, sf)
     src = t.events.filter(_range("ts", *_FK_DAY)).select(
         F.col("event_id").alias("row_index"),
-        F.when((F.col("event_type") == "signup") & (F.col("value") > 300), F.lit(999999).cast("bigint"))
+        F.when((F.col("event_type") == "signup") & (F.col("value") > 300), F.lit(-1).cast("bigint"))
         .otherwise(F.col("user_id")).alias("equipment_id"),
         F.col("ts").alias("start_time"),
         F.when((F.col("event_type") == "error") & (F.col("value") < 20), F.lit(None))
@@ -341,10 +342,10 @@ def daily_staging(t: Tables, day: str) -> DataFrame:
     ln = F.col("l_linenumber")
     return li.select(
         date_key("l_shipdate").cast("bigint").alias("date_id"), "l_orderkey",
-        F.when(ln == 3, F.col("l_suppkey") + 100000).when(ln == 6, F.lit(None).cast("bigint"))
+        F.when(ln == 3, -F.col("l_suppkey")).when(ln == 6, F.lit(None).cast("bigint"))
         .otherwise(F.col("l_suppkey")).alias("equipment_id"),
         ln.cast("bigint").alias("shift_id"),
-        F.when(ln == 5, F.lit(999999).cast("bigint")).otherwise(F.col("o_custkey")).alias("operator_id"),
+        F.when(ln == 5, F.lit(-1).cast("bigint")).otherwise(F.col("o_custkey")).alias("operator_id"),
         F.when(ln == 2, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("tons_mined"),
         F.when(ln == 4, F.lit(-1)).otherwise(ln).cast("bigint").alias("trips_count"))
 
@@ -378,19 +379,18 @@ def tag_daily(rows: DataFrame, equipment_ids: DataFrame, operator_ids: DataFrame
                     F.when(bad, reason).alias("reject_reason"))
 
 
-def publish_day(loaded: DataFrame, path: str) -> None:
-    """Replace only this day's partition of the fact dataset (dynamic
-    partition overwrite); other days are untouched, a rerun is idempotent."""
-    (loaded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date_id").parquet(path))
+def publish_day(loaded: DataFrame, path: str, date_id: int) -> None:
+    """Replace this day's partition of the fact dataset, also where nothing
+    was loaded; other days are untouched, a rerun is idempotent."""
+    loaded.drop("date_id").write.mode("overwrite").parquet(f"{path}/date_id={date_id}")
 
 
 @query("validate_daily_load", f"""
 WITH s AS (
   SELECT CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS date_id, l_orderkey,
-    CASE WHEN l_linenumber = 3 THEN l_suppkey + 100000 WHEN l_linenumber = 6 THEN NULL ELSE l_suppkey END AS equipment_id,
+    CASE WHEN l_linenumber = 3 THEN -l_suppkey WHEN l_linenumber = 6 THEN NULL ELSE l_suppkey END AS equipment_id,
     CAST(l_linenumber AS BIGINT) AS shift_id,
-    CASE WHEN l_linenumber = 5 THEN 999999 ELSE o_custkey END AS operator_id,
+    CASE WHEN l_linenumber = 5 THEN -1 ELSE o_custkey END AS operator_id,
     CASE WHEN l_linenumber = 2 THEN -l_quantity ELSE l_quantity END AS tons_mined,
     CAST(CASE WHEN l_linenumber = 4 THEN -1 ELSE l_linenumber END AS BIGINT) AS trips_count
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate = TIMESTAMP '{LOAD_DAY}'),
@@ -409,6 +409,82 @@ def validate_daily_load(spark, sf):
     return process_daily_production(t, daily_staging(t, LOAD_DAY), LOAD_DAY_ID)
 
 
+STALE_DAY = "1997-03-14"
+_LOADED_COLS = ["date_id", "l_orderkey", "equipment_id", "shift_id", "operator_id", "tons_mined", "trips_count"]
+
+
+def load_day(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The daily load as a job: (facts after it, reject table, counts).
+
+    The fact dataset holds the valid rows of the day before and an earlier,
+    wrong version of the loaded day (one ton a row); the load replaces that
+    day's partition and no other, the rejected rows go to their own table, and
+    the counts are of the rows that have landed in both.
+    """
+    spark = t.spark
+    keys = (t.supplier.select(F.col("s_suppkey").alias("id")), t.customer.select(F.col("c_custkey").alias("id")))
+    facts, rejects = scratch_dir(spark, "fact_production"), scratch_dir(spark, "rejected_production")
+    before = tag_daily(daily_staging(t, STALE_DAY), *keys).filter("status = 'loaded'").select(*_LOADED_COLS)
+    wrong = daily_staging(t, LOAD_DAY).withColumn("tons_mined", F.lit(1.0)).select(*_LOADED_COLS)
+    before.unionByName(wrong).write.partitionBy("date_id").parquet(facts)
+    tagged = process_daily_production(t, daily_staging(t, LOAD_DAY), LOAD_DAY_ID).persist()
+    publish_day(tagged.filter("status = 'loaded'").select(*_LOADED_COLS), facts, LOAD_DAY_ID)
+    tagged.filter("status = 'rejected'").select(*_LOADED_COLS, "reject_reason").write.parquet(rejects)
+    tagged.unpersist()
+    schema = tagged.select(*_LOADED_COLS, "reject_reason").schema
+    loaded = spark.read.schema(tagged.select(*_LOADED_COLS).schema).parquet(facts)
+    rejected = spark.read.schema(schema).parquet(rejects)
+    landed = (loaded.filter(F.col("date_id") == LOAD_DAY_ID).select("tons_mined", F.lit("loaded").alias("kind"))
+              .unionByName(rejected.select("tons_mined", F.lit("rejected").alias("kind"))))
+    counts = landed.agg(F.count_if(F.col("kind") == "loaded").alias("rows_loaded"), F.count_if(F.col("kind") == "rejected").alias("rows_rejected"),
+                        F.count(F.lit(1)).alias("rows_staged"))
+    return loaded, rejected, counts.select(F.lit(LOAD_DAY_ID).cast("bigint").alias("date_id"), "*")
+
+
+def _staged_sql(day: str) -> str:
+    fault = "equipment_id NOT IN (SELECT s_suppkey FROM supplier)"
+    return f"""
+  SELECT *, CASE WHEN tons_mined < 0 THEN 'negative tons' WHEN trips_count < 0 THEN 'negative trips'
+                 WHEN equipment_id IS NULL OR {fault} THEN 'unknown equipment (ID=' || CAST(equipment_id AS VARCHAR) || ')'
+                 WHEN operator_id NOT IN (SELECT c_custkey FROM customer) THEN 'unknown operator (ID=' || CAST(operator_id AS VARCHAR) || ')' END AS reason,
+         tons_mined >= 0 AND trips_count >= 0 AND equipment_id IS NOT NULL AND NOT ({fault})
+           AND operator_id IN (SELECT c_custkey FROM customer) AS good
+  FROM (SELECT CAST({day.replace('-', '')} AS BIGINT) AS date_id, l_orderkey,
+               CASE l_linenumber WHEN 3 THEN -l_suppkey WHEN 6 THEN NULL ELSE l_suppkey END AS equipment_id,
+               CAST(l_linenumber AS BIGINT) AS shift_id, CASE WHEN l_linenumber = 5 THEN -1 ELSE o_custkey END AS operator_id,
+               CASE WHEN l_linenumber = 2 THEN -l_quantity ELSE l_quantity END AS tons_mined,
+               CAST(CASE WHEN l_linenumber = 4 THEN -1 ELSE l_linenumber END AS BIGINT) AS trips_count
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE CAST(l_shipdate AS DATE) = DATE '{day}') staged"""
+
+
+_LOADED_SQL = ", ".join(_LOADED_COLS)
+
+
+@query("daily_load_fact", f"""
+SELECT {_LOADED_SQL} FROM ({_staged_sql(STALE_DAY)}) d WHERE good
+UNION ALL
+SELECT {_LOADED_SQL} FROM ({_staged_sql(LOAD_DAY)}) d WHERE good""")
+def daily_load_fact(spark, sf):
+    """The fact table after the load: the other day kept, the loaded day replaced."""
+    return load_day(Tables(spark, sf))[0]
+
+
+@query("daily_load_rejected", f"""
+SELECT {_LOADED_SQL}, reason AS reject_reason FROM ({_staged_sql(LOAD_DAY)}) d WHERE NOT good""")
+def daily_load_rejected(spark, sf):
+    """The reject table of the load, each row with the first rule that it breaks."""
+    return load_day(Tables(spark, sf))[1]
+
+
+@query("daily_load_counts", f"""
+SELECT CAST({LOAD_DAY_ID} AS BIGINT) AS date_id, COUNT(*) FILTER (WHERE good) AS rows_loaded,
+       COUNT(*) FILTER (WHERE NOT good) AS rows_rejected, COUNT(*) AS rows_staged
+FROM ({_staged_sql(LOAD_DAY)}) d""")
+def daily_load_counts(spark, sf):
+    """How many rows the load has put into the fact and reject tables."""
+    return load_day(Tables(spark, sf))[2]
+
+
 # ---------------------------------------------------------------- D13
 def balances(t: Tables) -> DataFrame:
     return t.supplier.select(F.col("s_suppkey").alias("equipment_id"),
@@ -523,7 +599,7 @@ WITH b AS (
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderdate = TIMESTAMP '{LOAD_DAY}'
   UNION ALL
   SELECT 'fact_equipment_telemetry', c.c_custkey IS NOT NULL
-  FROM (SELECT CASE WHEN event_type = 'signup' THEN user_id + 99999 ELSE user_id END AS sensor_id FROM events
+  FROM (SELECT CASE WHEN event_type = 'signup' THEN -user_id ELSE user_id END AS sensor_id FROM events
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16') e
   LEFT JOIN customer c ON e.sensor_id = c.c_custkey)
 SELECT table_name, COUNT(*) AS batch_rows, COUNT(*) FILTER (WHERE NOT ok) AS bad_rows,
@@ -542,7 +618,7 @@ def partial_load(spark, sf):
          .join(t.customer.select(F.col("c_custkey").alias("_k")), F.col("o_custkey") == F.col("_k"), "left")
          .select(F.lit("fact_ore_quality").alias("table_name"), F.col("_k").isNotNull().alias("ok")))
     e = (t.events.filter(_range("ts", "2024-01-15", "2024-01-16"))
-         .select(F.when(F.col("event_type") == "signup", F.col("user_id") + 99999).otherwise(F.col("user_id"))
+         .select(F.when(F.col("event_type") == "signup", -F.col("user_id")).otherwise(F.col("user_id"))
                  .alias("sensor_id"))
          .join(t.customer.select(F.col("c_custkey").alias("_k")), F.col("sensor_id") == F.col("_k"), "left")
          .select(F.lit("fact_equipment_telemetry").alias("table_name"), F.col("_k").isNotNull().alias("ok")))

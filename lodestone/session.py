@@ -72,10 +72,7 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    root = _checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{_checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def checkpoint(df):
@@ -85,22 +82,21 @@ def checkpoint(df):
 
 
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20,
-               max_partitions: int = 32768) -> dict:
+               max_partitions: int | None = None) -> dict:
     """Session settings sized for a cluster run.
 
     * ``spark.sql.shuffle.partitions``: enough that a shuffle of the whole
       input lands at ~``target_partition_bytes`` per task (AQE then coalesces
-      smaller stages), never fewer than 2 x cores and capped at
-      ``max_partitions`` — shuffles carry pruned, filtered and partially
-      aggregated columns, far less than the raw input, and map-status
-      tracking grows with maps x reducers;
+      smaller stages) and never fewer than 2 x cores; ``max_partitions`` is a
+      bound of the caller's, none by default;
     * scan splits of 256 MB (fewer, larger scan tasks over columnar files);
     * AQE advisory size = the target, skew splitting for partitions 5x the
       median and above 256 MB.
 
-    E.g. 100 TB on 8000 cores -> 32768 shuffle partitions (the cap).
+    E.g. 100 TB -> 819,200 shuffle partitions of 128 MB.
     """
-    parts = min(max_partitions, max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(parts, max_partitions) if max_partitions else parts
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(256 << 20),

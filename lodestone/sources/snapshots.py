@@ -39,30 +39,22 @@ def refresh(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
-_LAYOUTS: dict = {}
-
-
 def clustered_layout(df: DataFrame, name: str, cluster_col: str, sort_cols: Sequence[str],
-                     files: int | None = None, reuse: bool = True) -> str:
+                     files: int | None = None) -> str:
     """Range-partition ``df`` on ``cluster_col`` and sort each file by
     ``sort_cols``; returns the path.  Each output file then covers a narrow
     key range, so a range filter on ``cluster_col`` skips whole files and
     row groups using parquet statistics (what a BRIN / clustered index buys).
 
-    A layout is built once and read many times: with ``reuse`` a layout of
-    the same input plan and spec written earlier in the session is returned
-    instead of being rewritten (a new path is used only for a new layout).
+    A layout is a job of its own: the caller keeps the path and reads it as
+    often as it likes; every call writes a new one from the data as they are.
     """
     spark = df.sparkSession
-    key = (df.semanticHash(), cluster_col, tuple(sort_cols), files)
-    if reuse and key in _LAYOUTS:
-        return _LAYOUTS[key]
     n = files or partitions_for(df)
     path = scratch_dir(spark, name)
     (df.repartitionByRange(n, cluster_col)
        .sortWithinPartitions(*sort_cols)
        .write.mode("errorifexists").parquet(path))
-    _LAYOUTS[key] = path
     return path
 
 

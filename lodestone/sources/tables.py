@@ -1,9 +1,10 @@
 """Table registry over a directory of parquet files.
 
 Every read goes through ``spark.read.parquet`` so Catalyst sees the scan and
-can push filters and prune columns into it.  Only the inferred schema is kept
-(per path, so later reads skip footer inference); no data is cached: a plan
-that reuses a table twice reads it twice unless the caller decides otherwise.
+can push filters and prune columns into it.  Only the inferred schema is kept,
+for as long as the path's files (names, sizes, times) stay the same; no data is
+cached: a plan that reuses a table twice reads it twice unless the caller
+decides otherwise.
 """
 
 from __future__ import annotations
@@ -16,10 +17,17 @@ TABLE_NAMES = (
     "conversations",
 )
 
-# Schemas inferred once per path (the inputs are read-only for a session).
+# (files of the path, schema) by path.
 _SCHEMAS: dict = {}
 
 
+def files_of(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and modification times of a path's files, as its file system lists them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(at)
+    return tuple((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in found)
+
+
 class Tables:
     """Lazy accessor: ``t = Tables(spark, sf_dir); t.lineitem``."""
 
@@ -34,10 +42,11 @@ class Tables:
         if name not in TABLE_NAMES:
             raise KeyError(f"unknown table {name!r}")
         path = self.path(name)
-        schema = _SCHEMAS.get(path)
-        if schema is None:
+        files = files_of(self.spark, path)
+        known, schema = _SCHEMAS.get(path, (None, None))
+        if known != files:
             df = self.spark.read.parquet(path)
-            _SCHEMAS[path] = df.schema
+            _SCHEMAS[path] = (files, df.schema)
             return df
         # Known schema: no footer read to infer it again.  Each call is still
         # a new relation, so a table may appear twice in one plan.

@@ -3,15 +3,12 @@
 The reference runs ``process_daily_production(date)`` by hand for each day.
 Here staged files arriving in a folder are picked up by a file-source stream;
 each micro-batch is validated with the same rules as the batch job
-(``plans.validation.tag_daily``), loaded rows replace their days in the fact
-dataset and rejected rows replace their days in the reject dataset — both by
-dynamic partition overwrite keyed on ``date_id``.  Replaying a micro-batch
-after a failure therefore rewrites the same partitions with the same rows:
-the sink is idempotent, and the stream's checkpoint (in the shared folder)
-records which files were consumed.
-
-There are no event-time windows or watermarks: a day is complete when its
-staged file lands (the reference's procedure has the same contract).
+(``plans.validation.tag_daily``); loaded rows go to the fact dataset and
+rejected rows to the reject dataset, partitioned by day and micro-batch
+(``date_id``, ``load_batch``).  A micro-batch overwrites its own partitions
+only, so replaying it after a failure rewrites the same rows, and a day may
+arrive in any number of files and micro-batches.  The stream's checkpoint (in
+the shared folder) records which files were consumed.
 """
 
 from __future__ import annotations
@@ -32,9 +29,19 @@ STAGING_SCHEMA = T.StructType([
 ])
 
 
-def _write_days(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date_id").parquet(path))
+LANDED_COLUMNS = [f.name for f in STAGING_SCHEMA.fields]
+
+
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    (df.withColumn("load_batch", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("date_id", "load_batch").parquet(path))
+
+
+def landed(spark: SparkSession, path: str, rejected: bool = False) -> DataFrame:
+    """What has landed at ``path``, which may hold no file yet: the staged columns (and the reason), ``load_batch``."""
+    schema = T.StructType([*STAGING_SCHEMA.fields, *([T.StructField("reject_reason", T.StringType())] if rejected else []),
+                           T.StructField("load_batch", T.LongType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def start_daily_load(spark: SparkSession, staging_dir: str, fact_path: str, rejected_path: str,
@@ -46,6 +53,9 @@ def start_daily_load(spark: SparkSession, staging_dir: str, fact_path: str, reje
     of the reference keys, joined as a stream-static left join (sized by
     AQE per micro-batch).
     """
+    nothing = spark.createDataFrame([], STAGING_SCHEMA)
+    for path in (fact_path, rejected_path):  # readable from the start, whatever lands
+        _write_batch(nothing, path, -1)
     reader = spark.readStream.schema(STAGING_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -54,10 +64,8 @@ def start_daily_load(spark: SparkSession, staging_dir: str, fact_path: str, reje
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         tagged = tag_daily(batch, equipment_ids, operator_ids).persist()
         try:
-            loaded = tagged.filter(F.col("status") == "loaded").drop("status", "reject_reason")
-            rejected = tagged.filter(F.col("status") == "rejected")
-            _write_days(loaded, fact_path)
-            _write_days(rejected, rejected_path)
+            _write_batch(tagged.filter(F.col("status") == "loaded").drop("status", "reject_reason"), fact_path, batch_id)
+            _write_batch(tagged.filter(F.col("status") == "rejected").drop("status"), rejected_path, batch_id)
         finally:
             tagged.unpersist()
 

@@ -78,6 +78,6 @@ def test_every_inventory_row_is_covered():
 def test_scale_conf_sizes_partitions():
     from lodestone.session import scale_conf
     c = scale_conf(100 << 40, 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 32768
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
     assert int(scale_conf(1 << 40, 100)["spark.sql.shuffle.partitions"]) == (1 << 40) // (128 << 20)
     assert int(scale_conf(1 << 20, 64)["spark.sql.shuffle.partitions"]) == 128

@@ -111,8 +111,37 @@ def test_streaming_daily_load_is_idempotent(spark, scratch):
     assert rej == [(20250120, "negative tons"), (20250120, "unknown operator (ID=999999)")]
 
 
+def test_streaming_daily_load_takes_a_day_in_several_files(spark, scratch):
+    from lodestone.streaming.daily_load import STAGING_SCHEMA, landed, start_daily_load
+    for i in range(4):                                  # one micro-batch each, all of one day, none rejected
+        spark.createDataFrame([(20250120, 1, 1, 10, 100.0 + i, 3)], STAGING_SCHEMA).coalesce(1).write.parquet(f"{scratch}/staging/f{i}")
+    ids = spark.createDataFrame([(1,)], "id long"), spark.createDataFrame([(10,)], "id long")
+    q = start_daily_load(spark, scratch + "/staging/*", scratch + "/fact", scratch + "/rejected", *ids,
+                         scratch + "/ckpt", max_files_per_trigger=1)
+    q.awaitTermination(120)
+    assert rows(landed(spark, scratch + "/fact"), "date_id", "tons_mined") == [(20250120, 100.0 + i) for i in range(4)]
+    assert landed(spark, scratch + "/rejected", rejected=True).count() == 0
+
+
+def test_layout_follows_its_source(spark, scratch):
+    from lodestone.sources.snapshots import clustered_layout
+    for n in (10, 25):
+        spark.range(n).write.mode("append" if n == 25 else "error").parquet(scratch + "/source")
+        path = clustered_layout(spark.read.parquet(scratch + "/source"), "layout_test", "id", ["id"])
+        assert spark.read.parquet(path).count() == spark.read.parquet(scratch + "/source").count()
+
+
+def test_table_schema_follows_its_files(spark, scratch):
+    from lodestone.sources.tables import Tables
+    path = scratch + "/region.parquet"
+    spark.range(3).write.parquet(path)
+    assert Tables(spark, scratch).region.columns == ["id"]
+    spark.range(3).selectExpr("id", "id * 2 AS twice").write.mode("overwrite").parquet(path)
+    assert Tables(spark, scratch).region.columns == ["id", "twice"]
+
+
 def test_deep_hierarchy_checkpoints_and_stays_exact(spark):
-    """A 20-level chain crosses the every-8-levels checkpoint twice."""
+    """A 20-level chain, one checkpoint a level."""
     chain = [("n0", None, "L0")] + [(f"n{i}", f"n{i - 1}", f"L{i}") for i in range(1, 20)]
     nodes = spark.createDataFrame(chain, "id string, parent string, name string")
     got = {r["id"]: (r["level"], r["path"]) for r in hierarchy_paths(nodes, "id", "parent", "name", sep="/").collect()}
@@ -120,18 +149,10 @@ def test_deep_hierarchy_checkpoints_and_stays_exact(spark):
     assert len(got) == 20
 
 
-def test_hierarchy_depth_limit_is_enforced(spark):
-    import pytest
-    tree = spark.createDataFrame([("r", None, "root"), ("a", "r", "a"), ("b", "a", "b"), ("c", "b", "c")],
-                                 "id string, parent string, name string")
-    with pytest.raises(RuntimeError):
-        hierarchy_paths(tree, "id", "parent", "name", max_depth=2).collect()
-
-
 def test_hierarchy_cycle_is_reported(spark):
     import pytest
     # "a" hangs under the root and under "b", and "b" under "a": reachable cycle
     cyc = spark.createDataFrame([("r", None, "root"), ("a", "r", "a"), ("b", "a", "b"), ("a", "b", "a")],
                                 "id string, parent string, name string")
     with pytest.raises(RuntimeError):
-        hierarchy_paths(cyc, "id", "parent", "name", max_depth=12).collect()
+        hierarchy_paths(cyc, "id", "parent", "name").collect()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from lodestone.operators.state import (MergeCardinalityError, delete_returning, insert_new_only, merge,
+from lodestone.operators.state import (MergeCardinalityError, PrimaryKeyError, delete_returning, insert_new_only, merge,
                                        replace_partition, row_index, update, upsert)
 from lodestone.operators.windows import first_crossing, pareto_classes, prefix_sum
 
@@ -39,17 +39,19 @@ def test_merge_rejects_duplicate_source_keys(spark):
         merge(t, s, ["code"], []).collect()
 
 
-def test_upsert_updates_only_listed_columns_and_rejects_pk_clash(spark):
+def test_upsert_updates_only_listed_columns_and_raises_on_pk_clash(spark):
     # Reference fixture: two existing tab numbers updated (position, qualification), one inserted.
     target = spark.createDataFrame([(100, "TAB-200", "Sidorov", "driver", "3"), (101, "TAB-201", "Petrova", "op", "2")],
                                    "operator_id int, tab_number string, last_name string, position string, qualification string")
     new = spark.createDataFrame([(100, "TAB-200", "X", "loader", "4"), (101, "TAB-201", "Y", "skip op", "3"),
                                  (102, "TAB-NEW", "Volkov", "truck", "5"), (100, "TAB-ODD", "Z", "p", "1")],
                                 "operator_id int, tab_number string, last_name string, position string, qualification string")
-    state, rejected = upsert(target, new, ["tab_number"], ["position", "qualification"], primary_key=["operator_id"])
+    with pytest.raises(PrimaryKeyError):
+        upsert(target, new, ["tab_number"], ["position", "qualification"], primary_key=["operator_id"])
+    new = new.filter("tab_number <> 'TAB-ODD'")
+    state = upsert(target, new, ["tab_number"], ["position", "qualification"], primary_key=["operator_id"])
     assert rows(state) == [(100, "TAB-200", "Sidorov", "loader", "4"), (101, "TAB-201", "Petrova", "skip op", "3"),
                            (102, "TAB-NEW", "Volkov", "truck", "5")]
-    assert rows(rejected, "tab_number") == [("TAB-ODD",)]
 
 
 def test_delete_keeps_null_predicate_rows_and_update_flags(spark):
@@ -86,8 +88,8 @@ def test_publish_day_overwrites_only_that_day(spark, scratch):
     from lodestone.plans.validation import publish_day
     base = spark.createDataFrame([(19970314, 1.0), (19970315, 2.0)], "date_id long, v double")
     base.write.partitionBy("date_id").parquet(scratch + "/fact")
-    publish_day(spark.createDataFrame([(19970315, 9.0)], "date_id long, v double"), scratch + "/fact")
-    publish_day(spark.createDataFrame([(19970315, 9.0)], "date_id long, v double"), scratch + "/fact")  # rerun
+    publish_day(spark.createDataFrame([(19970315, 9.0)], "date_id long, v double"), scratch + "/fact", 19970315)
+    publish_day(spark.createDataFrame([(19970315, 9.0)], "date_id long, v double"), scratch + "/fact", 19970315)  # rerun
     assert rows(spark.read.parquet(scratch + "/fact"), "date_id", "v") == [(19970314, 1.0), (19970315, 9.0)]
 
 
