@@ -18,7 +18,7 @@ from lodestone.functions.numeric import rnd
 from lodestone.operators.joins import bounded, scalar
 from lodestone.operators.quality import batch_gate, json_payload, range_check, tag
 from lodestone.operators.state import merge, row_index
-from lodestone.plans.registry import query, rd
+from lodestone.plans.registry import ORACLE, query, rd
 from lodestone.session import scratch_dir
 from lodestone.sources.snapshots import materialize
 from lodestone.sources.tables import Tables
@@ -38,11 +38,11 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
 FROM (SELECT l_orderkey, l_linenumber,
              CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity END AS tons,
              CASE WHEN l_linenumber = 6 THEN NULL ELSE l_tax * 100 END AS hours
-      FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1997-04-01') x""")
+      FROM lineitem) x""")
 def safe_rate(spark, sf):
     """safe_production_rate per row: NULL in -> NULL, zero hours -> 0."""
     t = Tables(spark, sf)
-    li = t.lineitem.filter(_range("l_shipdate", "1997-03-01", "1997-04-01")).select(
+    li = t.lineitem.select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
         F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_quantity")).alias("tons"),
         F.when(F.col("l_linenumber") == 6, F.lit(None)).otherwise(F.col("l_tax") * 100).alias("hours"))
@@ -94,16 +94,13 @@ def validate_readings(spark, sf):
 
 
 # ---------------------------------------------------------------- Q4 / F16 / F28
-_FK_DAY = ("2024-01-20", "2024-01-21")
-
-
 @query("fk_load_split", f"""
 WITH src AS (
   SELECT event_id AS row_index,
          CASE WHEN event_type = 'signup' AND value > 300 THEN -1 ELSE user_id END AS equipment_id,
          ts AS start_time,
          CASE WHEN event_type = 'error' AND value < 20 THEN NULL ELSE ts + INTERVAL 45 MINUTE END AS end_time
-  FROM events WHERE ts >= TIMESTAMP '{_FK_DAY[0]}' AND ts < TIMESTAMP '{_FK_DAY[1]}'),
+  FROM events),
 j AS (SELECT src.*, c.c_custkey FROM src LEFT JOIN customer c ON src.equipment_id = c.c_custkey)
 SELECT row_index, equipment_id, start_time, end_time,
   CASE WHEN end_time IS NULL OR c_custkey IS NULL THEN 'logged' ELSE 'loaded' END AS status,
@@ -115,7 +112,7 @@ def fk_load_split(spark, sf):
     """Fault-tolerant load: rows failing NOT NULL or the foreign key go to
     the error log (with a JSON payload), the rest load."""
     t = Tables(spark, sf)
-    src = t.events.filter(_range("ts", *_FK_DAY)).select(
+    src = t.events.select(
         F.col("event_id").alias("row_index"),
         F.when((F.col("event_type") == "signup") & (F.col("value") > 300), F.lit(-1).cast("bigint"))
         .otherwise(F.col("user_id")).alias("equipment_id"),
@@ -133,12 +130,9 @@ def fk_load_split(spark, sf):
 
 
 # ---------------------------------------------------------------- X12 / Q2 / T25
-_LAB_MONTH = ("1997-03-01", "1997-04-01")
-
-
 def lab_staging(t: Tables) -> DataFrame:
     """Lab results as untrusted text, faults planted by the order key."""
-    o = (t.orders.filter(_range("o_orderdate", *_LAB_MONTH))
+    o = (t.orders
          .join(t.customer.select("c_custkey", "c_nationkey", "c_acctbal"), F.col("o_custkey") == F.col("c_custkey"))
          .join(bounded(t.nation), F.col("c_nationkey") == F.col("n_nationkey")))
     k = F.col("o_orderkey") % 10
@@ -183,8 +177,7 @@ WITH s AS (
          ELSE CAST(CAST(ROUND(o_totalprice / 10000, 1) AS DECIMAL(10,1)) AS VARCHAR) END AS fe_content,
     CASE o_orderkey % 10 WHEN 5 THEN 'NULL' WHEN 8 THEN 'invalid'
          ELSE CAST(CAST(ROUND(c_acctbal / 1000, 1) AS DECIMAL(10,1)) AS VARCHAR) END AS moisture
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  WHERE o_orderdate >= TIMESTAMP '{_LAB_MONTH[0]}' AND o_orderdate < TIMESTAMP '{_LAB_MONTH[1]}'),
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
 j AS (SELECT s.*, n.n_name AS mine, TRY_CAST(fe_content AS DECIMAL(10,2)) AS fe,
              TRY_CAST(moisture AS DECIMAL(10,2)) AS mo,
              regexp_full_match(sample_date, '\\d{{4}}-\\d{{2}}-\\d{{2}}') AND TRY_CAST(sample_date AS DATE) IS NOT NULL AS date_ok
@@ -205,10 +198,34 @@ def lab_import(spark, sf):
     return process_lab_import(lab_staging(t), t.nation)
 
 
+def _totals(rows: DataFrame, good: str) -> DataFrame:
+    return rows.agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col("status") == good).alias("rows_good"),
+                    F.count_if(F.col("status") != good).alias("rows_logged"))
+
+
+def _totals_sql(key: str, good: str) -> str:
+    return (f"SELECT count(*) AS rows_read, count(*) FILTER (WHERE status = '{good}') AS rows_good, "
+            f"count(*) FILTER (WHERE status <> '{good}') AS rows_logged FROM ({ORACLE[key]}) r")
+
+
+@query("lab_import_totals", _totals_sql("lab_import", "VALID"))
+def lab_import_totals(spark, sf):
+    """How many lab rows were read, imported and logged as errors."""
+    return _totals(lab_import(spark, sf), "VALID")
+
+
+@query("fk_load_totals", _totals_sql("fk_load_split", "loaded"))
+def fk_load_totals(spark, sf):
+    """How many rows the fault-tolerant load read, loaded and logged."""
+    return _totals(fk_load_split(spark, sf), "loaded")
+
+
 # ---------------------------------------------------------------- X13 / D10
 KPI_DAY = "1998-01-15"        # production and quality day
 KPI_DOWNTIME_DAY = "2024-01-15"   # the downtime table's day standing for the same date
 KPI_DAY_ID = 19980115
+# Declared precision and scale of the KPI columns.
+KPI_WIDTHS = {"oee_percent": (5, 2), "downtime_hours": (6, 2), "quality_score": (5, 2)}
 
 
 def _next_day(day: str) -> str:
@@ -226,7 +243,8 @@ def daily_kpi(t: Tables, day: str, downtime_day: str) -> DataFrame:
             .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
             .groupBy(F.col("s_nationkey").cast("bigint").alias("_pm"))
             .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_tons"),
-                 F.sum((F.col("l_tax") * 100).cast("decimal(18,2)")).alias("_hours")))
+                 (F.sum((F.col("l_tax") * 100).cast("decimal(18,2)"))
+                  * F.when(F.col("_pm") % 4 == 3, 3600).otherwise(1)).alias("_hours")))   # planted: hours given in seconds
     dnxt = ts(_next_day(downtime_day))
     down = (t.events.filter((F.col("ts") >= ts(downtime_day)) & (F.col("ts") < dnxt))
             .join(t.customer.select("c_custkey", "c_nationkey"), F.col("user_id") == F.col("c_custkey"))
@@ -246,20 +264,26 @@ def daily_kpi(t: Tables, day: str, downtime_day: str) -> DataFrame:
         F.coalesce(F.col("_tons").cast("double"), F.lit(0.0)).alias("tons_mined"),
         rnd(F.col("_hours").cast("double") / 24.0 * 100, 2).alias("oee_percent"),
         rnd(F.coalesce(F.col("_down").cast("double"), F.lit(0.0)) / 60.0, 2).alias("downtime_hours"),
-        rnd("_q", 2).alias("quality_score"), F.lit("SUCCESS").alias("status"),
-        F.lit(None).cast("string").alias("error_detail"))
+        rnd("_q", 2).alias("quality_score")).select("*", *_kpi_outcome()).withColumn("calculated_at", ts(f"{day} 23:59:00"))
 
 
-def _kpi_sql(day: str, dday: str) -> str:
+def _kpi_outcome() -> list:
+    """Status and detail: a figure that its NUMERIC(precision, scale) column can't hold fails its mine."""
+    detail = F.coalesce(*[F.when(F.abs(F.col(c)) >= 10.0 ** (precision - scale), F.lit(f"numeric field overflow: {c}"))
+                          for c, (precision, scale) in KPI_WIDTHS.items()])
+    return [F.when(detail.isNull(), "SUCCESS").otherwise("ERROR").alias("status"), detail.alias("error_detail")]
+
+
+def _kpi_figures(day: str, dday: str) -> str:
     did = day.replace("-", "")
     return f"""
   SELECT CAST(n_nationkey AS BIGINT) AS mine_id, CAST({did} AS BIGINT) AS date_id,
     COALESCE(CAST(p.tons AS DOUBLE), 0.0) AS tons_mined,
     {rd('CAST(p.hours AS DOUBLE) / 24.0 * 100')} AS oee_percent,
     {rd('COALESCE(CAST(d.down AS DOUBLE), 0.0) / 60.0')} AS downtime_hours,
-    {rd('q.q')} AS quality_score, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_detail
+    {rd('q.q')} AS quality_score, TIMESTAMP '{day} 23:59:00' AS calculated_at
   FROM nation
-  LEFT JOIN (SELECT s_nationkey AS m, SUM({DEC.format('l_quantity')}) AS tons, SUM({DEC.format('l_tax * 100')}) AS hours
+  LEFT JOIN (SELECT s_nationkey AS m, SUM({DEC.format('l_quantity')}) AS tons, SUM({DEC.format('l_tax * 100')}) * if(s_nationkey % 4 = 3, 3600, 1) AS hours
              FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
              WHERE CAST(l_shipdate AS DATE) = DATE '{day}' GROUP BY 1) p ON p.m = n_nationkey
   LEFT JOIN (SELECT c_nationkey AS m, SUM({DEC.format('value')}) AS down
@@ -270,6 +294,13 @@ def _kpi_sql(day: str, dday: str) -> str:
              WHERE CAST(o_orderdate AS DATE) = DATE '{day}' GROUP BY 1) q ON q.m = n_nationkey"""
 
 
+def _kpi_sql(day: str, dday: str) -> str:
+    limits = [(c, 10 ** (precision - scale)) for c, (precision, scale) in KPI_WIDTHS.items()]
+    wide = "list_filter([" + ", ".join(f"if(abs({c}) >= {n}, '{c}', NULL)" for c, n in limits) + "], lambda c: c IS NOT NULL)"
+    return f"""SELECT *, if(len({wide}) = 0, 'SUCCESS', 'ERROR') AS status, 'numeric field overflow: ' || {wide}[1] AS error_detail
+FROM ({_kpi_figures(day, dday)}) f"""
+
+
 @query("kpi_recalc", f"""
 SELECT COUNT(*) AS mines_processed, COUNT(*) FILTER (WHERE status = 'SUCCESS') AS mines_ok,
        COUNT(*) FILTER (WHERE status = 'ERROR') AS mines_error
@@ -281,50 +312,45 @@ def kpi_recalc(spark, sf):
                  F.count_if(F.col("status") == "ERROR").alias("mines_error"))
 
 
-_KPI_COLS = ["tons_mined", "oee_percent", "downtime_hours", "quality_score", "status", "error_detail"]
+_KPI_FIGURES = ["tons_mined", "oee_percent", "downtime_hours", "quality_score"]
+_KPI_COLS = [*_KPI_FIGURES, "status", "error_detail", "calculated_at"]
 
 
 @query("kpi_upsert", f"""
-WITH prev AS ({_kpi_sql('1998-01-14', '2024-01-14')}),
-stale AS (SELECT mine_id, CAST({KPI_DAY_ID} AS BIGINT) AS date_id, 0.0 AS tons_mined, NULL AS oee_percent,
-                 NULL AS downtime_hours, NULL AS quality_score, 'ERROR' AS status, 'stale' AS error_detail
-          FROM prev JOIN nation ON mine_id = n_nationkey WHERE n_regionkey = 0),
-state0 AS (SELECT ROW_NUMBER() OVER (ORDER BY date_id, mine_id) AS kpi_id, * FROM (SELECT * FROM prev UNION ALL SELECT * FROM stale) u),
-fresh AS ({_kpi_sql(KPI_DAY, KPI_DOWNTIME_DAY)}),
-src AS (SELECT *, ROW_NUMBER() OVER (ORDER BY mine_id) + (SELECT MAX(kpi_id) FROM state0) AS new_id FROM fresh)
-SELECT CASE WHEN s.mine_id IS NOT NULL THEN s.kpi_id ELSE n.new_id END AS kpi_id,
-       COALESCE(s.mine_id, n.mine_id) AS mine_id, COALESCE(s.date_id, n.date_id) AS date_id,
-       CASE WHEN n.mine_id IS NOT NULL THEN n.tons_mined ELSE s.tons_mined END AS tons_mined,
-       CASE WHEN n.mine_id IS NOT NULL THEN n.oee_percent ELSE s.oee_percent END AS oee_percent,
-       CASE WHEN n.mine_id IS NOT NULL THEN n.downtime_hours ELSE s.downtime_hours END AS downtime_hours,
-       CASE WHEN n.mine_id IS NOT NULL THEN n.quality_score ELSE s.quality_score END AS quality_score,
-       CASE WHEN n.mine_id IS NOT NULL THEN n.status ELSE s.status END AS status,
-       CASE WHEN n.mine_id IS NOT NULL THEN n.error_detail ELSE s.error_detail END AS error_detail
-FROM state0 s FULL JOIN src n ON s.mine_id = n.mine_id AND s.date_id = n.date_id""")
+WITH stored AS (
+  SELECT row_number() OVER (ORDER BY date_id, mine_id) AS kpi_id, * FROM (
+    SELECT * FROM ({_kpi_sql('1998-01-14', '2024-01-14')}) yesterday
+    UNION ALL BY NAME
+    SELECT n_nationkey::BIGINT AS mine_id, {KPI_DAY_ID}::BIGINT AS date_id, 7.0::DOUBLE AS tons_mined, 'STALE' AS status FROM nation WHERE n_regionkey < 3) rows_before),
+new AS (SELECT *, (SELECT max(kpi_id) FROM stored) + row_number() OVER (ORDER BY mine_id) AS new_id
+        FROM ({_kpi_sql(KPI_DAY, KPI_DOWNTIME_DAY)}) today)
+SELECT coalesce(s.kpi_id, n.new_id) AS kpi_id, mine_id, date_id,
+       {", ".join(f"CASE n.status WHEN 'SUCCESS' THEN n.{c} ELSE s.{c} END AS {c}" for c in _KPI_FIGURES)},
+       coalesce(n.status, s.status) AS status, if(n.status IS NULL, s.error_detail, n.error_detail) AS error_detail,
+       coalesce(n.calculated_at, s.calculated_at) AS calculated_at
+FROM stored s FULL JOIN new n USING (mine_id, date_id)""")
 def kpi_upsert(spark, sf):
-    """UPSERT of a day's KPI rows into the KPI table keyed (mine, date):
-    existing rows of that day are overwritten (status included), other
-    mines' rows are inserted with new serial ids, other days untouched."""
+    """UPSERT of a day's KPI rows into the KPI table keyed (mine, date): the
+    day's rows are overwritten, other mines' rows get new serial ids, other
+    days stay.  A mine whose calculation failed keeps its old figures and gets
+    the status ERROR with the reason."""
     t = Tables(spark, sf)
     prev = daily_kpi(t, "1998-01-14", "2024-01-14")
-    stale = (t.nation.filter(F.col("n_regionkey") == 0)
-             .select(F.col("n_nationkey").cast("bigint").alias("mine_id"),
-                     F.lit(KPI_DAY_ID).cast("bigint").alias("date_id"), F.lit(0.0).alias("tons_mined"),
-                     F.lit(None).cast("double").alias("oee_percent"), F.lit(None).cast("double").alias("downtime_hours"),
-                     F.lit(None).cast("double").alias("quality_score"), F.lit("ERROR").alias("status"),
-                     F.lit("stale").alias("error_detail")))
-    state0 = row_index(prev.unionByName(stale), ["date_id", "mine_id"], out="kpi_id", bounded_rows=True)
-    # The KPI table as it stands before the upsert is a stored table: write
-    # it once and read it back (merge and the max-id lookup both read it).
-    state0 = materialize(state0.select("kpi_id", *[c for c in state0.columns if c != "kpi_id"]), "daily_kpi")
+    stale = t.nation.filter(F.col("n_regionkey") < 3).select(
+        F.col("n_nationkey").cast("bigint").alias("mine_id"), F.lit(KPI_DAY_ID).cast("bigint").alias("date_id"),
+        F.lit(7.0).alias("tons_mined"), F.lit("STALE").alias("status"))
+    stored = row_index(prev.unionByName(stale, allowMissingColumns=True), ["date_id", "mine_id"], out="kpi_id")
+    stored = materialize(stored.select("kpi_id", "mine_id", "date_id", *_KPI_COLS), "daily_kpi")
+    # The change set is read by both branches of the merge: written once.
     fresh = daily_kpi(t, KPI_DAY, KPI_DOWNTIME_DAY)
-    base = scalar(F.coalesce(F.max("kpi_id"), F.lit(0)), state0)
-    src = (row_index(fresh, ["mine_id"], out="_rn", bounded_rows=True)
-           .withColumn("new_id", F.col("_rn") + base).drop("_rn"))
-    # The change set has one row per mine by construction (grouped per mine and
-    # left-joined to the mine dimension): bounded by that dimension, and its
-    # keys are unique, so MERGE's uniqueness check is skipped.
-    return merge(state0, bounded(src, rows_of=t.nation), ["mine_id", "date_id"], _KPI_COLS,
+    old = stored.select("mine_id", "date_id", *[F.col(c).alias(f"_old_{c}") for c in _KPI_FIGURES])
+    failed = F.col("status") == "ERROR"
+    kept = fresh.join(old, ["mine_id", "date_id"], "left").select(
+        "mine_id", "date_id", *[F.when(failed, F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) for c in _KPI_FIGURES], "status", "error_detail", "calculated_at")
+    base = scalar(F.coalesce(F.max("kpi_id"), F.lit(0)), stored)
+    src = row_index(kept, ["mine_id"], out="_rn", bounded_rows=True).withColumn("new_id", F.col("_rn") + base).drop("_rn")   # one row a mine
+    src = materialize(src, "kpi_changes")
+    return merge(stored, bounded(src, rows_of=t.nation), ["mine_id", "date_id"], _KPI_COLS,
                  insert_values={"kpi_id": "new_id"}, check_unique=False)
 
 
@@ -629,29 +655,11 @@ def partial_load(spark, sf):
 
 # ---------------------------------------------------------------- C16
 @query("load_audit", f"""
-WITH state AS (
-  SELECT l_linenumber, l_quantity, l_shipdate FROM lineitem WHERE l_shipdate < TIMESTAMP '{LOAD_DAY}'
-  UNION ALL
-  SELECT l_linenumber, l_quantity, l_shipdate FROM lineitem WHERE l_shipdate = TIMESTAMP '{LOAD_DAY}' AND l_linenumber = 1),
-d AS (SELECT CAST(l_linenumber AS BIGINT) AS shift_id, COUNT(*) AS total_records,
-             CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_tons
-      FROM state WHERE l_shipdate = TIMESTAMP '{LOAD_DAY}' GROUP BY 1)
-SELECT 'after commit' AS status, * FROM d
-UNION ALL
-SELECT 'after rollback', * FROM d""")
+SELECT l_linenumber::BIGINT AS shift_id, count(*) AS total_records, sum({DEC.format('l_quantity')})::DOUBLE AS total_tons
+FROM lineitem WHERE l_shipdate::DATE = DATE '{LOAD_DAY}' GROUP BY 1""")
 def load_audit(spark, sf):
-    """Commit / rollback audit: the committed batch (shift 1) is appended to
-    the state, the rolled-back batch (shift 2) never is; the audit counts
-    the day per shift, labelled after each step."""
-    t = Tables(spark, sf)
-    li = t.lineitem.select("l_linenumber", "l_quantity", "l_shipdate")
-    d, day = F.col("l_shipdate"), ts(LOAD_DAY)
-    # state before the day, plus the committed batch (shift 1 of the day);
-    # the rolled-back batch (shift 2) is never applied.  One scan.
-    committed = li.filter((d < day) | ((d == day) & (F.col("l_linenumber") == 1)))
-    audit = (committed.filter(d == day)
-             .groupBy(F.col("l_linenumber").cast("bigint").alias("shift_id"))
-             .agg(F.count(F.lit(1)).alias("total_records"),
-                  F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("total_tons")))
-    # the same figures labelled after each step (a generator, not a second pass)
-    return audit.select(F.explode(F.array(F.lit("after commit"), F.lit("after rollback"))).alias("status"), "*")
+    """Rows and tons of the loaded day by shift."""
+    day = Tables(spark, sf).lineitem.filter(F.col("l_shipdate") == ts(LOAD_DAY))
+    return (day.groupBy(F.col("l_linenumber").cast("bigint").alias("shift_id"))
+            .agg(F.count(F.lit(1)).alias("total_records"),
+                 F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("total_tons")))
