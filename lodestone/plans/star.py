@@ -131,13 +131,15 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY p.p_type ORDER BY total_tons DESC""")
 def agg_by_type(spark, sf):
     t = Tables(spark, sf)
-    li = t.lineitem.select("l_partkey", "l_quantity", "l_extendedprice")
-    return (li.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    # sums by the fact's own key, so that one row a part meets the dimension
+    by_part = t.lineitem.groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("tons"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("fuel"))
+    tons = F.sum("tons").cast("double")
+    return (by_part.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
             .groupBy(F.col("p_type").alias("type_name"))
-            .agg(dsum("l_quantity").alias("total_tons"),
-                 rnd(F.avg("l_quantity"), 4).alias("avg_per_shift"),
-                 F.count(F.lit(1)).alias("shift_count"),
-                 dsum("l_extendedprice").alias("total_fuel"))
+            .agg(tons.alias("total_tons"), rnd(tons / F.sum("n"), 4).alias("avg_per_shift"),
+                 F.sum("n").alias("shift_count"), F.sum("fuel").cast("double").alias("total_fuel"))
             .orderBy(F.desc("total_tons")))
 
 
@@ -154,16 +156,17 @@ JOIN nation n ON s.s_nationkey = n.n_nationkey
 GROUP BY n.n_name, l.l_linenumber""")
 def agg_multi_key(spark, sf):
     t = Tables(spark, sf)
-    li = t.lineitem.select("l_suppkey", "l_linenumber", "l_discount")
+    li = t.lineitem.groupBy("l_suppkey", "l_linenumber").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_discount").alias("total"), F.min("l_discount").alias("low"), F.max("l_discount").alias("high"))
     s = t.supplier.select("s_suppkey", "s_nationkey")
     j = (li.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
          .join(bounded(t.nation), F.col("s_nationkey") == F.col("n_nationkey")))
     return (j.groupBy(F.col("n_name").alias("mine_name"),
                       F.col("l_linenumber").cast("bigint").alias("shift_id"))
-            .agg(F.count(F.lit(1)).alias("sample_count"),
-                 rnd(F.avg("l_discount") * 100).alias("avg_fe"),
-                 rnd(F.min("l_discount") * 100).alias("min_fe"),
-                 rnd(F.max("l_discount") * 100).alias("max_fe"))
+            .agg(F.sum("n").alias("sample_count"),
+                 rnd(F.sum("total") / F.sum("n") * 100).alias("avg_fe"),
+                 rnd(F.min("low") * 100).alias("min_fe"),
+                 rnd(F.max("high") * 100).alias("max_fe"))
             .orderBy("mine_name", "shift_id"))
 
 
@@ -197,12 +200,12 @@ WHERE l.l_returnflag = 'R'
 GROUP BY s.s_name HAVING SUM(l.l_quantity) > 5200""")
 def having_filter(spark, sf):
     t = Tables(spark, sf)
-    li = t.lineitem.filter(F.col("l_returnflag") == "R").select("l_suppkey", "l_quantity")
-    agg = (li.join(t.supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+    by_machine = t.lineitem.filter(F.col("l_returnflag") == "R").groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("total"))
+    total = F.sum("total").cast("double")
+    agg = (by_machine.join(t.supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
            .groupBy(F.col("s_name").alias("equipment_name"))
-           .agg(F.count(F.lit(1)).alias("downtime_count"),
-                dsum("l_quantity").alias("total_duration"),
-                rnd(F.avg("l_quantity"), 4).alias("avg_duration")))
+           .agg(F.sum("n").alias("downtime_count"), total.alias("total_duration"), rnd(total / F.sum("n"), 4).alias("avg_duration")))
     return agg.filter(F.col("total_duration") > 5200).orderBy(F.desc("total_duration"))
 
 

@@ -133,14 +133,16 @@ ORDER BY ABS(l_quantity - (SELECT AVG(l_quantity) FROM f f2 WHERE f2.s_nationkey
          l_orderkey, l_linenumber
 LIMIT 20""")
 def below_group_average(spark, sf):
-    """Correlated AVG per mine, decorrelated: the per-mine averages form a
-    table with one row per mine (bounded by the mine dimension) that is
-    broadcast back to the facts; the top 20 by gap is a TakeOrderedAndProject
+    """Correlated AVG per mine, decorrelated: sums and counts per machine give
+    the per-mine averages, one row per mine (bounded by the mine dimension),
+    broadcast back to the facts, which are joined to the machines once; the top 20 by gap is a TakeOrderedAndProject
     (per-task top-k, then a final merge)."""
     t = Tables(spark, sf)
     f = (t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_suppkey")
          .join(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")))
-    avg = f.groupBy(F.col("s_nationkey").alias("_k")).agg(F.avg("l_quantity").alias("_avg"))
+    by_machine = t.lineitem.groupBy(F.col("l_suppkey").alias("_m")).agg(F.sum("l_quantity").alias("_q"), F.count("l_quantity").alias("_n"))
+    avg = (by_machine.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("_m") == F.col("s_suppkey"))
+           .groupBy(F.col("s_nationkey").alias("_k")).agg((F.sum("_q") / F.sum("_n")).alias("_avg")))
     j = (f.join(bounded(avg, rows_of=t.nation), F.col("s_nationkey") == F.col("_k"))
          .filter(F.col("l_quantity") < F.col("_avg"))
          .join(bounded(t.nation), F.col("s_nationkey") == F.col("n_nationkey")))
