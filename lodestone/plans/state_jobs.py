@@ -16,6 +16,8 @@ from lodestone.operators.joins import bounded, scalar
 from lodestone.operators.state import (insert, insert_new_only, merge, tag_delete,
                                        row_index, update, update_where_in, upsert)
 from lodestone.plans.registry import query
+from lodestone.session import scratch_dir
+from lodestone.sources.snapshots import empty_like, truncate
 from lodestone.sources.tables import Tables
 
 
@@ -296,3 +298,24 @@ def upsert_partial(spark, sf):
     are inserted whole."""
     t = Tables(spark, sf)
     return upsert(_op_target(t), _op_rows(t), ["tab_number"], ["position", "qualification"], primary_key=["operator_id"])
+
+
+# ---------------------------------------------------------------- S9 / S11
+@query("create_like", "SELECT supplier.*, 'negative balance' AS reject_reason FROM supplier WHERE s_acctbal < 0")
+def create_like(spark, sf):
+    """A reject table made like its source, with a reason, and then filled."""
+    t = Tables(spark, sf)
+    table = empty_like(t.supplier, [("reject_reason", "string")])
+    bad = t.supplier.filter(F.col("s_acctbal") < 0).withColumn("reject_reason", F.lit("negative balance"))
+    return insert(table, bad)
+
+
+@query("truncate_reload", "SELECT * FROM nation WHERE n_regionkey < 2")
+def truncate_reload(spark, sf):
+    """A stored table emptied and loaded anew: only the second load is in it."""
+    t = Tables(spark, sf)
+    path = scratch_dir(spark, "reloaded")
+    t.nation.write.parquet(path)
+    truncate(spark, path, t.nation)
+    t.nation.filter(F.col("n_regionkey") < 2).write.mode("append").parquet(path)
+    return spark.read.schema(t.nation.schema).parquet(path)
