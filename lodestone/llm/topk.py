@@ -154,12 +154,16 @@ def _meet(pivots: dict[int, np.ndarray], k: int):
     return run
 
 
-def _blocks(rows: DataFrame, size: int, extra: list[str] = []) -> DataFrame:
-    """Rows packed into blocks of about ``size`` of one (dim, cell); a large cell has many."""
+def _numbered(rows: DataFrame, size: int) -> DataFrame:
+    """Rows with the number of their block, from 0 within a length; blocks have about ``size`` rows of one cell, a large cell has many."""
+    before = Window.partitionBy("dim").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # one row a pivot
     sizes = rows.groupBy("dim", "cell").agg(F.ceil(F.count("*") / size).cast("long").alias("blocks"))
-    placed = rows.join(sizes, ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks"))
-    packed = F.sort_array(F.collect_list(F.struct("vec_id", "v", *extra)))
-    return placed.groupBy("dim", "cell", "block").agg(packed.alias("rows"))
+    sizes = common.checkpoint(sizes.withColumn("first", F.coalesce(F.sum("blocks").over(before), F.lit(0)).cast("long")))
+    return rows.join(sizes, ["dim", "cell"]).withColumn("block", F.col("first") + F.pmod(F.xxhash64("place"), "blocks")).drop("blocks", "first")
+
+
+def _packed(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.groupBy("dim", "block").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
 
 
 def top_k(vectors: DataFrame, k: int = 20, query_step: int = 20, scale: int = 64, pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -178,27 +182,24 @@ def top_k(vectors: DataFrame, k: int = 20, query_step: int = 20, scale: int = 64
     rows = common.checkpoint(whole_vectors(vectors, scale))
     table = choose_pivots(rows, pivots)
     rows = common.checkpoint(rows.mapInArrow(_pivot_table(table), "vec_id long, v array<long>, dim int, cell int"))
-    blocks = common.checkpoint(_blocks(rows, block_rows))
-    schema = "query_id long, vec_id long, score long"
-    asked = rows.where(F.col("vec_id") % query_step == 0).groupBy("vec_id", "dim").agg(F.min(F.struct("v", "cell")).alias("q"))
-    asked = asked.groupBy("vec_id").agg(F.min_by(F.struct("dim", "q"), "dim").alias("d")).select("vec_id", "d.dim", "d.q.v", "d.q.cell")
-
-    def met(queries: DataFrame, on: list[str]) -> DataFrame:
-        q = queries.select(*on, F.col("rows.vec_id").alias("q_ids"), F.col("rows.v").alias("q"), F.col("rows.beat").alias("beat"))
-        pairs = q.join(blocks, on).select("dim", "q_ids", "q", "beat", F.col("rows.vec_id").alias("ids"), F.col("rows.v").alias("x"))
-        return pairs.mapInArrow(_meet(table, k), schema)
-
-    # a first score to beat, from the query's own cell (its first block)
-    none = F.lit(None).cast("long")
-    home = _blocks(asked.withColumn("beat", none), QUERY_ROWS, ["beat"]).select("dim", "cell", F.lit(0).cast("long").alias("block"), "rows")
-    near = met(home, ["dim", "cell", "block"]).groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
+    rows = common.checkpoint(_numbered(rows.withColumn("place", F.monotonically_increasing_id()), block_rows))
+    blocks = common.checkpoint(_packed(rows, "vec_id", "v"))
+    asked = rows.where(F.col("vec_id") % query_step == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "v", "cell", "block", "place")).alias("q")).select("vec_id", "q.*")
+
+    def met(queries: DataFrame) -> DataFrame:
+        """Blocks of queries (dim, block, rows), each with the block of candidates of that number."""
+        q = queries.select("dim", "block", F.col("rows.vec_id").alias("q_ids"), F.col("rows.v").alias("q"), F.col("rows.beat").alias("beat"))
+        pairs = q.join(blocks, ["dim", "block"]).select("dim", "q_ids", "q", "beat", F.col("rows.vec_id").alias("ids"), F.col("rows.v").alias("x"))
+        return pairs.mapInArrow(_meet(table, k), "query_id long, vec_id long, score long")
+
+    # a first score to beat, from the query's own block
+    near = met(_packed(asked.withColumn("beat", F.lit(None).cast("long")), "vec_id", "v", "beat"))
+    near = near.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
     beat = near.select(F.col("query_id").alias("vec_id"), F.when(F.size("s") >= k, F.element_at("s", k)).alias("beat"))
-    asked = asked.join(beat, "vec_id", "left")
     # every block of queries against every block of candidates of the same length
-    names = blocks.select("dim", "cell", "block")
-    each = names.groupBy("dim").agg(F.collect_list(F.struct("cell", "block")).alias("names"))
-    queries = _blocks(asked, QUERY_ROWS, ["beat"]).select("dim", "rows").join(each, "dim")
-    queries = queries.select("dim", "rows", F.explode("names").alias("n")).select("dim", "n.cell", "n.block", "rows")
-    found = met(queries, ["dim", "cell", "block"])
+    asked = _numbered(asked.drop("block").join(beat, "vec_id", "left"), QUERY_ROWS)
+    last = common.checkpoint(rows.groupBy("dim").agg(F.max("block").alias("last")))  # one row a length
+    queries = _packed(asked, "vec_id", "v", "beat").drop("block").join(last, "dim")
+    found = met(queries.select("dim", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("block"), "rows"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
