@@ -2,9 +2,10 @@
 
 from conftest import SF_SMALL
 
-import __spark_entry__ as entry
+from lodestone.plans import registry
 
-Q = entry.queries()
+registry.load_all()
+Q = registry.QUERIES
 
 
 def _plan(df) -> str:
