@@ -174,7 +174,7 @@ class Automaton:
             to = self.states[still] = len(self.open)
             self.open.append(still)
             if to >= len(self.closed):
-                self.closed, self.next, self.end = (np.concatenate([t, np.full_like(t, -1)]) for t in (self.closed, self.next, self.end))
+                self.closed, self.next, self.end = (np.concatenate([t, np.full_like(t[:len(t) // 4], -1)]) for t in (self.closed, self.next, self.end))
             self.closed[to] = closed
         self.next[state, self._column(byte)] = to
         return to
@@ -419,6 +419,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of every row; a NULL text counts as empty and has no ids."""
     text = docs.sparkSession.sparkContext.broadcast(vocabulary(path))  # bounded by the vocabulary
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             ids = encoder(text.value).encode([t or "" for t in batch.column(1).to_pylist()])
@@ -431,6 +432,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); NULL ids give an empty text."""
     text = encoded.sparkSession.sparkContext.broadcast(vocabulary(path))
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = tokenizer(text.value)
         for batch in batches:
@@ -456,6 +458,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
             found.update((" " * (at > 0) + " ".join([names[i] for i in ids[at:at + PIECE]])).encode())
         return found.hexdigest()
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(text.value)
         labels = known.tokenizer.labels

@@ -71,6 +71,7 @@ def _chunks(text: bytes, width: int) -> Iterator[tuple[bytes, bytes]]:
 def _pieces(width: int):
     schema = pa.schema([("id", pa.binary()), ("chunk", pa.binary())])
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             rows = [x for text in common.encoded(batch.column(0)) for x in _chunks(text, width)]
@@ -82,6 +83,7 @@ def _pieces(width: int):
 def _recipes(width: int):
     schema = pa.schema([("doc_id", pa.int64()), ("text_sha256", pa.string()), ("recipe", pa.list_(pa.binary()))])
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             texts = common.encoded(batch.column(1))

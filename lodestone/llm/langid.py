@@ -127,6 +127,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int((1 << 30) * min(1.0, sample / n))))])
     some = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")])
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -229,6 +230,7 @@ def identify(docs: DataFrame, model: Model | None = None, penalty: float = SWITC
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS numbers, whatever the corpus
     kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             lang, score, found = predict([t or "" for t in batch.column(2).to_pylist()], shared.value, penalty, spans)
@@ -244,6 +246,7 @@ def identified(docs: DataFrame, model: Model, least: float = 0.4, penalty: float
     """The rows of ``docs`` with an identified language: not ``und``, and its share of the letters at least ``least``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()

@@ -232,6 +232,7 @@ def encoded(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END
     kind = _kind(path)
     last = np.array([end], kind).tobytes()
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, task, seen = bpe.encoder(text.value), TaskContext.get().partitionId(), np.zeros(capacity, np.int64)
         for batch in common.slices(batches, "text"):
@@ -284,9 +285,11 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, w
 
     kind = _kind(path)
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layout = shared.value
-        bpe.encoder.cache_clear()  # this stage has no use for its tables
+        bpe.encoder.cache_clear()  # this stage has no use for the tables
+        bpe.tokenizer.cache_clear()
         for batch in common.slices(batches, "ids"):
             out = []
             for doc, tokens, length, rank, ids in zip(*(c.to_pylist() for c in batch.columns)):

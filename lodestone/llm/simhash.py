@@ -60,6 +60,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, fp) of every row; a NULL text counts as empty (fingerprint 0)."""
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             found = [fingerprint(t, words) for t in common.encoded(batch.column(1))]
@@ -79,6 +80,7 @@ def _deal(parts: int):
     """Rows (mask, fp) to rows (mask, value, fp), one for each part of the free bits."""
     schema = pa.schema([("mask", pa.int64()), ("value", pa.int64()), ("fp", pa.int64())])
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             mask, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
@@ -186,6 +188,7 @@ def _search_sorted(most: int):
         u, v = bucket_links(held[:-1], held[-1].view(np.uint64), most)
         return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], schema=schema)
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64)] * 4
         for batch in batches:

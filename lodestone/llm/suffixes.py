@@ -101,6 +101,7 @@ def _joined(column: pa.Array) -> tuple[bytes, np.ndarray]:
 def anchors_of(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHORS[0]) -> DataFrame:
     """(anchor): one row for each run of starts."""
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             for _, _, found in _runs(*_joined(batch.column(0)), length, anchor):
@@ -112,6 +113,7 @@ def anchors_of(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHORS[0])
 def pieces(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHORS[0]) -> DataFrame:
     """One row for each run of starts: its anchor, the hash of its piece, number of starts, document and first start."""
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in common.slices(batches, "text"):
@@ -251,6 +253,7 @@ def _sorted_shards(length: int, shard_bytes: int):
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, found, held, before = [], [], 0, None
 
@@ -294,6 +297,7 @@ def _cut(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
     one = _keyed(docs).select("doc", "text_hash", "text").join(wanted, ["doc", "text_hash"]).select("text", "places")
     schema = pa.schema([("anchor", pa.int64()), ("piece", pa.int64()), ("starts", pa.int32()), ("copies", pa.int64()), ("crowded", pa.bool_()), ("data", pa.binary())])
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text", 1 << 20):
             out, done = [], set()
@@ -314,6 +318,7 @@ def _dealt_again(rows: DataFrame, length: int, anchor: int) -> DataFrame:
     names = [*_NAMES, "copies", "data", *owners, "at"]
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "data"):
             text, ends = _joined(batch.column(4))
@@ -406,6 +411,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     """
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text]
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             out = []
@@ -426,6 +432,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFra
     keyed = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     joined = keyed.join(ranges, ["doc", "text_hash"], "left").select("row", "ranges", F.col("row.text").alias("text"))
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             texts = batch.column(2).to_pylist()

@@ -82,6 +82,7 @@ def choose_pivots(rows: DataFrame, count: int = PIVOTS, sample: int = SAMPLE) ->
 def _pivot_table(pivots: dict[int, np.ndarray]):
     """(vec_id, v) to (vec_id, v, dim, cell): the length and the nearest pivot."""
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = pa.compute.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
@@ -138,6 +139,7 @@ def _meet(pivots: dict[int, np.ndarray], k: int):
     """Rows of (dim, query ids, query vectors, scores to beat, candidate ids, candidate vectors) to (query_id, vec_id, score)."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
+    @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
