@@ -70,8 +70,8 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
 
 
 def _shared(rows: DataFrame, key: list[str], least: Column) -> DataFrame:
-    """Rows whose key's group is large enough."""
-    groups = rows.groupBy(key).agg(least.alias("_shared")).where("_shared").select(*key)
+    """Rows whose key's group is large enough (the groups are written, so that a hot key's rows can be split in the join)."""
+    groups = _written(rows.groupBy(key).agg(least.alias("_shared")).where("_shared").select(*key), "shared")
     return rows.join(groups, key, "left_semi")
 
 
@@ -94,24 +94,29 @@ def _bounds(m: Column, j: Column) -> tuple[Column, Column]:
     return F.floor(m * j / q).cast("int"), F.floor(m * (j + 1) / q).cast("int")
 
 
-def _without_segment(rows: DataFrame) -> DataFrame:
+def _without_segment(lines: DataFrame) -> DataFrame:
     """Each line as one of m words and, with a word to spare, as one of m + 1: keyed by all words outside a segment."""
     n = F.size("words")
-    as_m = rows.select("*", F.explode(F.array(F.struct(n.alias("m"), F.lit(False).alias("spare")), F.struct((n - 1).alias("m"), F.lit(True).alias("spare")))).alias("r"))
-    each = as_m.where(f"r.m >= {LEAST_WORDS}").select(*_ID, "words", "r.m", "r.spare", F.explode(F.sequence(F.lit(0), _segments(F.col("r.m")) - 1)).alias("j"))
+    as_m = lines.select("*", F.explode(F.array(F.struct(n.alias("m"), F.lit(False).alias("spare")), F.struct((n - 1).alias("m"), F.lit(True).alias("spare")))).alias("r"))
+    each = as_m.where(f"r.m >= {LEAST_WORDS}").select("place", "words", "r.m", "r.spare", F.explode(F.sequence(F.lit(0), _segments(F.col("r.m")) - 1)).alias("j"))
     low, high = _bounds(F.col("m"), F.col("j"))
-    n = F.size("words")
-    cut = each.select("*", low.alias("low"), high.alias("high"))
-    rest = F.xxhash64(F.slice("words", F.lit(1), F.col("low")), F.slice("words", n - (F.col("m") - F.col("high")) + 1, F.col("m") - F.col("high")))
-    return cut.select(*_ID, "m", "spare", "j", rest.alias("rest"), F.slice("words", F.col("low") + 1, n - (F.col("m") - F.col("high")) - F.col("low")).alias("segment"))
+    cut = each.select("*", low.alias("low"), (F.col("m") - high).alias("behind"))
+    rest = F.xxhash64(F.slice("words", F.lit(1), F.col("low")), F.slice("words", F.size("words") - F.col("behind") + 1, F.col("behind")))
+    return cut.select("place", "m", "spare", "j", rest.alias("rest"))
+
+
+def _segment() -> Column:
+    low, high = _bounds(F.col("m"), F.col("j"))
+    return F.slice("words", low + 1, F.size("words") - (F.col("m") - high) - low)
 
 
 def _links(candidates: DataFrame) -> DataFrame:
-    """(line, earlier): places of lines one edit apart by the hashes of their variants."""
-    keyed = _without_segment(candidates)
+    """(place, earlier): places of lines one edit apart by the hashes of their variants."""
+    keyed = _written(_without_segment(candidates), "keyed")
     key = ["m", "j", "rest"]
     whole, spare = F.count_if(~F.col("spare")), F.count_if(F.col("spare"))
-    live = _written(_shared(keyed, key, (whole > 1) | ((whole > 0) & (spare > 0))).select(F.struct(*_ID).alias("place"), *key, "spare", "segment"), "segments")
+    shared = _shared(keyed, key, (whole > 1) | ((whole > 0) & (spare > 0)))
+    live = _written(shared.join(candidates, "place").select("place", *key, "spare", _segment().alias("segment")), "segments")
     size = F.size("segment")  # the hash of two arrays is that of their elements in a row
     without = F.xxhash64(F.slice("segment", F.lit(1), F.col("i")), F.slice("segment", F.col("i") + 2, size))
     deleted = live.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("i")).select("place", *key, "spare", "i", without.alias("variant"))
@@ -140,9 +145,8 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 def near_duplicates(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(doc, text_hash, line) of different lines that have an earlier line within one edit."""
-    candidates = _written(_candidates(docs, lines), "candidates")
-    words = candidates.select(F.struct(*_ID).alias("place"), "words")
-    links = _links(candidates)
+    words = _written(_candidates(docs, lines).select(F.struct(*_ID).alias("place"), "words"), "candidates")
+    links = _links(words)
     both = (links.join(words, "place").withColumnRenamed("words", "own")
             .join(words.withColumnRenamed("place", "earlier"), "earlier"))
     return both.where(_one_edit(F.col("own"), F.col("words"))).select("place.*").distinct()
