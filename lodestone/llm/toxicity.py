@@ -95,7 +95,8 @@ def training_rows(docs: DataFrame, graded: DataFrame, sample: int = SAMPLE) -> D
     counts = {r.grade: r.n for r in grades.groupBy("grade").agg(F.count("*").alias("n")).collect()}  # one row a grade
     keep = F.coalesce(*[F.when(F.col("grade") == g, F.lit(int((1 << 30) * min(1.0, sample / n)))) for g, n in counts.items()], F.lit(0))
     some = grades.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < keep)
-    rows = common.narrow(docs, doc_id="long", text="string").where("text IS NOT NULL").join(some, "doc_id").select(
+    # the sample has about 2 * ``sample`` rows of two numbers whatever the corpus, so texts needn't move to meet it
+    rows = common.narrow(docs, doc_id="long", text="string").where("text IS NOT NULL").join(F.broadcast(some), "doc_id").select(
         "grade", F.coalesce(*[F.when(F.col("grade") == g, F.lit(max(1.0, n / sample))) for g, n in counts.items()], F.lit(1.0)).alias("weight"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
