@@ -45,15 +45,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float64)
 
 
-def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products: in floating point where that is exact, else in Python's whole numbers."""
+def _scorer(q: np.ndarray, x: np.ndarray):
+    """Exact inner products of query i with some rows of x: in floating point where that is exact, else in Python's whole numbers."""
     most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[-1]
-    if most < 1 << 24:
-        return (q.astype(np.float32) @ x.T.astype(np.float32)).astype(np.int64)
     if most < 1 << 53:
-        return (q @ x.T).astype(np.int64)
-    exact = np.array([[int(v) for v in row] for row in np.atleast_2d(q)], object) @ np.array([[int(v) for v in row] for row in x], object).T
-    return exact.astype(np.int64).reshape((*q.shape[:-1], len(x)))  # beyond a long: an error
+        kind = np.float32 if most < 1 << 24 else np.float64
+        a, b = q.astype(kind), x.astype(kind)
+        return lambda i, some: (b[some] @ a[i]).astype(np.int64)
+    whole = [[int(v) for v in row] for row in x]
+
+    def exact(i: int, some: np.ndarray) -> np.ndarray:  # beyond a long: an error
+        own = [int(v) for v in q[i]]
+        return np.array([sum(u * v for u, v in zip(own, whole[k])) for k in some.tolist()], np.int64)
+
+    return exact
 
 
 def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -80,7 +85,7 @@ def choose_pivots(rows: DataFrame, count: int = PIVOTS, sample: int = SAMPLE) ->
 
 
 def _pivot_table(pivots: dict[int, np.ndarray]):
-    """(vec_id, v) to (vec_id, v, dim, cell): the length and the nearest pivot."""
+    """(vec_id, v) to (vec_id, v, dim, cell, d): the length, the nearest pivot and the distances to all pivots."""
 
     @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,11 +93,12 @@ def _pivot_table(pivots: dict[int, np.ndarray]):
             dims = pa.compute.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                cell = np.zeros(part.num_rows, np.int32)
-                if int(dim) in pivots:
-                    cell = distances(_matrix(part.column(1)), pivots[int(dim)]).argmin(1).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.full(part.num_rows, dim, np.int32)), pa.array(cell)],
-                                                 names=["vec_id", "v", "dim", "cell"])
+                d = distances(_matrix(part.column(1)), pivots.get(int(dim), np.zeros((1, int(dim)))))
+                cell = d.argmin(1).astype(np.int32)
+                ends = pa.array(np.arange(0, d.size + 1, d.shape[1], dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.full(part.num_rows, dim, np.int32)), pa.array(cell),
+                                                  pa.ListArray.from_arrays(ends, pa.array(d.astype(np.float32).ravel()))],
+                                                 names=["vec_id", "v", "dim", "cell", "d"])
 
     return run
 
@@ -106,17 +112,20 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
-def _compare(pivots: np.ndarray, q_ids, q, beat, ids, x, k: int):
-    """Per query: places of the best candidates of a block with at least ``beat``, in bound order with an exact stop."""
-    dq, dx = distances(q, pivots).astype(np.float32), distances(x, pivots).astype(np.float32)
+def _compare(dq: np.ndarray, dx: np.ndarray, q_ids, q, beat, ids, x, k: int):
+    """Per query: the best candidates of a block with at least ``beat``, in bound order with an exact stop; dq and dx are distances to the pivots."""
+    dx = np.ascontiguousarray(dx.T)
     nq, nx = (q * q).sum(1), (x * x).sum(1)
-    low, high = dx.min(0), dx.max(0)
+    low, high = dx.min(1), dx.max(1)
+    scores, gaps = _scorer(q, x), np.empty_like(dx)
     for i in range(len(q)):
-        slack = 1e-3 * (1 + dq[i].max()) + 1e-3  # float32 distances: bounds stay bounds
+        slack = 1e-3 * (1 + dq[i].max()) + 1e-6 * np.sqrt(max(nq[i], nx.max()))  # rounded distances: bounds stay bounds
         gap = max(0.0, float(np.maximum(low - dq[i], dq[i] - high).max()) - slack)
         if beat[i] is not None and (nq[i] + nx.max() - gap * gap) / 2 < beat[i]:
             continue
-        far = np.maximum(np.abs(dx - dq[i]).max(1) - slack, 0).astype(np.float64)
+        np.subtract(dx, dq[i][:, None], out=gaps)
+        np.abs(gaps, out=gaps)
+        far = np.maximum(gaps.max(axis=0) - slack, 0).astype(np.float64)
         bound = (nq[i] + nx - far * far) / 2 + 1e-6 * (nq[i] + nx + 1)
         least = -np.inf if beat[i] is None else beat[i]
         order = np.flatnonzero((bound >= least) & (ids != q_ids[i]))
@@ -126,7 +135,11 @@ def _compare(pivots: np.ndarray, q_ids, q, beat, ids, x, k: int):
             if bound[order[at]] < least:
                 break  # no later candidate can reach the k-th score
             some = order[at:at + STEP]
-            kept_score, kept = np.r_[kept_score, _scores(q[i:i + 1], x[some])[0]], np.r_[kept, some]
+            found = scores(i, some)
+            good = found >= least
+            if not good.any():
+                continue
+            kept_score, kept = np.concatenate([kept_score, found[good]]), np.concatenate([kept, some[good]])
             best = _best(kept_score, ids[kept], k)
             kept_score, kept = kept_score[best], kept[best]
             if len(kept) >= k:
@@ -135,8 +148,8 @@ def _compare(pivots: np.ndarray, q_ids, q, beat, ids, x, k: int):
         yield i, ids[kept[good]], kept_score[good]
 
 
-def _meet(pivots: dict[int, np.ndarray], k: int):
-    """Rows of (dim, query ids, query vectors, scores to beat, candidate ids, candidate vectors) to (query_id, vec_id, score)."""
+def _meet(k: int):
+    """Rows of (query ids, vectors, scores to beat, distances; candidates' ids, vectors, distances) to (query_id, vec_id, score)."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     @common.released
@@ -144,12 +157,11 @@ def _meet(pivots: dict[int, np.ndarray], k: int):
         for batch in batches:
             for r in range(batch.num_rows):
                 row = batch.slice(r, 1)
-                dim = row.column(0)[0].as_py()
-                q_ids, ids = (row.column(c).flatten().to_numpy(zero_copy_only=False) for c in (1, 4))
-                q, x = (_matrix(row.column(c).flatten()) for c in (2, 5))
-                beat = row.column(3).flatten().to_pylist()
-                own = pivots.get(dim, np.zeros((1, dim)))
-                out = [(np.full(len(found), q_ids[i]), found, score) for i, found, score in _compare(own, q_ids, q, beat, ids, x, k)]
+                q_ids, ids = (row.column(c).flatten().to_numpy(zero_copy_only=False) for c in (0, 4))
+                q, x = (_matrix(row.column(c).flatten()) for c in (1, 5))
+                dq, dx = (_matrix(row.column(c).flatten()).astype(np.float32) for c in (3, 6))
+                beat = row.column(2).flatten().to_pylist()
+                out = [(np.full(len(found), q_ids[i]), found, score) for i, found, score in _compare(dq, dx, q_ids, q, beat, ids, x, k)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
@@ -183,25 +195,25 @@ def top_k(vectors: DataFrame, k: int = 20, query_step: int = 20, scale: int = 64
     """
     rows = common.checkpoint(whole_vectors(vectors, scale))
     table = choose_pivots(rows, pivots)
-    rows = common.checkpoint(rows.mapInArrow(_pivot_table(table), "vec_id long, v array<long>, dim int, cell int"))
+    rows = common.checkpoint(rows.mapInArrow(_pivot_table(table), "vec_id long, v array<long>, dim int, cell int, d array<float>"))
     rows = common.checkpoint(_numbered(rows.withColumn("place", F.monotonically_increasing_id()), block_rows))
-    blocks = common.checkpoint(_packed(rows, "vec_id", "v"))
-    asked = rows.where(F.col("vec_id") % query_step == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "v", "cell", "block", "place")).alias("q")).select("vec_id", "q.*")
+    blocks = common.checkpoint(_packed(rows, "vec_id", "v", "d"))
+    asked = rows.where(F.col("vec_id") % query_step == 0).groupBy("vec_id").agg(F.min(F.struct("dim", "v", "cell", "block", "place", "d")).alias("q")).select("vec_id", "q.*")
 
     def met(queries: DataFrame) -> DataFrame:
         """Blocks of queries (dim, block, rows), each with the block of candidates of that number."""
-        q = queries.select("dim", "block", F.col("rows.vec_id").alias("q_ids"), F.col("rows.v").alias("q"), F.col("rows.beat").alias("beat"))
-        pairs = q.join(blocks, ["dim", "block"]).select("dim", "q_ids", "q", "beat", F.col("rows.vec_id").alias("ids"), F.col("rows.v").alias("x"))
-        return pairs.mapInArrow(_meet(table, k), "query_id long, vec_id long, score long")
+        q = queries.select("dim", "block", *[F.col(f"rows.{c}").alias(f"q_{c}") for c in ("vec_id", "v", "beat", "d")])
+        pairs = q.join(blocks, ["dim", "block"]).select("q_vec_id", "q_v", "q_beat", "q_d", "rows.vec_id", "rows.v", "rows.d")
+        return pairs.mapInArrow(_meet(k), "query_id long, vec_id long, score long")
 
     # a first score to beat, from the query's own block
-    near = met(_packed(asked.withColumn("beat", F.lit(None).cast("long")), "vec_id", "v", "beat"))
+    near = met(_packed(asked.withColumn("beat", F.lit(None).cast("long")), "vec_id", "v", "beat", "d"))
     near = near.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
     beat = near.select(F.col("query_id").alias("vec_id"), F.when(F.size("s") >= k, F.element_at("s", k)).alias("beat"))
     # every block of queries against every block of candidates of the same length
     asked = _numbered(asked.drop("block").join(beat, "vec_id", "left"), QUERY_ROWS)
     last = common.checkpoint(rows.groupBy("dim").agg(F.max("block").alias("last")))  # one row a length
-    queries = _packed(asked, "vec_id", "v", "beat").drop("block").join(last, "dim")
+    queries = _packed(asked, "vec_id", "v", "beat", "d").drop("block").join(last, "dim")
     found = met(queries.select("dim", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("block"), "rows"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -49,10 +49,16 @@ def test_fewer_bounds_evaluated_than_rows():
     rng = np.random.default_rng(1)
     x = np.floor(rng.normal(0, 1, (3000, 4)) + 40 * rng.integers(0, 6, (3000, 1)))
     seen = []
-    real, topk_scores = topk._scores, lambda q, y: (seen.append(len(y)), real(q, y))[1]
-    topk._scores = topk_scores
+    real = topk._scorer
+
+    def counted(q, y):
+        score = real(q, y)
+        return lambda i, some: (seen.append(len(some)), score(i, some))[1]
+
+    topk._scorer = counted
     try:
-        list(topk._compare(x[:8], np.arange(5), x[:5], [None] * 5, np.arange(3000), x, 20))
+        d = topk.distances(x, x[:8]).astype(np.float32)
+        list(topk._compare(d[:5], d, np.arange(5), x[:5], [None] * 5, np.arange(3000), x, 20))
     finally:
-        topk._scores = real
+        topk._scorer = real
     assert sum(seen) < 5 * 3000
