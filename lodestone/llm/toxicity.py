@@ -1,7 +1,9 @@
 """Toxicity severity by cumulative-link ordinal regression on sparse text features.
 
-A document's features are the words it holds, hashed, each counted once; a
-model keeps those whose share of documents differs clearly between grades.
+A document's features are the words it holds and their first three to six
+letters, hashed: that it holds one, and that it holds one more than once.  A
+model keeps those whose share of documents differs clearly between grades, by
+more than the best of as many features would by chance.
 Weights are shared by all thresholds: with score s = w.x and ordered thresholds
 t_1 < t_2 < ..., P(grade >= j) = logistic(s - t_j).  The expected severity is
 the sum of these probabilities, the predicted grade the number of them that
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,17 +33,19 @@ from lodestone.session import scratch_dir
 
 from . import common
 
-#: Training rows of each grade at most (about, a sample by hash); gradient steps; what a word's z-score and difference of shares must reach.
-SAMPLE, STEPS, LEAST_Z, LEAST_SHARE = 4000, 80, 5.0, 0.05
+#: Training rows of each grade at most (about, a sample by hash); gradient steps; what a feature's z-score must reach.
+SAMPLE, STEPS, LEAST_Z = 4000, 80, 5.0
+#: Letters of the beginnings of words that are features; features expected to pass by chance.
+BEGINNINGS, CHANCE = (3, 4, 5, 6), 1.0
 RATE, SHRINK = 0.3, 1e-4
 #: Texts are split into words in pieces of about so many characters.
 PIECE = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def features(text: str) -> np.ndarray:
-    """The hashed words of a text, each once."""
-    words: set[str] = set()
+def _words(text: str) -> Counter[str]:
+    """The words of a text and how often it holds them."""
+    words: Counter[str] = Counter()
     at = 0
     while at < len(text):
         to = at + PIECE
@@ -48,7 +53,30 @@ def features(text: str) -> np.ndarray:
             to += 1
         words.update(_WORD.findall(text[at:to].lower()))
         at = to
-    return np.unique(np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words)))
+    return words
+
+
+def _hashed(found: set[str]) -> np.ndarray:
+    return np.unique(np.fromiter((zlib.crc32(w.encode()) for w in found), np.int64, len(found)))
+
+
+def features(text: str) -> np.ndarray:
+    """The hashed words of a text, each once."""
+    return _hashed(set(_words(text)))
+
+
+def all_features(text: str) -> np.ndarray:
+    """The hashed words of a text, their beginnings, and those of both that it holds more than once."""
+    words = _words(text)
+    found = set(words)
+    found.update([w + "+" for w, n in words.items() if n > 1])
+    for k in BEGINNINGS:
+        several = Counter([w[:k] for w in words if len(w) >= k])  # of different words
+        again = {w[:k] for w, n in words.items() if n > 1 and len(w) >= k}
+        again.update([p for p, n in several.items() if n > 1])
+        found.update(["^" + p for p in several])
+        found.update(["^" + p + "+" for p in again])
+    return _hashed(found)
 
 
 @dataclass
@@ -63,7 +91,7 @@ class Model:
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
         """P(grade >= j) of each text, j from 1."""
-        score = np.array([self.weights[self.places(features(t))].sum() for t in texts])
+        score = np.array([self.weights[self.places(all_features(t))].sum() for t in texts])
         return _logistic(score[:, None] - self.thresholds[None, :])
 
 
@@ -101,30 +129,38 @@ def training_rows(docs: DataFrame, graded: DataFrame, sample: int = SAMPLE) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
-            found = [features(t) for t in batch.column(2).to_pylist()]
+            found = [all_features(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["grade", "weight", "features"])
 
     return rows.mapInArrow(run, "grade int, weight double, features array<long>")
 
 
-def telling_words(rows: DataFrame, counts: list[int], least_z: float = LEAST_Z) -> np.ndarray:
-    """Hashes of words whose share of documents differs by ``least_z`` standard errors, and ``LEAST_SHARE``, at one threshold or more."""
+def telling_words(rows: DataFrame, counts: list[int], least_z: float = LEAST_Z) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of features that tell grades apart at one threshold or more, and whether they lean to the higher ones.
+
+    Their shares of documents differ by ``least_z`` standard errors, and by so
+    much that of all features only ``CHANCE`` is expected to pass by chance
+    (Chernoff's bound, which holds for rare ones too).
+    """
     of_grade = [F.count_if(F.col("grade") == g).cast("double").alias(f"n{g}") for g in range(len(counts))]
-    words = rows.select("grade", F.explode("features").alias("word")).groupBy("word").agg(*of_grade)
-    clear = F.lit(False)
+    words = common.checkpoint(rows.select("grade", F.explode("features").alias("word")).groupBy("word").agg(*of_grade))
+    least = float(np.log(max(1, words.count()) / CHANCE))
+    clear = leans = F.lit(False)
     for j in range(1, len(counts)):
         low, high = sum(counts[:j]), sum(counts[j:])
         if low and high:
             a, b = (sum((F.col(f"n{g}") for g in part), F.lit(0.0)) for part in (range(j), range(j, len(counts))))
             share = (a + b + 1) / (low + high + 2)
             error = F.sqrt(share * (1 - share) * (1 / low + 1 / high))
-            clear = clear | (F.abs(b / high - a / low) >= F.greatest(least_z * error, F.lit(LEAST_SHARE)))
-    found = words.where(clear).select("word").toArrow().column(0).to_numpy()  # of a bounded sample
-    return np.sort(found)
+            surprise = sum(F.when(n > 0, n * F.log(n / (a + b) * ((low + high) / m))).otherwise(0.0) for n, m in ((a, low), (b, high)))
+            here = (F.abs(b / high - a / low) >= least_z * error) & (surprise >= least)
+            clear, leans = clear | here, leans | here & (b / high > a / low)
+    found = words.where(clear).select("word", leans.alias("leans")).orderBy("word").toArrow()  # of a bounded sample
+    return found.column(0).to_numpy(), found.column(1).to_numpy()
 
 
 def descend(rows: DataFrame, words: np.ndarray, counts: list[float], steps: int = STEPS) -> Model:
-    """A model from (grade, weight, at): grades, weights of rows and the places of their words in ``words``."""
+    """A model from (grade, weight, at): grades, weights of rows and the places of their features in ``words``."""
     size, grades = len(words), len(counts)
     total = sum(counts) or 1.0
     odds = [min(max(sum(counts[j:]) / total, 1e-4), 1 - 1e-4) for j in range(1, grades)]
@@ -157,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, steps: int = STEPS, sample: int = SA
     """A model of severity from (doc_id, toxic).
 
     Grades: 0 not toxic, 1 toxic, 2 toxic with at least the median number of
-    telling words that toxic documents with any have.  Labels that are NULL, or
+    features leaning to toxic that toxic documents with any have.  Labels that are NULL, or
     neither 0 nor 1, and those without a document are passed over; of several
     for one document the largest counts.  Without labels of both kinds the
     model has no words.
@@ -168,18 +204,19 @@ def fit(docs: DataFrame, labels: DataFrame, steps: int = STEPS, sample: int = SA
     training_rows(docs, graded, sample).write.parquet(folder)
     rows = spark.read.parquet(folder)
     found = {r.grade: (r.n, r.w) for r in rows.groupBy("grade").agg(F.count("*").alias("n"), F.first("weight").alias("w")).collect()}
-    words = telling_words(rows, [found.get(g, (0, 0.0))[0] for g in (0, 1)], least_z)
+    words, leans = telling_words(rows, [found.get(g, (0, 0.0))[0] for g in (0, 1)], least_z)
     places = Model(words, np.zeros(len(words)), np.zeros(1)).places
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = [places(np.array(f, np.int64)) for f in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.list_(pa.int64()))], names=["grade", "weight", "at"])
+            telling = pa.array([int(leans[a].sum()) for a in at], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.list_(pa.int64())), telling], names=["grade", "weight", "at", "telling"])
 
-    sparse = common.checkpoint(rows.mapInArrow(known, "grade int, weight double, at array<long>").coalesce(4))  # a bounded sample
-    some = F.when((F.col("grade") == 1) & (F.size("at") > 0), F.size("at"))
+    sparse = common.checkpoint(rows.mapInArrow(known, "grade int, weight double, at array<long>, telling int").coalesce(4))  # a bounded sample
+    some = F.when((F.col("grade") == 1) & (F.col("telling") > 0), F.col("telling"))
     middle = max(2, sparse.agg(F.percentile_approx(some, 0.5).alias("m")).first().m or 2)
-    ordered = common.checkpoint(sparse.withColumn("grade", F.when((F.col("grade") == 1) & (F.size("at") >= middle), 2).otherwise(F.col("grade"))))
+    ordered = common.checkpoint(sparse.withColumn("grade", F.when((F.col("grade") == 1) & (F.col("telling") >= middle), 2).otherwise(F.col("grade"))).drop("telling"))
     weights = {r.grade: r.w for r in ordered.groupBy("grade").agg(F.sum("weight").alias("w")).collect()}
     return descend(ordered, words, [weights.get(g, 0.0) for g in range(3)], steps)
 

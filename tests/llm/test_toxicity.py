@@ -1,4 +1,7 @@
+import zlib
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from lodestone.llm import queries, toxicity
 
@@ -65,3 +68,36 @@ def test_odd_rows(spark):
     for none in (labels.limit(0), labels.where("toxic = 0")):
         blank = toxicity.fit(docs, none, steps=2)
         assert not any(r.toxic for r in toxicity.severity(docs, blank).collect())
+
+
+def test_beginnings_and_repeated_words():
+    def hashed(*names):
+        return {zlib.crc32(n.encode()) for n in names}
+
+    got = set(toxicity.all_features("Vilest vilely no no").tolist())
+    assert got == hashed("vilest", "vilely", "no", "no+", "^vil", "^vil+", "^vile", "^vile+", "^viles", "^vilel", "^vilest", "^vilely")
+
+
+def test_words_that_never_recur_are_told_by_their_beginnings(spark):
+    def word(i):
+        return "".join(chr(97 + i // 26**k % 26) for k in range(4))
+
+    # toxic: two words that begin alike, none of them ever again; clean: one of them at most
+    docs = spark.createDataFrame([(i, f"texte simple {word(i)} réeux{word(i)}" + (f" réeux{word(i + 5000)}" if i % 5 == 0 else f" autre{word(i)}"), 0) for i in range(800)], DOCS)
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(0, 400)], LABELS)
+    got = {r.doc_id: r.toxic for r in toxicity.severity(docs, toxicity.fit(docs, labels)).collect()}
+    assert {i for i in range(400, 800) if got[i]} == set(range(400, 800, 5))
+
+
+def test_held_out_documents_by_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = toxicity.fit(docs, labels.where(~held))
+    rest = docs.join(labels.where(held).select("doc_id", F.col("toxic").alias("label")), "doc_id")
+    found = toxicity.severity(rest, model).select("doc_id", F.col("toxic").alias("flagged")).join(rest.select("doc_id", "lang", "label"), "doc_id")
+    by = {(r.lang, r.label): (r.n, r.flagged) for r in found.groupBy("lang", "label").agg(F.count("*").alias("n"), F.count_if("flagged").alias("flagged")).collect()}
+    for lang in ("en", "fr", "de", "es"):
+        (n, right), (clean, wrong) = by[lang, 1], by[lang, 0]
+        assert right >= 0.75 * n and wrong <= 0.02 * clean, (lang, by)
+    print(sorted(by.items()))
