@@ -31,7 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays."""
+    """Of each group of near duplicates one row stays, that with the smallest doc_id (NULL last)."""
     return simhash.keep_one(docs)
 
 

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -56,17 +56,27 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return int.from_bytes(np.packbits(2 * set_bits > n).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp) of every row; a NULL text counts as empty (fingerprint 0)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def _text_hash(text) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _hashed(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, text_hash, fp) of every row; a NULL text counts as empty (fingerprint 0)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
     @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
-            found = [fingerprint(t, words) for t in common.encoded(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], schema=schema)
+            found = [fingerprint(t, words) for t in common.encoded(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], schema=schema)
 
-    return common.narrow(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, fp long")
+    rows = common.narrow(docs, doc_id="long", text="string").select("doc_id", _text_hash(F.col("text")).alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
+
+
+def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, fp) of every row; a NULL text counts as empty (fingerprint 0)."""
+    return _hashed(docs, words).select("doc_id", "fp")
 
 
 def parts_of(mask: int, parts: int) -> list[int]:
@@ -233,6 +243,16 @@ def links(codes: DataFrame, most_bits: int = MOST_BITS, most_in_bucket: int = MO
             .mapInArrow(_search_sorted(most_bits), "u long, v long"))
 
 
+def _least_of_groups(rows: DataFrame, value: Column, most_bits: int, most_in_bucket: int) -> DataFrame:
+    """(fp, least): of each fingerprint the smallest ``value`` in its group."""
+    codes = common.checkpoint(rows.groupBy("fp").agg(F.min(value).alias("least")))
+    reached = common.components(links(codes.select("fp"), most_bits, most_in_bucket))
+    labelled = common.checkpoint(codes.join(reached.withColumnRenamed("node", "fp"), "fp", "left")
+                                 .select("fp", F.coalesce("component", "fp").alias("component"), "least"))
+    least = labelled.groupBy("component").agg(F.min("least").alias("least"))
+    return labelled.drop("least").join(least, "component").select("fp", "least")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, most_bits: int = MOST_BITS, most_in_bucket: int = MOST_IN_BUCKET) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -243,17 +263,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, most_bits: int = MOST_B
     empty table gives an empty result; other columns are ignored.
     """
     rows = common.checkpoint(fingerprints(docs, words))
-    codes = common.checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    reached = common.components(links(codes.select("fp"), most_bits, most_in_bucket))
-    labelled = common.checkpoint(codes.join(reached.withColumnRenamed("node", "fp"), "fp", "left")
-                                 .select("fp", F.coalesce("component", "fp").alias("component"), "least"))
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = labelled.join(least, "component").select("fp", "component_id")
+    named = _least_of_groups(rows, F.col("doc_id"), most_bits, most_in_bucket).withColumnRenamed("least", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = WORDS, most_bits: int = MOST_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the document with the smallest doc_id (a NULL doc_id stays)."""
-    found = near_duplicates(docs, words, most_bits)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+def keep_one(docs: DataFrame, words: int = WORDS, most_bits: int = MOST_BITS, most_in_bucket: int = MOST_IN_BUCKET) -> DataFrame:
+    """``docs`` with exactly one row of each group: the smallest by doc_id (NULL last), then by a hash of the text; of rows that repeat both, any one."""
+    rows = common.checkpoint(_hashed(docs, words))
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    least = _least_of_groups(rows, own, most_bits, most_in_bucket)
+    judged = rows.join(least, "fp").select("doc_id", "text_hash", own.eqNullSafe(F.col("least")).alias("stays"))
+    # a key has one text, so one group: all its rows stay or none; of those that stay more than once one row is taken
+    keys = judged.groupBy(F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash")).agg(F.first("stays").alias("stays"), F.count("*").alias("n"))
+    keys = common.checkpoint(keys.where("NOT stays OR n > 1").select("key_id", "key_hash", "stays"))
+    again = keys.where("stays")
+    same = F.col("_doc").eqNullSafe(F.col("key_id")) & (F.col("_hash") == F.col("key_hash"))
+    keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"), _text_hash(F.col("text")).alias("_hash"))
+    kept = keyed.join(keys, same, "left_anti").select("_row")
+    if not again.isEmpty():
+        kept = kept.union(keyed.join(again, same, "left_semi").groupBy("_doc", "_hash").agg(F.first("_row").alias("_row")).select("_row"))
+    return kept.select("_row.*")

@@ -1,3 +1,4 @@
+import random
 import re
 
 import corpus_pipeline
@@ -91,3 +92,13 @@ def test_empty_and_odd_documents(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         assert {r.doc_id for r in docs.collect()} == ({None, 3} if data else set())
+
+
+def test_repeated_rows_and_ids(spark):
+    rng = random.Random(9)
+    a, b, c, d = (" ".join("".join(rng.choices("etaoinshrdlu", k=7)) for _ in range(50)) for _ in range(4))
+    rows = [(1, a), (1, a), (None, b), (None, b), (5, c), (5, d)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+    assert sorted((r.doc_id or 0, r.text) for r in docs.collect()) == sorted([(1, a), (0, b), (5, c), (5, d)])

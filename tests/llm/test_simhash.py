@@ -105,3 +105,18 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 100 + i) for i in range(1, 30)] + [(201, 200), (201, 201)]
     got = {r.node: r.component for r in common.components(frame(spark, edges, "u long, v long")).collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, **{i: 100 for i in range(100, 130)}, 200: 200, 201: 200}
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(5)
+    a, b, c, d, e = (" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60)) for _ in range(5))
+    long = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(2000)]
+    near = " ".join(["other", *long[1:]])
+    long = " ".join(long)
+    assert 0 < (plain_fingerprint(long) ^ plain_fingerprint(near)).bit_count() <= 3
+    rows = [(1, a), (1, a), (None, b), (None, b), (None, b.upper()), (5, c), (2, c), (5, d), (None, d), (7, e), (None, long), (None, near), (8, None), (None, ""), (None, None)]
+    got = sorted((r.doc_id or 0, r.text or "") for r in simhash.keep_one(frame(spark, rows)).collect())
+    of_b, of_long = [t for i, t in got if t in (b, b.upper())], [t for i, t in got if t in (long, near)]
+    assert len(of_b) == len(of_long) == 1
+    assert got == sorted([(1, a), (0, of_b[0]), (2, c), (5, d), (7, e), (0, of_long[0]), (8, "")])
+    assert simhash.keep_one(frame(spark, [])).count() == 0
