@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestone.session import checkpoint
 
-__all__ = ["checkpoint", "components", "encoded", "narrow", "read", "released", "slices"]
+__all__ = ["checkpoint", "components", "encoded", "narrow", "one_blas_thread", "read", "released", "slices"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +44,27 @@ def released(run: Callable) -> Callable:
     return task
 
 
+@contextlib.contextmanager
+def one_blas_thread() -> Iterator[None]:
+    """OpenBLAS, where numpy brings it, works in the caller's thread alone: its pool may not wake in a driver process."""
+    held = []
+    with contextlib.suppress(OSError):
+        with open("/proc/self/maps") as maps:
+            for path in sorted(set(re.findall(r"/\S*openblas\S*", maps.read()))):
+                lib = ctypes.CDLL(path)
+                for prefix, suffix in (("scipy_", "64_"), ("", "64_"), ("scipy_", ""), ("", "")):
+                    with contextlib.suppress(AttributeError):
+                        get, put = (getattr(lib, f"{prefix}openblas_{what}_num_threads{suffix}") for what in ("get", "set"))
+                        held.append((put, get()))
+                        put(1)
+                        break
+    try:
+        yield
+    finally:
+        for put, threads in held:
+            put(threads)
+
+
 def encoded(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; NULL gives b""."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -9,7 +9,7 @@ import pytest
 from lodestone.llm import queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "conversations")
 
 
 @pytest.mark.parametrize("key", sorted(queries.ORACLE))
@@ -25,7 +25,7 @@ def test_query_matches_its_oracle(spark, key):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_entry_without_the_folder():
