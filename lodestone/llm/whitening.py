@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -86,9 +86,9 @@ def _scatter(blocks: BlockMatrix, n: int) -> np.ndarray:
     return (scatter + scatter.T) / 2
 
 
-def _projected(blocks: BlockMatrix, whitening: np.ndarray, folder: str) -> DataFrame:
-    """(index, values) of A W."""
-    spark_context = blocks.blocks.ctx
+def _projected(blocks: BlockMatrix, whitening: np.ndarray, folder: str) -> None:
+    """Writes (index, values) of A W."""
+    spark_context = SparkContext.getOrCreate()
     d, kept = whitening.shape
     factor = BlockMatrix(spark_context.parallelize([((0, 0), DenseMatrix(d, kept, whitening.ravel(order="F").tolist()))], 1), d, kept)
 
@@ -134,7 +134,6 @@ def whitened(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     scale = np.where(real, 1 / np.sqrt(np.where(real, e, 1)), 0)
     out = scratch_dir(spark, "projected")
     _projected(blocks, vectors_of[:, order] * scale, out)
-    blocks.blocks.unpersist()
     projected = spark.read.parquet(out)
     identity_error = _identity_error(projected, np.flatnonzero(real).tolist(), n)
     each = F.array(*[F.struct(F.lit(k + 1).alias("component"), (F.col("values")[k] if real[k] else F.lit(None).cast("double")).alias("whitened"),
