@@ -17,16 +17,17 @@ where collisions are counted; a candidate is skipped when the coordinates that
 are left can't bring it to the threshold, or when it is linked already.  Pairs
 above the threshold are confirmed on the full sets of shingles, made of words.
 
-*Large groups.*  A group over ``MOST_IN_GROUP`` documents or ``MOST_WORDS`` words
-is not compared pair by pair.  All its members are compared with its centre B.
-Let a and b be what a member lacks of B and has beyond it; with links at
-``37 shared >= 17 (sizes)`` (that is 85 of 100) two members can only be linked if
-they share ``20 a + 17 b``, summed over both, less ``3 |B|``, over 37 of these
-differences.  Members for which ``20 a + 17 b <= 3 |B|`` are linked to B, so a pair
-that matters has another one, and the shared differences number at least one.
-So members are posted again, under their differences and with the same prefix
-rule, and the centre leaves its group: groups shrink until all can be compared.
-No pair is lost, and none is made of two members that are linked to the centre.
+*Large groups.*  In a group over ``MOST_IN_GROUP`` documents or ``MOST_WORDS`` words
+members are first compared with its centre B alone.  Let a and b be what a member
+lacks of B and has beyond it; with links at 85 of 100, two members can only be
+linked if the differences that they share number (100 a + 85 b, summed over both,
+less 15 |B|) / 185 or more.  Members for which 100 a + 85 b <= 15 |B| are linked to
+B, so a pair that matters has another member, and shares a difference at least.
+So the members that collide with B often enough are posted again, under their
+differences and with the same prefix rule, and the centre leaves its group.  Those
+that don't (they are in the group for other pairs) meet all its members in pairs
+of blocks, and so do groups that are large still after ``LEVELS`` rounds.  No pair is
+lost, and none is made of two members that are linked to the centre.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ from . import common
 
 WORDS, LEAST = 3, 85
 COORDINATES, MATCHES = 64, 40
-MOST_IN_GROUP, MOST_WORDS = 512, 1 << 20
+MOST_IN_GROUP, MOST_WORDS, LEVELS = 4096, 1 << 21, 3
 #: Shingles hashed at a time.
 _STEP = 1024
 _ODD = np.random.default_rng(11).integers(1, 1 << 63, COORDINATES + 8, dtype=np.uint64) | np.uint64(1)
@@ -155,6 +156,21 @@ def groups(posted: DataFrame) -> DataFrame:
     return posted.join(hubs, ["grp", "key"]).groupBy("grp", "hub", "cid").agg(F.max("probe").alias("probe"))
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """Members in pairs of blocks (``p`` of probes, ``t`` of all): one pair of blocks a group unless it is large."""
+    own = [F.pmod(F.xxhash64("cid", "grp", "hub"), F.col(c)) for c in ("probe_blocks", "blocks")]
+    zero = F.lit(0).cast("long")
+
+    def pairs(p: Column, t: Column, probe: Column, over: str) -> Column:
+        return F.transform(F.sequence(zero, F.col(over) - 1), lambda i: F.struct((i if over == "probe_blocks" else p).alias("p"), (i if over == "blocks" else t).alias("t"), probe.alias("probe")))
+
+    as_target, as_probe = pairs(own[0], own[1], F.lit(False), "probe_blocks"), pairs(own[0], own[1], F.lit(True), "blocks")
+    one = F.array(F.struct(zero.alias("p"), zero.alias("t"), F.col("probe").alias("probe")))
+    many = F.when(F.col("probe"), F.concat(as_target, as_probe)).otherwise(as_target)
+    cut = members.select("grp", "hub", "cid", F.explode(F.when(F.col("blocks") == 1, one).otherwise(many)).alias("b"))
+    return cut.select("grp", "hub", "b.p", "b.t", "cid", "b.probe")
+
+
 # sets of shingles, made of words
 
 
@@ -222,45 +238,53 @@ def group_links(cids: np.ndarray, probe: np.ndarray, signatures: np.ndarray, tex
 
 
 def _compared(members: DataFrame, kept: DataFrame, width: int, least: int) -> DataFrame:
-    """(u, v): links inside groups that a task can hold."""
+    """(u, v): links inside the pairs of blocks of groups."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held = None, {}
 
         def links():
-            cids, probe, signatures, texts = zip(*held)
-            cids = np.array(cids, np.int64)
-            centre = int(np.flatnonzero(cids == key[1])[0]) if key[1] in cids else 0
+            cids = np.array(list(held), np.int64)
+            probe, signatures, texts = zip(*held.values())
+            centre = int(np.flatnonzero(cids == key[1])[0]) if key[1] in held else 0
             found = group_links(cids, np.array(probe), np.frombuffer(b"".join(signatures), np.uint64).reshape(len(cids), -1), texts, centre, width, least)
             return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=schema)
 
         for batch in batches:
-            grp, hub, cid, probe, signatures = (batch.column(i).to_pylist() for i in range(5))
-            for row in zip(grp, hub, cid, probe, signatures, common.encoded(batch.column(5))):
-                if key != row[:2]:
-                    if held:
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for *at, cid, probe, signature, text in zip(*columns, common.encoded(batch.column(7))):
+                if key != at:
+                    if len(held) > 1:
                         yield links()
-                    key, held = row[:2], []
-                held.append(row[2:])
-        if held:
+                    key, held = at, {}
+                held[cid] = (probe or cid in held and held[cid][0], signature, text)
+        if len(held) > 1:
             yield links()
 
-    rows = members.join(kept, "cid").select("grp", "hub", "cid", "probe", "signature", "text")
-    return rows.repartition("grp", "hub").sortWithinPartitions("grp", "hub", "cid").mapInArrow(run, "u long, v long")
+    rows = _blocks(members).join(kept, "cid").select("grp", "hub", "p", "t", "cid", "probe", "signature", "text")
+    group = ["grp", "hub", "p", "t"]
+    return rows.repartition(*group).sortWithinPartitions(*group, "cid").mapInArrow(run, "u long, v long")
 
 
 def _against_centres(members: DataFrame, kept: DataFrame, width: int, least: int) -> DataFrame:
-    """(grp, hub, cid, linked, least, differences) of the members of large groups but their centres."""
-    schema = pa.schema([("grp", pa.int64()), ("hub", pa.int64()), ("cid", pa.int64()), ("linked", pa.bool_()), ("least", pa.int64()), ("differences", pa.list_(pa.int64()))])
+    """Of the members of large groups but their centres: whether they are linked to it or far from it, and else their
+    differences from it, how many of them any partner shares at least, and whether a partner may be linked to the centre."""
+    kinds = [("grp", pa.int64()), ("hub", pa.int64()), ("cid", pa.int64()), ("linked", pa.bool_()), ("far", pa.bool_()), ("probe", pa.bool_()),
+             ("least", pa.int64()), ("differences", pa.list_(pa.int64()))]
+    schema = pa.schema(kinds)
 
     @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, centre, own = _Words(), None, None
         for batch in common.slices(batches, "text"):
             out = []
-            for grp, hub, cid, at_hub, text in zip(*(batch.column(i).to_pylist() for i in range(3)), common.encoded(batch.column(3)), common.encoded(batch.column(4))):
+            keys = zip(*(batch.column(i).to_pylist() for i in range(5)))
+            for (grp, hub, cid, at, mine), at_hub, text in zip(keys, common.encoded(batch.column(5)), common.encoded(batch.column(6))):
+                if (np.frombuffer(at, np.uint64) == np.frombuffer(mine, np.uint64)).sum() < MATCHES:
+                    out.append((grp, hub, cid, False, True, False, 0, []))
+                    continue
                 if at_hub != centre:
                     centre, own = at_hub, shingles(words_of(at_hub), hashes, width)
                 found = shingles(words_of(text), hashes, width)
@@ -274,16 +298,17 @@ def _against_centres(members: DataFrame, kept: DataFrame, width: int, least: int
                 # (100 + L) differences >= weight + weight' - (100 - L) |B|, weight = 100 a + L b
                 weight, bound = 100 * len(lacks) + least * len(beyond), (100 - least) * len(own)
                 need = max(-(-(weight - bound) // (100 + least)), 1) if weight > bound else weight // (100 + least) + 1
-                out.append((grp, hub, cid, one, need, np.concatenate([lacks ^ np.uint64(1), beyond]).view(np.int64).tolist(), weight > bound))
-            yield pa.RecordBatch.from_arrays([*[pa.array([o[i] for o in out], schema[i].type) for i in range(6)], pa.array([o[6] for o in out], pa.bool_())],
-                                             names=[*schema.names, "probe"])
+                out.append((grp, hub, cid, one, False, weight > bound, need, np.concatenate([lacks ^ np.uint64(1), beyond]).view(np.int64).tolist()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, (_, kind) in enumerate(kinds)], schema=schema)
 
-    centres = members.select("grp", "hub").distinct().join(kept.select(F.col("cid").alias("hub"), F.col("text").alias("at_hub")), "hub")
-    rows = members.where("cid <> hub").join(kept.select("cid", "text"), "cid").join(centres, ["grp", "hub"])
-    return rows.select("grp", "hub", "cid", "at_hub", "text").mapInArrow(run, f"{_GROUP}, cid long, linked boolean, least long, differences array<long>, probe boolean")
+    # the centre's row comes to its members: a join in which a large group's rows can be split
+    centres = members.select("grp", "hub").distinct().join(kept.select(F.col("cid").alias("hub"), F.col("text").alias("at_hub"), F.col("signature").alias("at")), "hub")
+    rows = members.where("cid <> hub").join(kept.select("cid", "text", "signature"), "cid").join(centres, ["grp", "hub"])
+    return rows.select("grp", "hub", "cid", "at", "signature", "at_hub", "text").mapInArrow(
+        run, f"{_GROUP}, cid long, linked boolean, far boolean, probe boolean, least long, differences array<long>")
 
 
-def links(classes: DataFrame, docs: DataFrame, width: int = WORDS, least: int = LEAST, most_in_group: int = MOST_IN_GROUP, most_words: int = MOST_WORDS) -> DataFrame:
+def links(classes: DataFrame, docs: DataFrame, width: int = WORDS, least: int = LEAST, most_in_group: int = MOST_IN_GROUP, most_words: int = MOST_WORDS, levels: int = LEVELS) -> DataFrame:
     """(u, v): links between classes that keep every connected group connected."""
     if least < LEAST:
         raise ValueError(f"COORDINATES and MATCHES are made for links of {LEAST} in 100 or more")
@@ -291,19 +316,32 @@ def links(classes: DataFrame, docs: DataFrame, width: int = WORDS, least: int =
     postings = classes.select("cid", pairs.alias("key"), F.lit(MATCHES).alias("least"))
     posted = posts(postings, ["cid"], []).select(F.lit(0).cast("long").alias("grp"), "key", "cid", "weight", F.lit(True).alias("probe"))
     kept, found = None, []
-    while True:
+
+    def sized(members: DataFrame) -> DataFrame:
+        """Members with the numbers of blocks of their group (1: a task can hold it); groups without a pair go."""
+        n, words = F.count("*"), F.sum("n_words")
+        parts = F.greatest(F.ceil(n / most_in_group), F.least(F.ceil(words / most_words), F.ceil(n / 2))).cast("long")
+        sizes = (members.join(kept.select("cid", "n_words"), "cid").groupBy("grp", "hub")
+                 .agg(n.alias("n"), F.count_if("probe").alias("probes"), parts.alias("blocks")).where("n > 1 AND probes > 0"))
+        sizes = sizes.select("grp", "hub", "blocks", F.ceil(F.col("probes") * F.col("blocks") / F.col("n")).cast("long").alias("probe_blocks"))
+        return members.join(_written(sizes, "groups"), ["grp", "hub"])
+
+    def compare(members: DataFrame) -> None:
+        found.append(_written(_compared(members, kept, width, least), "links"))
+
+    for level in range(levels + 1):
         members = _written(groups(_written(posted, "posts")), "members")
         if kept is None:
             kept = _written(_texts(classes.join(members.select("cid").distinct(), "cid"), docs), "texts")
-        sized = members.join(kept.select("cid", "n_words"), "cid").groupBy("grp", "hub").agg(F.count("*").alias("n"), F.sum("n_words").alias("words"), F.max("probe").alias("any"))
-        sized = _written(sized.where("n > 1 AND any").select("grp", "hub", ((F.col("n") > most_in_group) | ((F.col("words") > most_words) & (F.col("n") > 2))).alias("large")), "groups")
-        dealt = members.join(sized, ["grp", "hub"])
-        found.append(_written(_compared(dealt.where("NOT large"), kept, width, least), "links"))
-        if sized.where("large").isEmpty():
+        dealt = _written(sized(members), "dealt")
+        if level == levels or dealt.where("blocks > 1").isEmpty():
+            compare(dealt)
             break
-        against = _written(_against_centres(dealt.where("large").select("grp", "hub", "cid"), kept, width, least), "differences")
+        compare(dealt.where("blocks = 1"))
+        against = _written(_against_centres(dealt.where("blocks > 1").select("grp", "hub", "cid"), kept, width, least), "differences")
         found.append(against.where("linked").select(F.col("hub").alias("u"), F.col("cid").alias("v")))
-        again = against.select(F.xxhash64("grp", "hub").alias("grp"), "cid", "probe", "least", F.explode("differences").alias("difference"))
+        compare(sized(against.select("grp", "hub", "cid", F.col("far").alias("probe"))))
+        again = against.where("NOT far").select(F.xxhash64("grp", "hub").alias("grp"), "cid", "probe", "least", F.explode("differences").alias("difference"))
         again = again.select("grp", "cid", "probe", "least", F.xxhash64("grp", "difference").alias("key"))
         posted = posts(again, ["grp", "cid"], ["probe"]).select("grp", "key", "cid", "weight", "probe")
     out = found[0]
