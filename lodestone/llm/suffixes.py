@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.session import scratch_dir
@@ -84,6 +84,7 @@ def _runs(text: bytes, ends: np.ndarray, length: int, anchor: int) -> Iterator[t
 _KEY = "doc long, text_hash long"
 _PIECE = "anchor long, piece long, starts int"
 _NAMES = ["anchor", "piece", "starts"]
+_RANGES = "ranges array<struct<from:int,to:int>>"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -246,11 +247,12 @@ def merge(earlier: Shard, some: np.ndarray, later: Shard, others: np.ndarray) ->
 
 
 def _sorted_shards(length: int, shard_bytes: int):
-    names = ["anchor", "piece", "starts", "from", "to"]
+    names = [*_NAMES, "ranges"]
 
     def results(keys, shard: Shard, some: range):
-        out = [(*keys[p][:3], a, b) for p in some if keys[p][3] < 2 for a, b in shard.ranges(p)]
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        """One row a piece that has repeated starts (all starts of one with copies are, and told elsewhere)."""
+        out = [(*keys[p][:3], [{"from": a, "to": b} for a, b in own]) for p in some if keys[p][3] < 2 and (own := shard.ranges(p))]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), _RUNS)
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
 
     @common.released
@@ -291,6 +293,34 @@ def _sorted_shards(length: int, shard_bytes: int):
 # the corpus
 
 
+_RUNS = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
+
+
+def _moved(by: str) -> Column:
+    return F.transform("ranges", lambda r: F.struct((F.col(by) + r["from"]).alias("from"), (F.col(by) + r["to"]).alias("to")))
+
+
+def _maximal(rows: DataFrame) -> DataFrame:
+    """(anchor, piece, starts, ranges) with a piece's ranges as maximal runs: one row a piece."""
+
+    @common.released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for ranges in batch.column(3).to_pylist():
+                own: list[dict] = []
+                for a, b in sorted((r["from"], r["to"]) for part in ranges for r in part):
+                    if own and a <= own[-1]["to"]:
+                        own[-1]["to"] = max(own[-1]["to"], b)
+                    else:
+                        own.append({"from": a, "to": b})
+                out.append(own)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, _RUNS)], names=[*_NAMES, "ranges"])
+
+    grouped = rows.groupBy(*_NAMES).agg(F.collect_list("ranges").alias("ranges"))  # a piece has few starts
+    return grouped.mapInArrow(run, f"{_PIECE}, {_RANGES}")
+
+
 def _cut(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
     """The text of pieces."""
     wanted = places.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("at", *_NAMES, "copies", "crowded")).alias("places"))
@@ -315,8 +345,8 @@ def _cut(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
 def _dealt_again(rows: DataFrame, length: int, anchor: int) -> DataFrame:
     """The pieces of longer anchors inside pieces, with the piece that each lies in and where."""
     owners = ["owner_anchor", "owner_piece", "owner_starts"]
-    names = [*_NAMES, "copies", "data", *owners, "at"]
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    names = [*_NAMES, "copies", "data", *owners, "owner_copies", "at"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
 
     @common.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,15 +360,20 @@ def _dealt_again(rows: DataFrame, length: int, anchor: int) -> DataFrame:
                 for a, n, h, r in zip(first.tolist(), starts.tolist(), found.tolist(), row.tolist()):
                     data = text[a:a + n + length - 1]
                     piece = np.uint64(xxhash.xxh3_64_intdigest(data)).astype(np.int64)
-                    out.append((h, int(piece), n, copies[r], data, *keys[r], a - int(begins[r])))
+                    out.append((h, int(piece), n, copies[r], data, *keys[r], copies[r], a - int(begins[r])))
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=names)
 
     return rows.select(*_NAMES, "copies", "data").mapInArrow(
-        run, f"{_PIECE}, copies long, data binary, owner_anchor long, owner_piece long, owner_starts int, at int")
+        run, f"{_PIECE}, copies long, data binary, owner_anchor long, owner_piece long, owner_starts int, owner_copies long, at int")
 
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH, anchors: tuple[int, ...] = ANCHORS, most_kinds: int = MOST_KINDS, shard_bytes: int = SHARD) -> DataFrame:
-    """(doc, text_hash, from, to): runs of starts whose string starts anywhere else too."""
+    """(doc, text_hash, ranges): runs of starts whose string starts anywhere else too, one row a piece of text.
+
+    Ranges are kept as one array a piece, and both joins that bring them back to
+    where the piece lies have one row a piece on their right, so neither makes
+    more rows than it reads.
+    """
     spark = docs.sparkSession
 
     def written(df: DataFrame, name: str) -> DataFrame:
@@ -354,26 +389,33 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, anchors: tuple[int, .
 
     def sharded(rows: DataFrame) -> DataFrame:
         return (rows.where("NOT crowded").select(*_NAMES, "copies", "data").repartition("anchor").sortWithinPartitions(*_NAMES)
-                .mapInArrow(_sorted_shards(length, shard_bytes), f"{_PIECE}, from int, to int"))
+                .mapInArrow(_sorted_shards(length, shard_bytes), f"{_PIECE}, {_RANGES}"))
 
     def settled(kinds: DataFrame, rows: DataFrame, level: int) -> DataFrame:
-        """(anchor, piece, starts, from, to) of the kinds of a level; ``rows`` has the text of those to compare."""
-        out = kinds.where("copies > 1").select(*_NAMES, F.lit(0).alias("from"), F.col("starts").alias("to")).union(sharded(rows))
+        """(anchor, piece, starts, ranges) of the kinds of a level, one row a kind; ``rows`` has the text of those to compare."""
+        whole = F.array(F.struct(F.lit(0).alias("from"), F.col("starts").alias("to"))).alias("ranges")
+        out = kinds.where("copies > 1").select(*_NAMES, whole).union(sharded(rows))
         crowded = rows.where("crowded")
         if level + 1 == len(anchors) or crowded.isEmpty():
             return out
         parts = written(_dealt_again(crowded, length, anchors[level + 1]), "dealt")
         inner = written(parts.groupBy(*_NAMES).agg(F.sum("copies").alias("copies"), F.first("data").alias("data")), "kinds")
         deeper = settled(inner, written(compared(inner, level + 1), "cut"), level + 1)
-        back = parts.drop("copies", "data").join(deeper, _NAMES)
-        return out.union(back.select(*[F.col(f"owner_{c}").alias(c) for c in _NAMES], F.col("at") + F.col("from"), F.col("at") + F.col("to")))
+        # kinds with copies are told whole above; the others get what their inner pieces have
+        back = parts.where("owner_copies < 2").drop("copies", "data", "owner_copies").join(deeper, _NAMES)
+        return out.union(_maximal(back.select(*[F.col(f"owner_{c}").alias(c) for c in _NAMES], _moved("at").alias("ranges"))))
 
     often = written(anchors_of(docs, length, anchors[0]).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "often")
     found = written(pieces(docs, length, anchors[0]).join(often, "anchor"), "pieces")
     kinds = written(found.groupBy(*_NAMES).agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("doc", "text_hash", "at")]), "kinds")
     cut = written(_cut(docs, compared(kinds, 0), length), "cut")
     repeated = settled(kinds, cut, 0)
-    return found.join(repeated, _NAMES).select("doc", "text_hash", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to"))
+    return found.join(repeated, _NAMES).select("doc", "text_hash", _moved("at").alias("ranges"))
+
+
+def _of_documents(docs: DataFrame, length: int, **options) -> DataFrame:
+    """(doc, text_hash, ranges): all ranges of a document, those of its repeats among them."""
+    return repeated_starts(docs, length, **options).groupBy("doc", "text_hash").agg(F.flatten(F.collect_set("ranges")).alias("ranges"))
 
 
 def _spans(ranges: list[dict], length: int) -> list[tuple[int, int]]:
@@ -396,7 +438,7 @@ def _kept(text: bytes, spans) -> bytes:
 
 
 def _with_ranges(docs: DataFrame, length: int, **options) -> DataFrame:
-    ranges = repeated_starts(docs, length, **options).groupBy("doc", "text_hash").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
+    ranges = _of_documents(docs, length, **options)
     return _keyed(docs).join(ranges, ["doc", "text_hash"], "left")
 
 
@@ -428,7 +470,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
     """``docs`` with the bytes that stay; what a cut leaves of a broken character goes with it, and so does a document of which only white space is left."""
-    ranges = repeated_starts(docs, length, **options).groupBy("doc", "text_hash").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
+    ranges = _of_documents(docs, length, **options)
     keyed = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     joined = keyed.join(ranges, ["doc", "text_hash"], "left").select("row", "ranges", F.col("row.text").alias("text"))
 
