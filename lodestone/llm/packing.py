@@ -9,10 +9,12 @@ are rounded to whole numbers of copies.
 
 Documents are numbered within their length on Spark (a number within the task
 plus the counts of the tasks before, from one aggregation), and the number
-alone says which copy of which pattern a remainder goes to.  What the rounding
-leaves is laid end to end in the order of those numbers and cut where a
-sequence is full; its last sequences have lengths that are powers of two, so
-nothing is padded.  Patterns that would need padding are not used.
+alone says which copy of which pattern a remainder goes to.  Patterns of the
+program that leave a gap, and patterns made of what the rounding leaves, are used
+as far as there are remainders left to fill the gaps with; only these are cut.
+They are laid end to end, first through the gaps, then through sequences of
+their own, of which the last have lengths that are powers of two, so nothing is
+padded.
 """
 
 from __future__ import annotations
@@ -32,9 +34,10 @@ from lodestone.session import scratch_dir
 from . import bpe, common
 
 CAPACITY, END = 2048, 1
-#: Simplex steps at most; fewer leave more remainders to be laid end to end, and no padding either way.
-MOST_PIVOTS = 500
-_EPS = 1e-9
+#: Columns are generated until the program is within this share of its lower bound (that of Farley), or needs as many whole
+#: sequences, or has not come down by that much in so many rounds of pricing.  How far it is from the bound is known then.
+GAP, PATIENCE = 5e-4, 40
+_EPS, _LEAST_PIVOT = 1e-9, 1e-6
 
 
 def price(value: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,8 +67,11 @@ def _pattern(size: int, item: np.ndarray, first: int) -> dict[int, int]:
     return found
 
 
-def first_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[list[dict[int, int]], np.ndarray]:
-    """A first basis, one pattern for each length that it uses up: the longest that is left, filled up with the longest that fit."""
+def first_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[list[dict[int, int]], np.ndarray, list[int]]:
+    """A first basis, one pattern for each length that it uses up: the longest that is left, filled up with the longest that fit.
+
+    Also gives the lengths in the order in which they are used up; a pattern holds no length used up before its own.
+    """
     left = np.zeros(capacity + 1)
     left[lengths] = demand
     of: dict[int, tuple[dict[int, int], float]] = {}
@@ -83,25 +89,46 @@ def first_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tu
         of[used[0]] = (p, copies)
         for n in used[1:]:
             of[n] = ({n: capacity // n}, 0.0)
-    return [of[int(n)][0] for n in lengths], np.array([of[int(n)][1] for n in lengths])
-
-
-def column_generation(lengths: np.ndarray, demand: np.ndarray, capacity: int, most_pivots: int = MOST_PIVOTS) -> list[tuple[dict[int, int], float]]:
-    """Patterns {length: count} and how often each is used in a linear program that meets the demand with few sequences."""
+    return [of[int(n)][0] for n in lengths], np.array([of[int(n)][1] for n in lengths]), list(of)
+
+
+def _inverse(patterns: list[dict[int, int]], row: dict[int, int], order: list[int]) -> np.ndarray:
+    """Of the first basis, by forward substitution: in ``order`` it is lower triangular, and nearly empty."""
+    holds: dict[int, list[tuple[int, int]]] = {n: [] for n in order}
+    for n in order:
+        for other, count in patterns[row[n]].items():
+            if other != n:
+                holds[other].append((row[n], count))
+    inverse = np.zeros((len(order), len(order)))
+    for n in order:
+        k = row[n]
+        inverse[k, k] = 1
+        for column, count in holds[n]:
+            inverse[k] -= count * inverse[column]
+        inverse[k] /= patterns[k][n]
+    return inverse
+
+
+def column_generation(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """Patterns {length: count} and how often each is used in a linear program that meets the demand with few sequences; and a lower bound of that."""
     row = {int(n): i for i, n in enumerate(lengths)}
-    patterns, x = first_patterns(lengths, demand, capacity)
-    basis = np.zeros((len(lengths), len(lengths)))
-    for k, p in enumerate(patterns):
-        basis[[row[n] for n in p], k] = list(p.values())
-    inverse = np.linalg.inv(basis)
+    # slightly different demands keep basic solutions from being degenerate
+    demand = demand * (1 + 1e-5 * np.random.default_rng(len(lengths)).random(len(lengths)))
+    patterns, x, order = first_patterns(lengths, demand, capacity)
+    inverse = _inverse(patterns, row, order)
     dual = inverse.sum(axis=0)
-    pivots = 0
-    while pivots < most_pivots:
+    bound, least, patience = float(lengths @ demand) / capacity, np.inf, PATIENCE
+    while True:
         best, item = price(dual, lengths, capacity)
+        # the dual values over the value of the best pattern are feasible for the dual program
+        bound = max(bound, float(dual @ demand) / max(1.0, float(best[capacity])))
+        if least - x.sum() > gap * bound:
+            least, patience = x.sum(), PATIENCE
+        patience -= 1
+        if x.sum() - bound <= gap * bound or np.ceil(x.sum() - 1e-3) <= np.ceil(bound - 1e-3) or not patience:
+            break
         gain = dual + best[capacity - lengths] - 1  # of the best pattern with each length in it
         pool = [i for i in np.argsort(-gain) if gain[i] > 1e-7]
-        if not pool:
-            break
         done = 0
         for i in pool:
             p = _pattern(capacity - int(lengths[i]), item, int(lengths[i]))
@@ -109,12 +136,13 @@ def column_generation(lengths: np.ndarray, demand: np.ndarray, capacity: int, mo
             if dual[at] @ count - 1 <= 1e-7:
                 continue
             change = inverse[:, at] @ count
-            up = change > _EPS
-            if not up.any():
+            up = np.flatnonzero(change > _LEAST_PIVOT)
+            if not len(up):
                 continue
-            ratio = np.where(up, x / np.where(up, change, 1), np.inf)
-            out = int(ratio.argmin())
-            step = ratio[out]
+            ratio = x[up] / change[up]
+            ties = up[ratio <= ratio.min() + _EPS]
+            out = int(ties[change[ties].argmax()])  # of rows that leave alike, the largest pivot
+            step = x[out] / change[out]
             x -= step * change
             x[out] = step
             np.maximum(x, 0, out=x)
@@ -125,17 +153,14 @@ def column_generation(lengths: np.ndarray, demand: np.ndarray, capacity: int, mo
             inverse[out] = pivot_row
             dual = dual - (dual[at] @ count - 1) * pivot_row
             patterns[out] = p
-            pivots, done = pivots + 1, done + 1
-            if pivots >= most_pivots:
-                break
-        if not done:
+            done += 1
+        if not done:  # no column has a price: this is the optimum
             break
-    return [(p, float(v)) for p, v in zip(patterns, x) if v > _EPS]
+    return [(p, float(v)) for p, v in zip(patterns, x) if v > _EPS], bound
 
 
-def _full(p: dict[int, int], capacity: int) -> bool:
-    total = sum(n * k for n, k in p.items())
-    return total == capacity or total & (total - 1) == 0
+def _total(p: dict[int, int]) -> int:
+    return sum(n * k for n, k in p.items())
 
 
 @dataclass
@@ -146,9 +171,11 @@ class Layout:
     start: np.ndarray  # of each length: documents of smaller lengths
     segments: dict[int, tuple[np.ndarray, ...]]  # of each length: first rank, per copy, first sequence, offset
     placed: np.ndarray  # of each length: ranks that patterns take
+    gaps: tuple[np.ndarray, ...]  # of each pattern with a gap: tokens in gaps before, size of the gap, first sequence
+    gap_tokens: int
     rest: np.ndarray  # of each length: tokens laid end to end before it
-    rest_tokens: int
-    rest_first: int  # first sequence of those
+    rest_tokens: int  # of those, the tokens behind the gaps
+    rest_first: int  # and their first sequence
     sequences: int
 
     def place(self, length: int, rank: int) -> list[tuple[int, int, int, int]]:
@@ -163,6 +190,15 @@ class Layout:
         whole = self.rest_tokens // self.capacity
         while done < length:
             p = at + done
+            if p < self.gap_tokens:
+                before, gap, first = self.gaps
+                k = int(np.searchsorted(before, p, side="right")) - 1
+                copy, offset = divmod(p - int(before[k]), int(gap[k]))
+                take = min(length - done, int(gap[k]) - offset)
+                out.append((done, take, int(first[k]) + copy, self.capacity - int(gap[k]) + offset))
+                done += take
+                continue
+            p -= self.gap_tokens
             sequence, offset = divmod(p, self.capacity)
             size = self.capacity
             if sequence >= whole:  # the tail: one sequence for each bit of what is left
@@ -180,7 +216,42 @@ class Layout:
         return out
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, most_pivots: int = MOST_PIVOTS) -> Layout:
+def _rounded(found: list[tuple[dict[int, int], float]], left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Whole copies of patterns for the remainders ``left``, which are taken off; as many stay as fill the gaps."""
+    chosen: list[tuple[dict[int, int], int]] = []
+    gaps = 0
+
+    def use(p: dict[int, int], most: int) -> None:
+        nonlocal gaps
+        gap = capacity - _total(p)
+        # a copy takes a sequence's worth of remainders, those that fill its gap included; those promised to gaps stay
+        copies = min([most, (int(left @ np.arange(len(left))) - gaps) // capacity, *(int(left[n]) // c for n, c in p.items())])
+        if copies > 0:
+            for n, c in p.items():
+                left[n] -= copies * c
+            gaps += copies * gap
+            chosen.append((p, copies))
+
+    by_gap = sorted(found, key=lambda f: capacity - _total(f[0]))
+    for p, v in by_gap:
+        use(p, int(v + 1e-6))
+    for p, v in sorted(found, key=lambda f: (capacity - _total(f[0]), int(f[1]) - f[1])):  # round up while remainders last
+        use(p, 1 if capacity - _total(p) else 1 << 60)
+    while True:  # what is left: the longest, filled up with the longest that fit
+        p, gap, have = {}, capacity, left.copy()
+        while gap and (fits := np.flatnonzero(have[1:gap + 1])).size:
+            n = int(fits[-1]) + 1
+            k = min(gap // n, int(have[n]))
+            p[n], gap = k, gap - n * k
+            have[n] = 0
+        before = len(chosen)
+        if p:
+            use(p, 1 << 60)
+        if len(chosen) == before:
+            return chosen
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, gap: float = GAP) -> Layout:
     """The layout of remainders from the number of documents of each length (0: no remainder)."""
     count = np.zeros(capacity, np.int64)
     for n, k in histogram.items():
@@ -188,36 +259,28 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, most_pivots: int =
     lengths = np.flatnonzero(count[1:]) + 1
     left = count.copy()
     left[0] = 0
-    chosen: list[tuple[dict[int, int], int]] = []
+    chosen = []
     if len(lengths):
-        found = [(p, v) for p, v in column_generation(lengths, count[lengths], capacity, most_pivots) if _full(p, capacity)]
-        copies = [int(v + 1e-6) for _, v in found]
-        for (p, _), k in zip(found, copies):
-            k = min([k, *(int(left[n]) // c for n, c in p.items())])
-            for n, c in p.items():
-                left[n] -= k * c
-            chosen.append((p, k))
-        for i in sorted(range(len(found)), key=lambda i: copies[i] - found[i][1]):  # round up while documents last
-            p, k = chosen[i]
-            more = min(int(left[n]) // c for n, c in p.items())
-            for n, c in p.items():
-                left[n] -= more * c
-            chosen[i] = (p, k + more)
+        with common.one_blas_thread():
+            found, _ = column_generation(lengths, count[lengths].astype(float), capacity, gap)
+        chosen = _rounded(found, left, capacity)
     parts: dict[int, list[tuple[int, int, int, int]]] = {}
-    placed, sequence = np.zeros(capacity, np.int64), 0
+    placed, sequence, gaps, gap_tokens = np.zeros(capacity, np.int64), 0, [], 0
     for p, k in chosen:
-        if not k:
-            continue
         offset = 0
         for n, c in sorted(p.items(), reverse=True):
             parts.setdefault(n, []).append((int(placed[n]), c, sequence, offset))
             placed[n] += k * c
             offset += n * c
+        if offset < capacity:
+            gaps.append((gap_tokens, capacity - offset, sequence))
+            gap_tokens += k * (capacity - offset)
         sequence += k
     tokens = left * np.arange(capacity)
-    total = int(tokens.sum())
+    total = int(tokens.sum()) - gap_tokens
     tail = total % capacity
     return Layout(capacity, np.cumsum(count) - count, {n: tuple(np.array(c, np.int64) for c in zip(*v)) for n, v in parts.items()}, placed,
+                  tuple(np.array(c, np.int64) for c in zip(*gaps)) or (np.empty(0, np.int64),) * 3, gap_tokens,
                   np.cumsum(tokens) - tokens, total, sequence, sequence + total // capacity + tail.bit_count())
 
 

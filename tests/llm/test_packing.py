@@ -70,7 +70,47 @@ def test_prices_against_brute_force():
 
 def test_linear_program_reaches_the_optimum():
     # 9 of length 5, 9 of length 7, 9 of length 4 in 16: 5+7+4 fills it, so 9 sequences
-    found = packing.column_generation(np.array([4, 5, 7]), np.array([9, 9, 9]), 16)
-    assert sum(v for _, v in found) == pytest.approx(9)
+    found, bound = packing.column_generation(np.array([4, 5, 7]), np.array([9.0, 9, 9]), 16)
+    assert sum(v for _, v in found) == pytest.approx(9, rel=1e-4) and bound == pytest.approx(9, rel=1e-4)
     for n in (4, 5, 7):
-        assert sum(p.get(n, 0) * v for p, v in found) == pytest.approx(9)
+        assert sum(p.get(n, 0) * v for p, v in found) == pytest.approx(9, rel=1e-4)
+
+
+@pytest.mark.parametrize("capacity,documents,seed", [(64, 500, 1), (256, 3000, 2), (2048, 900, 3)])
+def test_most_remainders_come_through_patterns(capacity, documents, seed):
+    """Nearly all remainders are placed whole, every place is used once, and there are hardly more sequences than tokens need."""
+    rng = np.random.default_rng(seed)
+    lengths = np.minimum(rng.lognormal(np.log(capacity / 6), 0.9, documents).astype(int) + 1, capacity - 1)
+    histogram = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
+    layout, cover = packing.plan(histogram, capacity), defaultdict(list)
+    for length, n in histogram.items():
+        for rank in range(n):
+            pieces = layout.place(length, rank)
+            assert sum(p[1] for p in pieces) == length
+            for _, size, sequence, offset in pieces:
+                cover[sequence].append((offset, size))
+    for own in cover.values():
+        at = 0
+        for offset, size in sorted(own):
+            assert offset == at
+            at += size
+        assert at == capacity or at & (at - 1) == 0 and at < capacity
+    assert len(cover) == layout.sequences <= lengths.sum() / capacity + capacity.bit_length()
+    assert layout.placed.sum() >= 0.95 * documents
+
+
+def test_first_basis_is_inverted_by_substitution():
+    rng = np.random.default_rng(5)
+    lengths = np.unique(rng.integers(1, 200, 60))
+    patterns, _, order = packing.first_patterns(lengths, rng.integers(1, 50, len(lengths)).astype(float), 256)
+    row = {int(n): i for i, n in enumerate(lengths)}
+    basis = np.zeros((len(lengths), len(lengths)))
+    for k, p in enumerate(patterns):
+        basis[[row[n] for n in p], k] = list(p.values())
+    assert np.allclose(packing._inverse(patterns, row, order) @ basis, np.eye(len(lengths)))
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, "many words of a long text " * 60_000), (2, "short")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert check(packing.pack(frame, PATH).collect(), rows, 2048) == 0
