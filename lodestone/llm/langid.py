@@ -197,11 +197,13 @@ def predict(texts: list[str], model: Model, penalty: float = SWITCH_PENALTY, spa
     """Per text: language, score and, if asked for, spans (start, end, language) in characters."""
     w = words_of(texts)
     k = len(model.languages)
-    letters = np.zeros((len(texts), max(k, 1)))
+    letters, total = np.zeros((len(texts), max(k, 1))), np.zeros(len(texts))
     if k and len(w.start):
         label = viterbi(model.word_scores(w), w.text, penalty)
-        letters = np.bincount(w.text * k + label, weights=w.length, minlength=len(texts) * k).reshape(-1, k)
-    most, total = letters.argmax(axis=1), letters.sum(axis=1)
+        learned = w.length * model.allowed[w.script].any(axis=1)  # letters of other scripts speak for no language
+        letters = np.bincount(w.text * k + label, weights=learned, minlength=len(texts) * k).reshape(-1, k)
+        total = np.bincount(w.text, weights=w.length, minlength=len(texts))
+    most = letters.argmax(axis=1)
     lang = [model.languages[m] if n else UNKNOWN for m, n in zip(most, total)]
     score = letters.max(axis=1) / np.maximum(total, 1)
     if not spans:
@@ -222,7 +224,10 @@ def identify(docs: DataFrame, model: Model | None = None, penalty: float = SWITC
     Only the text decides a prediction.  held_out says that the row's fold is
     0 (false for a NULL doc_id, which trains nothing either).  A text that is
     NULL or has no letter, and any text if nothing could be learned, is ``und``
-    with score 0.  Equal shares go to the language first in order of its name.
+    with score 0.  The score is the language's share of all letters; those of a
+    script that no learned language uses count for none, so a text in such a
+    script alone has score 0.  Equal shares go to the language first in order of
+    its name.
     Repeated rows all come back; an empty table gives an empty result; other
     columns are ignored.
     """
@@ -243,7 +248,12 @@ def identify(docs: DataFrame, model: Model | None = None, penalty: float = SWITC
 
 
 def identified(docs: DataFrame, model: Model, least: float = 0.4, penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """The rows of ``docs`` with an identified language: not ``und``, and its share of the letters at least ``least``."""
+    """The rows of ``docs`` with an identified language: not ``und``, and its share of the letters at least ``least``.
+
+    Texts without letters go, and texts mostly in scripts that nothing was
+    learned of; NULL texts go; repeated rows are judged alike; all columns stay,
+    whatever their names; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @common.released
