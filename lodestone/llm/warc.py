@@ -7,9 +7,11 @@ and become response or revisit records with fresh headers; only responses carry
 their payload.  A payload that a large share of the pages has makes a skewed
 join key, which adaptive execution splits, as the other side has one row a key.
 Archives are written by Spark's text writer (a record ends in CR LF CR LF, so
-its last byte is the line end) and gzip, into the shared folder.
+its last byte is the line end) and gzip, into the shared folder; each begins
+with a warcinfo record, and all records are dated when the job writes them.
 
-*Reading.*  Spark's text reader gives an archive's lines in order; each task
+*Reading.*  Spark's text reader gives an archive's lines in order (gzip files
+are never split; a file that could be is refused); each task
 cuts them into records by Content-Length, checks each digest, and the revisit
 records are joined to the responses that they refer to by record id.
 """
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +57,9 @@ def resolved(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     return joined.withColumn("first", F.when(revisits, F.col("first")))
 
 
-def records(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """(value): WARC records as strings of bytes, without their last line end."""
+def records(pages: DataFrame, date: str | None = None, least_bytes: int = LEAST_BYTES) -> DataFrame:
+    """(value): WARC records as strings of bytes, without their last line end; dated now if no date is given."""
+    date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ") if date is None else date
     rows = resolved(pages, least_bytes)
     revisit = F.col("first").isNotNull()
 
@@ -73,16 +77,24 @@ def records(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", least_bytes: i
         field("WARC-Target-URI", clean(F.col("url"))), field("WARC-Page-ID", F.col("page_id")),
         field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         field("WARC-Payload-Length", F.col("bytes")),
-        F.when(revisit, F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\n"), field("WARC-Refers-To", F.col("first.record")),
+        F.when(revisit, F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\n"), field("WARC-Refers-To", F.col("first.record")), F.lit(f"WARC-Refers-To-Date: {date}\r\n"),
                                  field("WARC-Refers-To-Target-URI", clean(F.col("first.url"))))).otherwise(""),
         F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "), block.cast("string"), F.lit("\r\n\r\n"))
     payload = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
-    return rows.select(F.concat(head.cast("binary"), http.cast("binary"), payload, F.lit(b"\r\n\r")).cast("string").alias("value"))
+    record = F.concat(head.cast("binary"), http.cast("binary"), payload, F.lit(b"\r\n\r"))
+    # the first record of each task, and so of each file, has the file's own before it
+    place = F.monotonically_increasing_id()
+    about = "software: lodestone\r\nformat: WARC File Format 1.1\r\n"
+    info = F.concat(F.lit("WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:"), F.uuid(), F.lit(
+        f">\r\nWARC-Date: {date}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(about)}\r\n\r\n{about}\r\n\r\n"))
+    led = rows.select(record.alias("record"), place.alias("place"))
+    first = F.col("place").bitwiseAND((1 << 33) - 1) == 0
+    return led.select(F.when(first, F.concat(info.cast("binary"), F.col("record"))).otherwise(F.col("record")).cast("string").alias("value"))
 
 
-def write(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES, compression: str = "gzip") -> None:
-    """Write deduplicated archives into a new folder, one file a task."""
-    records(pages, least_bytes=least_bytes).write.option("lineSep", "\n").option("compression", compression).text(folder)
+def write(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES, date: str | None = None) -> None:
+    """Write deduplicated archives into a new folder, one gzip file a task."""
+    records(pages, date, least_bytes).write.option("lineSep", "\n").option("compression", "gzip").text(folder)
 
 
 def _record(head: dict[str, str], block: bytes) -> tuple:
@@ -113,6 +125,9 @@ def _cut(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.R
                 if missing > 0:
                     continue
                 data = b"\n".join(block)
+                if head["warc-type"] == "warcinfo":
+                    head = None
+                    continue
                 rows.append(_record(head, data[:len(data) + missing + 1] if missing < 0 else data + b"\n"))
                 held += len(data)
                 if not with_payload:
@@ -134,8 +149,10 @@ def _cut(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.R
 
 
 def read(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of the archives in a folder, as written, every response checked against its digest."""
-    lines = spark.read.option("lineSep", "\n").text(folder).select(F.col("value").cast("binary"))
+    """The records of the gzip archives in a folder, as written, every response checked against its digest."""
+    split = F.raise_error(F.concat(F.lit("records of a file that may be split can't be read: "), F.input_file_name())).cast("string")
+    whole = F.when(F.input_file_name().endswith(".gz"), F.col("value")).otherwise(split)
+    lines = spark.read.option("lineSep", "\n").text(folder).select(whole.cast("binary").alias("value"))
     return lines.mapInArrow(lambda batches: _cut(batches, with_payload),
                             "record_id string, record_type string, page_id long, url string, payload_digest string, "
                             "payload_bytes long, refers_to_record string, payload binary")

@@ -1,5 +1,7 @@
 import gzip
 import hashlib
+import re
+from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -49,7 +51,20 @@ def test_files_are_archives(spark, tmp_path):
         assert data[n:n + 4] == b"\r\n\r\n"
         data = data[n + 4:]
         kinds.append(fields["WARC-Type"])
-    assert sorted(kinds) == ["response"] * 11 + ["revisit"] * 4
+    infos = kinds.count("warcinfo")
+    assert sorted(kinds) == ["response"] * 11 + ["revisit"] * 4 + ["warcinfo"] * infos
+    assert infos == sum(1 for p in Path(f"{tmp_path}/w").glob("part-*") if gzip.decompress(p.read_bytes())) and kinds[0] == "warcinfo"
+
+
+def test_records_are_dated_when_written(spark, tmp_path):
+    before = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    warc.write(spark.createDataFrame(PAGES, "page_id long, url string, html string"), f"{tmp_path}/w")
+    after = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    data = b"".join(gzip.decompress(p.read_bytes()) for p in Path(f"{tmp_path}/w").glob("part-*")).decode()
+    dates = re.findall(r"WARC-Date: (\S+)", data)
+    assert len(dates) >= 15 + 1 and all(before <= d <= after for d in dates)
+    warc.write(spark.createDataFrame(PAGES, "page_id long, url string, html string"), f"{tmp_path}/v", date="2020-02-02T00:00:00Z")
+    assert "WARC-Date: 2020-02-02T00:00:00Z" in gzip.decompress(next(p for p in Path(f"{tmp_path}/v").glob("part-*")).read_bytes()).decode()
 
 
 def test_payloads_come_back(spark, tmp_path):
@@ -61,9 +76,26 @@ def test_payloads_come_back(spark, tmp_path):
 
 def test_damage_is_noticed(spark, tmp_path):
     frame = spark.createDataFrame(PAGES[:1], "page_id long, url string, html string")
-    warc.write(frame, f"{tmp_path}/w", compression="none")
-    part = next(p for p in Path(f"{tmp_path}/w").glob("part-*") if p.stat().st_size)
+    warc.write(frame, f"{tmp_path}/w")
+    data = b"".join(gzip.decompress(p.read_bytes()) for p in Path(f"{tmp_path}/w").glob("part-*"))
     (tmp_path / "bad").mkdir()
-    (tmp_path / "bad" / "x.warc").write_bytes(part.read_bytes().replace(b"xxxx", b"xxxz", 1))
+    (tmp_path / "bad" / "x.warc.gz").write_bytes(gzip.compress(data.replace(b"xxxx", b"xxxz", 1)))
     with pytest.raises(Exception, match="damaged record"):
         warc.read(spark, f"{tmp_path}/bad").collect()
+
+
+def test_archives_are_never_split(spark, tmp_path):
+    """With splits far below an archive's size all records come back; files that Spark could split are refused."""
+    pages = [(i, "u", f"page {i} " + "z" * 3000) for i in range(200)]
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), f"{tmp_path}/w")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        assert warc.read(spark, f"{tmp_path}/w").count() == 200
+        plain = tmp_path / "plain"
+        plain.mkdir()
+        (plain / "x.warc").write_bytes(b"".join(gzip.decompress(p.read_bytes()) for p in Path(f"{tmp_path}/w").glob("part-*")))
+        with pytest.raises(Exception, match="may be split"):
+            warc.read(spark, str(plain)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
