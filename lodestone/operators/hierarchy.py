@@ -3,10 +3,8 @@
 * ``calendar``: a dense day frame between two dates from ``sequence`` (the
   recursive date series of the reference).  Its size is the number of days
   in the requested range, independent of the fact volume.
-* ``hierarchy_paths``: a recursive CTE over an adjacency list, computed
-  level by level — each level is one join of the current frontier with the
-  child table, so the driver loop runs once per hierarchy level (the depth),
-  never once per row.
+* ``hierarchy_paths``: a recursive CTE over an adjacency list, computed by
+  pointer doubling, so the driver loop runs once per doubling of the depth.
 """
 
 from __future__ import annotations
@@ -41,32 +39,34 @@ def hierarchy_paths(nodes: DataFrame, id_col: str = "location_id", parent_col: s
 
     Output: every node column plus ``level`` (1 = root), ``indented_name``
     (name left-padded by ``indent`` per level below the root) and ``path``
-    (names from the root joined by ``sep``).  A node that is its own ancestor
-    is a cycle and raises; any depth is fine otherwise.  Each level is
-    checkpointed, so it is computed once and the plan stays short.
+    (names from the root joined by ``sep``).  A node below a parent that isn't
+    in the table is left out; one that is its own ancestor is a cycle and raises.
+
+    Pointer doubling: a node holds the names from just below some ancestor down
+    to itself, and that ancestor.  A round joins each node with its ancestor's
+    row, which doubles the stretch, so a hierarchy of depth d takes log2(d)
+    rounds, each one join and one reliable checkpoint.  A node that hasn't
+    reached a root when stretches are longer than the table hangs on a cycle.
     """
     from lodestone.session import checkpoint
 
-    cols = nodes.columns
-    node = F.col(id_col).cast("string")
-    frontier = checkpoint(nodes.filter(F.col(parent_col).isNull())
-                          .withColumn("level", F.lit(1))
-                          .withColumn("path", F.col(name_col).cast("string"))
-                          .withColumn("_above", F.array(node)))
-    out, depth = frontier, 1
+    up, names = F.col(parent_col).cast("string").alias("_up"), F.array(F.col(name_col).cast("string")).alias("_names")
+    state = checkpoint(nodes.select(F.struct(*nodes.columns).alias("_node"), F.col(id_col).cast("string").alias("_id"), up, names))
+    rows, stretch = state.count(), 1
     while True:
-        depth += 1
-        nxt = checkpoint(nodes.alias("c")
-                         .join(frontier.select(F.col(id_col).alias("_pid"), F.col("path").alias("_ppath"), F.col("_above").alias("_pabove")),
-                               F.col(f"c.{parent_col}") == F.col("_pid"))
-                         .select(*[F.col(f"c.{c}").alias(c) for c in cols], F.lit(depth).alias("level"),
-                                 F.concat(F.col("_ppath"), F.lit(sep), F.col(f"c.{name_col}")).alias("path"),
-                                 F.concat(F.col("_pabove"), F.array(F.col(f"c.{id_col}").cast("string"))).alias("_above")))
-        if nxt.isEmpty():
+        open_ = state.filter(F.col("_up").isNotNull())
+        left = open_.select("_id").head(1)
+        if not left:
             break
-        again = nxt.filter(F.size(F.array_distinct("_above")) < F.size("_above")).select(id_col).limit(1).collect()
-        if again:
-            raise RuntimeError(f"cycle in the hierarchy at {again[0][0]!r}")
-        out, frontier = out.unionByName(nxt), nxt
-    pad = F.expr(f"repeat('{indent}', level - 1)")
-    return out.drop("_above").withColumn("indented_name", F.concat(pad, F.col(name_col)))
+        if stretch > rows:
+            raise RuntimeError(f"cycle in the hierarchy at {left[0][0]!r}")
+        above = state.select(F.col("_id").alias("_at"), F.col("_up").alias("_above"), F.col("_names").alias("_before"))
+        longer = (open_.join(above, F.col("_up") == F.col("_at"))
+                  .select("_node", "_id", F.col("_above").alias("_up"), F.concat("_before", "_names").alias("_names")))
+        state = checkpoint(state.filter(F.col("_up").isNull()).unionByName(longer))
+        stretch *= 2
+    level = F.size("_names")
+    path = F.when(~F.exists("_names", lambda n: n.isNull()), F.array_join("_names", sep))     # a missing name leaves no path, as || would
+    name = F.col("_node").getField(name_col)
+    return state.select(*[F.col("_node").getField(c).alias(c) for c in nodes.columns], level.alias("level"), path.alias("path"),
+                        F.concat(F.expr(f"repeat('{indent}', size(_names) - 1)"), name).alias("indented_name"))

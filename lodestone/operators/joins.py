@@ -70,6 +70,13 @@ def bounded(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | No
     return df
 
 
+def broadcastable(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate of ``df`` is under the cap for broadcasts (``lodestone.broadcast.maxBytes``)."""
+    conf = df.sparkSession.conf.get("lodestone.broadcast.maxBytes", None)
+    est = estimated_bytes(df)
+    return est is not None and est <= (int(conf) if conf else BROADCAST_CAP_BYTES)
+
+
 # ---------------------------------------------------------------- scalar values
 def scalar(agg: Column, of: DataFrame) -> Column:
     """An uncorrelated scalar subquery ``(SELECT agg FROM of)`` as a Column.

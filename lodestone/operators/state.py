@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.operators.joins import bounded, partitions_for
+from lodestone.operators.joins import bounded, broadcastable, partitions_for
 
 
 class MergeCardinalityError(ValueError):
@@ -73,9 +73,22 @@ def insert_new_only(state: DataFrame, staging: DataFrame, keys: Sequence[str],
                     condition: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """INSERT ... SELECT ... WHERE NOT EXISTS (same natural key) [AND cond].
     Returns ``(new_state, inserted)``; rerunning with the same staging
-    inserts nothing (idempotent)."""
+    inserts nothing (idempotent).
+
+    The target's keys are a membership filter on the staging scan: rows whose
+    key it hasn't for certain are new and aren't shuffled; only the others go
+    into the exact anti join.  Where the filter can't be broadcast, all do.
+    """
+    from lodestone.operators.membership import key_filter
+
     src = staging.filter(condition) if condition is not None else staging
-    new = src.join(state.select(*keys), list(keys), "left_anti")
+    known = key_filter(state, keys)
+    if known is None:
+        new = src.join(state.select(*keys), list(keys), "left_anti")
+    else:
+        tagged = known.tagged(src)
+        maybe = tagged.filter("_may").drop("_may").join(state.select(*keys), list(keys), "left_anti")
+        new = tagged.filter("NOT _may").select(*src.columns).unionByName(maybe.select(*src.columns))
     return insert(state, new.select(*[c for c in state.columns if c in new.columns])), new
 
 
@@ -145,12 +158,15 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     WHEN MATCHED THEN UPDATE SET update_cols = source.*
     WHEN NOT MATCHED THEN INSERT (all target columns).
 
-    * updated target = target LEFT JOIN source: a match flag (not COALESCE)
-      picks the side of every updated column, so a NULL in the source does
-      overwrite.  A small change set is broadcast (by AQE's runtime size
-      check), so the target itself is not shuffled;
-    * inserted rows = source LEFT ANTI target keys (a keys-only read of the
-      target).
+    A match flag (not COALESCE) picks the side of every updated column, so a
+    NULL in the source does overwrite.  Two ways, by the size of the source:
+
+    * a change set that can be broadcast: updated target = target LEFT JOIN
+      source, inserted rows = source LEFT ANTI target keys (a keys-only read),
+      and the target isn't shuffled;
+    * a larger one: a single FULL OUTER JOIN on the keys.  Target and source are
+      scanned once; that source keys are unique is checked on the way, by the
+      aggregation that brings the source to one row a key.
 
     ``insert_values`` maps a target column to the source column that fills
     it on insert (e.g. a generated id computed in the source beforehand).
@@ -158,6 +174,8 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     rows are inserted.  ``insert_unmatched=False`` is MERGE without the
     NOT MATCHED branch (an UPDATE ... FROM).
     """
+    if insert_unmatched and not broadcastable(source):
+        return _state_of(merge_pass(target, source, on, update_cols, insert_values, check_unique), target)
     if check_unique:
         assert_unique(source, on)
     insert_values = dict(insert_values or {})
@@ -165,7 +183,7 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     s_cols = list(source.columns)
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in s_cols]).withColumn("_m_s", F.lit(True))
     cond = [F.col(k) == F.col(f"_s_{k}") for k in on]
-    j = target.join(s, cond[0] if len(cond) == 1 else _and(cond), "left")
+    j = target.join(s, _and(cond), "left")
     matched = F.col("_m_s").isNotNull()
     updated = j.select(*[(F.when(matched, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in update_cols
                           else F.col(c)).alias(c) for c in tcols])
@@ -173,8 +191,7 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
         return updated
 
     tkeys = target.select(*[F.col(k).alias(f"_t_{k}") for k in on])
-    kcond = [F.col(k) == F.col(f"_t_{k}") for k in on]
-    new = source.join(tkeys, kcond[0] if len(kcond) == 1 else _and(kcond), "left_anti")
+    new = source.join(tkeys, _and([F.col(k) == F.col(f"_t_{k}") for k in on]), "left_anti")
 
     def src(c):
         if c in insert_values:
@@ -185,6 +202,45 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str],
     return updated.unionByName(inserted)
 
 
+def merge_pass(target: DataFrame, source: DataFrame, on: Sequence[str], update_cols: Sequence[str],
+               insert_values: Mapping[str, str] | None = None, check_unique: bool = True) -> DataFrame:
+    """MERGE as one full outer join: the new state with ``_change`` (kept, updated or inserted) and ``_repeats``,
+    the number of source rows of the row's key."""
+    insert_values = dict(insert_values or {})
+    keyed = source.withColumn("_alone", F.when(_and([F.col(k).isNotNull() for k in on]), F.lit(None).cast("bigint"))
+                              .otherwise(F.monotonically_increasing_id()))     # NULL keys never match, nor each other
+    if check_unique:
+        row = F.struct(*source.columns)
+        keyed = (keyed.select(*[F.col(k).alias(f"_k_{k}") for k in on], "_alone", row.alias("_row"))
+                 .groupBy(*[f"_k_{k}" for k in on], "_alone").agg(F.first("_row").alias("_row"), F.count(F.lit(1)).alias("_n")))
+        keyed = keyed.select(*[F.col(f"_k_{k}") for k in on], *[F.col("_row").getField(c).alias(f"_s_{c}") for c in source.columns], "_n", F.lit(True).alias("_m_s"))
+    else:
+        keyed = keyed.select(*[F.col(k).alias(f"_k_{k}") for k in on], *[F.col(c).alias(f"_s_{c}") for c in source.columns],
+                             F.lit(1).cast("bigint").alias("_n"), F.lit(True).alias("_m_s"))
+    j = target.withColumn("_m_t", F.lit(True)).join(keyed, _and([F.col(k) == F.col(f"_k_{k}") for k in on]), "full_outer")
+    old, new = F.col("_m_t").isNotNull(), F.col("_m_s").isNotNull()
+
+    def value(c: str) -> Column:
+        kind = target.schema[c].dataType
+        theirs = F.col(f"_s_{insert_values.get(c, c)}").cast(kind) if insert_values.get(c, c) in source.columns else F.lit(None).cast(kind)
+        mine = F.when(new, F.col(f"_s_{c}").cast(kind)).otherwise(F.col(c)) if c in update_cols else F.col(c)
+        return F.when(old, mine).otherwise(theirs).alias(c)
+
+    change = F.when(~old, "inserted").when(new, "updated").otherwise("kept")
+    return j.select(*[value(c) for c in target.columns], change.alias("_change"), F.coalesce("_n", F.lit(0)).alias("_repeats"))
+
+
+def _state_of(merged: DataFrame, target: DataFrame) -> DataFrame:
+    """The merged rows, once they are known to come from unique source keys: written, checked, read back."""
+    from lodestone.sources.snapshots import materialize
+
+    done = materialize(merged, "merged")
+    twice = done.filter("_repeats > 1").limit(1).collect()
+    if twice:
+        raise MergeCardinalityError(f"the source key of {dict(twice[0].asDict())} appears more than once")
+    return done.select(*target.columns)
+
+
 def _and(cols):
     acc = cols[0]
     for c in cols[1:]:
@@ -198,10 +254,14 @@ def upsert(target: DataFrame, rows: DataFrame, conflict_key: Sequence[str],
 
     A new row (no conflict) whose ``primary_key`` is in the target, or in
     another new row, violates the primary key: ``PrimaryKeyError``, and
-    nothing of the batch is applied (as a failed statement).
+    nothing of the batch is applied (as a failed statement).  As ``merge`` it
+    has a way for change sets that can be broadcast and one full outer pass,
+    whose result is checked before it is given out, for larger ones.
     """
-    assert_unique(rows, conflict_key, "upsert")
     ck = list(conflict_key)
+    if not broadcastable(rows):
+        return _upsert_pass(target, rows, ck, update_cols, list(primary_key or []))
+    assert_unique(rows, conflict_key, "upsert")
     fresh = rows.join(target.select(*ck), ck, "left_anti")
     if primary_key:
         pk = list(primary_key)
@@ -216,6 +276,22 @@ def upsert(target: DataFrame, rows: DataFrame, conflict_key: Sequence[str],
     return insert(upd, fresh.select(*[c for c in target.columns if c in fresh.columns]))
 
 
+def _upsert_pass(target: DataFrame, rows: DataFrame, ck: list[str], update_cols: Sequence[str], pk: list[str]) -> DataFrame:
+    """UPSERT by one full outer join; keys are checked on the rows that it has written."""
+    from lodestone.sources.snapshots import materialize
+
+    done = materialize(merge_pass(target, rows, ck, update_cols), "upserted")
+    twice = done.filter("_repeats > 1").limit(1).collect()
+    if twice:
+        raise MergeCardinalityError(f"upsert key of {dict(twice[0].asDict())} appears more than once")
+    if pk:
+        clash = (done.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_change") == "inserted").alias("_new"))
+                 .filter("_n > 1 AND _new").select(*pk).limit(1).collect())
+        if clash:
+            raise PrimaryKeyError(f"duplicate primary key {clash[0].asDict()}")
+    return done.select(*target.columns)
+
+
 # ---------------------------------------------------------------- partitions
 def replace_partition(state: DataFrame, new_rows: DataFrame, predicate: Column) -> DataFrame:
     """Delete the rows of one slice (e.g. a day) and load its new rows.  On

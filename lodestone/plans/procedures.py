@@ -7,7 +7,7 @@ one grouped query; running values (cumulative totals, "average so far",
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.dates import age_years, d, date_key, ts
@@ -17,6 +17,7 @@ from lodestone.operators.joins import bounded, scalar
 from lodestone.operators.windows import carry_forward, first_crossing, previous_avg, running_sum
 from lodestone.plans.registry import query, rd
 from lodestone.sources.tables import Tables
+from lodestone.sources.views import publish_dates
 
 DEC = "CAST({} AS DECIMAL(18,2))"
 AS_OF = "2002-01-01"
@@ -207,10 +208,12 @@ WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate <= TIMESTAMP '1998-01-
 GROUP BY 1, 2, 3""")
 def shift_report(spark, sf):
     """Per date x shift x mine report for a date range: one grouped query
-    over the range instead of one insert per date; the writer appends it
-    partitioned by ``report_date``."""
-    t = Tables(spark, sf)
-    li = t.lineitem.filter(F.col("l_shipdate").between(ts("1998-01-01"), ts("1998-01-15")))
+    over the range instead of one insert per date."""
+    return shift_report_of(Tables(spark, sf), "1998-01-01", "1998-01-15")
+
+
+def shift_report_of(t: Tables, start: str, end: str) -> DataFrame:
+    li = t.lineitem.filter(F.col("l_shipdate").between(ts(start), ts(end)))
     j = (li.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
          .join(bounded(t.nation), F.col("s_nationkey") == F.col("n_nationkey")))
     g = j.groupBy(F.to_date("l_shipdate").alias("report_date"),
@@ -224,9 +227,10 @@ def shift_report(spark, sf):
                     .alias("efficiency"))
 
 
-def append_shift_report(df, path: str) -> None:
-    """Append report rows; each run only adds its own dates' partitions."""
-    df.write.mode("append").partitionBy("report_date").parquet(path)
+def append_shift_report(df: DataFrame, path: str, dates: DataFrame | None = None) -> None:
+    """Append report rows; a date of the run (``dates``, those of the rows if
+    not given) that was reported before is replaced."""
+    publish_dates(df, path, "report_date", df if dates is None else dates)
 
 
 # ---------------------------------------------------------------- X9 / A31 / W17 / R6 / F31 / T17

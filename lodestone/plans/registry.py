@@ -56,6 +56,7 @@ PLAN_MODULES = (
     "procedures",
     "validation",
     "incremental",
+    "batch_jobs",
 )
 
 

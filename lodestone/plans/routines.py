@@ -78,13 +78,16 @@ def downtime_classes(spark, sf):
 
 
 # ---------------------------------------------------------------- X3 / J21
-def equipment_summary(t: Tables, date_from: str, date_to: str, equipment_id=None) -> DataFrame:
+def equipment_summary(t: Tables, date_from: str, date_to: str, equipment_id=None, machines: DataFrame | None = None) -> DataFrame:
     """get_equipment_summary: per machine and day, totals and tons/hour.
-    With ``equipment_id=None`` it is computed for every machine at once
-    (the LATERAL form)."""
+    With ``machines`` (s_suppkey) it is the LATERAL form: the outer keys go
+    sideways into the function, as a semi join on its scan, so only facts of
+    these machines are aggregated."""
     li = t.lineitem.filter(F.col("l_shipdate").between(ts(date_from), ts(date_to)))
     if equipment_id is not None:
         li = li.filter(F.col("l_suppkey") == equipment_id)
+    if machines is not None:
+        li = li.join(machines.select("s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
     hours = (F.col("l_tax") * 100).cast("decimal(18,2)")
     g = li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("report_date")).agg(
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_t"), F.sum("l_linenumber").alias("trips"),
@@ -114,11 +117,11 @@ FROM supplier s CROSS JOIN LATERAL (SELECT * FROM ({_ES_SQL.format(lo='1997-01-0
                                     WHERE q.l_suppkey = s.s_suppkey) x
 WHERE s.s_nationkey = 1""")
 def lateral_equipment_summary(spark, sf):
-    """``dim CROSS JOIN LATERAL get_equipment_summary(dim.id, ...)``: one
-    grouped pass over the facts, joined to the machines of the mine."""
+    """``dim CROSS JOIN LATERAL get_equipment_summary(dim.id, ...)``: the
+    function over the facts of the mine's machines, joined to their names."""
     t = Tables(spark, sf)
     s = t.supplier.filter(F.col("s_nationkey") == 1).select("s_suppkey", F.col("s_name").alias("equipment_name"))
-    rep = equipment_summary(t, "1997-01-01", "1997-03-31")
+    rep = equipment_summary(t, "1997-01-01", "1997-03-31", machines=s)
     return (s.join(rep, F.col("s_suppkey") == F.col("l_suppkey")).drop("s_suppkey", "l_suppkey")
             .orderBy("equipment_name", "report_date"))
 
@@ -277,20 +280,3 @@ dynamic_report_shift = _register_dynamic("shift", "dynamic_report_shift")
 dynamic_report_operator = _register_dynamic("operator", "dynamic_report_operator")
 dynamic_report_equipment = _register_dynamic("equipment", "dynamic_report_equipment")
 dynamic_report_type = _register_dynamic("equipment_type", "dynamic_report_type", "dimension_name ASC")
-
-
-# ---------------------------------------------------------------- D11 (telemetry)
-@query("archive_old_telemetry", """
-WITH a AS (SELECT COUNT(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-15')
-SELECT n AS archived, CASE WHEN n > 0 THEN n ELSE 0 END AS deleted,
-       (SELECT COUNT(*) FROM events) - CASE WHEN n > 0 THEN n ELSE 0 END AS remaining
-FROM a""")
-def archive_old_telemetry(spark, sf):
-    """archive_old_telemetry(before): copy older rows to the archive, delete
-    them only if something was copied; returns (archived, deleted,
-    remaining) from one pass."""
-    t = Tables(spark, sf)
-    c = t.events.agg(F.count_if(F.col("ts") < ts("2024-01-15")).alias("archived"),
-                     F.count(F.lit(1)).alias("_all"))
-    deleted = F.when(F.col("archived") > 0, F.col("archived")).otherwise(F.lit(0))
-    return c.select("archived", deleted.alias("deleted"), (F.col("_all") - deleted).alias("remaining"))

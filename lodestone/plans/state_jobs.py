@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from lodestone.functions.dates import ts
 from lodestone.operators.joins import bounded, scalar
-from lodestone.operators.state import (insert, insert_new_only, merge, tag_delete,
+from lodestone.operators.state import (insert, merge, tag_delete,
                                        row_index, update, update_where_in, upsert)
 from lodestone.plans.registry import query
 from lodestone.session import scratch_dir
@@ -77,35 +77,6 @@ def inline_values(spark, sf):
             .select("code", "mine_id", F.col("n_name").alias("mine_name")))
 
 
-# ---------------------------------------------------------------- D3 / J11
-_KEYS5 = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_orderkey"]
-
-
-@query("insert_new_only", f"""
-WITH target AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1997-03-21'),
-staging AS (SELECT l_orderkey * 10 + l_linenumber AS staging_id, *, l_returnflag <> 'R' AS is_validated
-            FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-03-10' AND l_shipdate < TIMESTAMP '1997-04-01')
-SELECT CAST(3000 + staging_id AS BIGINT) AS production_id, l_shipdate, CAST(l_linenumber AS BIGINT) AS l_linenumber,
-       l_partkey, l_suppkey, l_orderkey, l_quantity
-FROM staging s WHERE NOT EXISTS (
-  SELECT 1 FROM target p WHERE p.l_shipdate = s.l_shipdate AND p.l_linenumber = s.l_linenumber
-    AND p.l_partkey = s.l_partkey AND p.l_suppkey = s.l_suppkey AND p.l_orderkey = s.l_orderkey)
-  AND is_validated = true""")
-def insert_new_only_q(spark, sf):
-    """Idempotent load from staging: only validated rows whose 5-column
-    natural key is not yet in the target; new id = 3000 + staging id."""
-    t = Tables(spark, sf)
-    li = t.lineitem
-    target = li.filter((F.col("l_shipdate") >= ts("1997-03-01")) & (F.col("l_shipdate") < ts("1997-03-21")))
-    staging = (li.filter((F.col("l_shipdate") >= ts("1997-03-10")) & (F.col("l_shipdate") < ts("1997-04-01")))
-               .withColumn("staging_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-               .withColumn("is_validated", F.col("l_returnflag") != "R"))
-    _, new = insert_new_only(target, staging, _KEYS5, F.col("is_validated"))
-    return new.select((F.lit(3000) + F.col("staging_id")).cast("bigint").alias("production_id"), "l_shipdate",
-                      F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey", "l_suppkey",
-                      "l_orderkey", "l_quantity")
-
-
 # ---------------------------------------------------------------- D4 / R5
 _GRADE_SQL = """SELECT DISTINCT CAST(split_part(o_orderpriority, '-', 1) AS BIGINT) AS grade_id,
   split_part(o_orderpriority, '-', 2) AS grade_name, upper(left(split_part(o_orderpriority, '-', 2), 3)) AS grade_code
@@ -193,28 +164,6 @@ def delete_archive(spark, sf):
     return tagged.withColumn("archived_at", F.when(F.col("destination") == "archive", ts(ARCHIVED_AT)))
 
 
-# ---------------------------------------------------------------- D11
-ARCHIVE_BEFORE = "1996-01-01"
-
-
-@query("archive_split", f"""
-SELECT 'archive' AS destination, COUNT(*) AS row_count, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS tons
-FROM lineitem WHERE l_shipdate < TIMESTAMP '{ARCHIVE_BEFORE}'
-UNION ALL
-SELECT 'fact', COUNT(*), CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE)
-FROM lineitem WHERE NOT COALESCE(l_shipdate < TIMESTAMP '{ARCHIVE_BEFORE}', false)""")
-def archive_split(spark, sf):
-    """Archive every row older than a date (copy, then delete): both sides
-    come from one tagged pass; the counts confirm nothing is lost."""
-    t = Tables(spark, sf)
-    tagged = t.lineitem.select(
-        F.when(F.coalesce(F.col("l_shipdate") < ts(ARCHIVE_BEFORE), F.lit(False)), "archive")
-        .otherwise("fact").alias("destination"), "l_quantity")
-    return tagged.groupBy("destination").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("tons"))
-
-
 # ---------------------------------------------------------------- D8 / W3
 _CUST_TARGET = "SELECT c_custkey, c_name, c_mktsegment, c_acctbal, c_nationkey FROM customer WHERE c_acctbal < 7000"
 _CUST_SOURCE = """SELECT c_name, lower(c_mktsegment) AS c_mktsegment,

@@ -16,10 +16,10 @@ from lodestone.functions.kpi import (SENSOR_OUT_OF_RANGE, SENSOR_RANGES, SENSOR_
                                      safe_production_rate)
 from lodestone.functions.numeric import rnd
 from lodestone.operators.joins import bounded, scalar
-from lodestone.operators.quality import batch_gate, json_payload, range_check, tag
+from lodestone.operators.quality import json_payload, range_check, tag
 from lodestone.operators.state import merge, row_index
 from lodestone.plans.registry import ORACLE, query, rd
-from lodestone.session import scratch_dir
+from lodestone.session import checkpoint, scratch_dir
 from lodestone.sources.snapshots import materialize
 from lodestone.sources.tables import Tables
 
@@ -234,37 +234,54 @@ def _next_day(day: str) -> str:
 
 
 def daily_kpi(t: Tables, day: str, downtime_day: str) -> DataFrame:
-    """recalculate_daily_kpi for one date: every mine's KPIs from four
-    grouped facts left-joined to the mine dimension (mines without rows get
-    0 tons, NULL OEE / quality, 0 downtime)."""
-    # Range bounds as literals, so both ends are pushed into the parquet scan.
-    nxt = ts(_next_day(day))
-    prod = (t.lineitem.filter((F.col("l_shipdate") >= ts(day)) & (F.col("l_shipdate") < nxt))
+    """recalculate_daily_kpi for one date."""
+    return daily_kpis(t, [(day, downtime_day)])
+
+
+def daily_kpis(t: Tables, days: list[tuple[str, str]]) -> DataFrame:
+    """recalculate_daily_kpi for some dates (production day, downtime day) in one
+    grouped pass over each fact: every mine's KPIs of every date, left-joined to
+    the mine dimension (mines without rows get 0 tons, NULL OEE / quality, 0
+    downtime)."""
+    def of_days(col: str, which: list[str]):
+        """Rows of the days, as ranges that reach the scan, and the day's number in the list."""
+        hit = [(F.col(col) >= ts(day)) & (F.col(col) < ts(_next_day(day))) for day in which]
+        number = F.coalesce(*[F.when(h, F.lit(i)) for i, h in enumerate(hit)])
+        keep = hit[0]
+        for h in hit[1:]:
+            keep = keep | h
+        return keep, number.alias("_day")
+
+    produced, down_on = zip(*days)
+    keep, number = of_days("l_shipdate", produced)
+    prod = (t.lineitem.filter(keep)
             .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .groupBy(F.col("s_nationkey").cast("bigint").alias("_pm"))
+            .groupBy(number, F.col("s_nationkey").cast("bigint").alias("_m"))
             .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("_tons"),
                  (F.sum((F.col("l_tax") * 100).cast("decimal(18,2)"))
-                  * F.when(F.col("_pm") % 4 == 3, 3600).otherwise(1)).alias("_hours")))   # planted: hours given in seconds
-    dnxt = ts(_next_day(downtime_day))
-    down = (t.events.filter((F.col("ts") >= ts(downtime_day)) & (F.col("ts") < dnxt))
-            .join(t.customer.select("c_custkey", "c_nationkey"), F.col("user_id") == F.col("c_custkey"))
-            .groupBy(F.col("c_nationkey").cast("bigint").alias("_dm"))
+                  * F.when(F.col("_m") % 4 == 3, 3600).otherwise(1)).alias("_hours")))   # planted: hours given in seconds
+    of_customer = t.customer.select("c_custkey", "c_nationkey")
+    keep, number = of_days("ts", down_on)
+    down = (t.events.filter(keep).join(of_customer, F.col("user_id") == F.col("c_custkey"))
+            .groupBy(number, F.col("c_nationkey").cast("bigint").alias("_m"))
             .agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("_down")))
-    qual = (t.orders.filter((F.col("o_orderdate") >= ts(day)) & (F.col("o_orderdate") < nxt))
-            .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-            .groupBy(F.col("c_nationkey").cast("bigint").alias("_qm")).agg(F.avg(F.col("o_totalprice") / 10000).alias("_q")))
-    m = t.nation.select(F.col("n_nationkey").cast("bigint").alias("mine_id"))
-    # One row per mine on every side: the aggregates are bounded by the mine
-    # dimension and joined by broadcast (subject to the size check).
-    j = (m.join(bounded(prod, rows_of=t.nation), F.col("mine_id") == F.col("_pm"), "left")
-         .join(bounded(down, rows_of=t.nation), F.col("mine_id") == F.col("_dm"), "left")
-         .join(bounded(qual, rows_of=t.nation), F.col("mine_id") == F.col("_qm"), "left"))
+    keep, number = of_days("o_orderdate", produced)
+    qual = (t.orders.filter(keep).join(of_customer, F.col("o_custkey") == F.col("c_custkey"))
+            .groupBy(number, F.col("c_nationkey").cast("bigint").alias("_m")).agg(F.avg(F.col("o_totalprice") / 10000).alias("_q")))
+    # One row per mine and date on every side: bounded by the mine dimension
+    # and the dates asked for, joined by broadcast (subject to the size check).
+    dates = F.array(*[F.struct(F.lit(i).alias("_day"), F.lit(int(day.replace("-", ""))).cast("bigint").alias("date_id"), ts(f"{day} 23:59:00").alias("calculated_at"))
+                      for i, (day, _) in enumerate(days)])
+    j = t.nation.select(F.col("n_nationkey").cast("bigint").alias("_m"), F.explode(dates).alias("_d")).select("_m", "_d.*")
+    for side in (prod, down, qual):
+        j = j.join(bounded(side, rows_of=t.nation), ["_m", "_day"], "left")
     return j.select(
-        "mine_id", F.lit(int(day.replace("-", ""))).cast("bigint").alias("date_id"),
+        F.col("_m").alias("mine_id"), "date_id",
         F.coalesce(F.col("_tons").cast("double"), F.lit(0.0)).alias("tons_mined"),
         rnd(F.col("_hours").cast("double") / 24.0 * 100, 2).alias("oee_percent"),
         rnd(F.coalesce(F.col("_down").cast("double"), F.lit(0.0)) / 60.0, 2).alias("downtime_hours"),
-        rnd("_q", 2).alias("quality_score")).select("*", *_kpi_outcome()).withColumn("calculated_at", ts(f"{day} 23:59:00"))
+        rnd("_q", 2).alias("quality_score"), "calculated_at").select(
+        "mine_id", "date_id", "tons_mined", "oee_percent", "downtime_hours", "quality_score", *_kpi_outcome(), "calculated_at")
 
 
 def _kpi_outcome() -> list:
@@ -335,21 +352,21 @@ def kpi_upsert(spark, sf):
     days stay.  A mine whose calculation failed keeps its old figures and gets
     the status ERROR with the reason."""
     t = Tables(spark, sf)
-    prev = daily_kpi(t, "1998-01-14", "2024-01-14")
+    # Both days come from one grouped pass over the facts, written once: a few rows a mine.
+    figures = materialize(daily_kpis(t, [("1998-01-14", "2024-01-14"), (KPI_DAY, KPI_DOWNTIME_DAY)]), "daily_kpi")
+    prev, fresh = (figures.filter((F.col("date_id") == KPI_DAY_ID) == today) for today in (False, True))
     stale = t.nation.filter(F.col("n_regionkey") < 3).select(
         F.col("n_nationkey").cast("bigint").alias("mine_id"), F.lit(KPI_DAY_ID).cast("bigint").alias("date_id"),
         F.lit(7.0).alias("tons_mined"), F.lit("STALE").alias("status"))
-    stored = row_index(prev.unionByName(stale, allowMissingColumns=True), ["date_id", "mine_id"], out="kpi_id")
-    stored = materialize(stored.select("kpi_id", "mine_id", "date_id", *_KPI_COLS), "daily_kpi")
-    # The change set is read by both branches of the merge: written once.
-    fresh = daily_kpi(t, KPI_DAY, KPI_DOWNTIME_DAY)
+    # the stored table has one row a mine and date
+    stored = row_index(prev.unionByName(stale, allowMissingColumns=True), ["date_id", "mine_id"], out="kpi_id", bounded_rows=True)
+    stored = stored.select("kpi_id", "mine_id", "date_id", *_KPI_COLS)
     old = stored.select("mine_id", "date_id", *[F.col(c).alias(f"_old_{c}") for c in _KPI_FIGURES])
     failed = F.col("status") == "ERROR"
-    kept = fresh.join(old, ["mine_id", "date_id"], "left").select(
+    kept = fresh.join(bounded(old, rows_of=t.nation), ["mine_id", "date_id"], "left").select(
         "mine_id", "date_id", *[F.when(failed, F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) for c in _KPI_FIGURES], "status", "error_detail", "calculated_at")
     base = scalar(F.coalesce(F.max("kpi_id"), F.lit(0)), stored)
     src = row_index(kept, ["mine_id"], out="_rn", bounded_rows=True).withColumn("new_id", F.col("_rn") + base).drop("_rn")   # one row a mine
-    src = materialize(src, "kpi_changes")
     return merge(stored, bounded(src, rows_of=t.nation), ["mine_id", "date_id"], _KPI_COLS,
                  insert_values={"kpi_id": "new_id"}, check_unique=False)
 
@@ -379,7 +396,7 @@ def daily_staging(t: Tables, day: str) -> DataFrame:
 def process_daily_production(t: Tables, staging: DataFrame, date_id: int) -> DataFrame:
     """Validate a day's staging rows: the first failing rule is the reject
     reason; a day without staged rows is an error."""
-    day = staging.filter(F.col("date_id") == date_id)
+    day = materialize(staging.filter(F.col("date_id") == date_id), "staged_day")     # staged once: looked at here, then validated
     if day.isEmpty():
         raise ValueError(f"no staged rows for date {date_id}")
     return tag_daily(day, t.supplier.select(F.col("s_suppkey").alias("id")),
@@ -523,8 +540,8 @@ def apply_batch(state: DataFrame, deltas: DataFrame) -> tuple[DataFrame, DataFra
     only if none is negative (a scalar aggregate evaluated once),
     else the state is returned unchanged.  Returns (state, status row)."""
     d = deltas.groupBy(F.col("equipment_id").alias("_k")).agg(F.sum("delta").alias("_d"))
-    cand = (state.join(d, F.col("equipment_id") == F.col("_k"), "left")
-            .withColumn("_new", F.col("balance_tons") + F.coalesce(F.col("_d"), F.lit(0))))
+    cand = checkpoint(state.join(d, F.col("equipment_id") == F.col("_k"), "left")     # read by the verdict and the new state
+                      .withColumn("_new", F.col("balance_tons") + F.coalesce(F.col("_d"), F.lit(0))))
     status = cand.agg((F.min("_new") >= 0).alias("accepted"), F.min("_new").cast("double").alias("min_balance_after"))
     accepted = scalar(F.min("_new") >= 0, cand)
     out = (cand
@@ -581,78 +598,6 @@ def balance_batch_status(spark, sf):
     return balance_job(spark, Tables(spark, sf))[1]
 
 
-# ---------------------------------------------------------------- D14 / F27
-NEW_TONS = "150.75"
-
-
-@query("keyed_update_status", f"""
-WITH ch AS (
-  SELECT o_orderkey * 10 + 1 AS production_id FROM orders WHERE o_orderdate = TIMESTAMP '{LOAD_DAY}'
-  UNION ALL
-  SELECT o_orderkey * 10 + 8 FROM orders WHERE o_orderdate = TIMESTAMP '{LOAD_DAY}'),
-st AS (SELECT l_orderkey * 10 + l_linenumber AS production_id, l_quantity FROM lineitem)
-SELECT ch.production_id,
-  CASE WHEN st.production_id IS NULL THEN 'ERROR: record not found'
-       ELSE 'OK: tons_mined changed from ' || CAST(CAST(st.l_quantity AS DECIMAL(10,2)) AS VARCHAR) || ' to {NEW_TONS}' END AS result,
-  CASE WHEN st.production_id IS NULL THEN NULL ELSE CAST({NEW_TONS} AS DOUBLE) END AS new_tons
-FROM ch LEFT JOIN st ON ch.production_id = st.production_id""")
-def keyed_update_status(spark, sf):
-    """Keyed single-row updates with a per-change status: the change table
-    is joined to the state once (no row locks — Spark jobs see a snapshot)."""
-    t = Tables(spark, sf)
-    o = t.orders.filter(F.col("o_orderdate") == ts(LOAD_DAY)).select("o_orderkey")
-    # two change rows per order (an existing line and a missing one), one scan
-    ch = o.select(F.explode(F.array(F.col("o_orderkey") * 10 + 1, F.col("o_orderkey") * 10 + 8))
-                  .alias("production_id"))
-    st = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_pid"), "l_quantity")
-    j = ch.join(st, F.col("production_id") == F.col("_pid"), "left")
-    found = F.col("_pid").isNotNull()
-    return j.select("production_id",
-                    F.when(~found, F.lit("ERROR: record not found"))
-                    .otherwise(F.format_string("OK: tons_mined changed from %s to %s",
-                                               F.col("l_quantity").cast("decimal(10,2)").cast("string"),
-                                               F.lit(NEW_TONS))).alias("result"),
-                    F.when(found, F.lit(float(NEW_TONS))).alias("new_tons"))
-
-
-# ---------------------------------------------------------------- D15
-@query("partial_load", f"""
-WITH b AS (
-  SELECT 'fact_production' AS table_name, s.s_suppkey IS NOT NULL AS ok
-  FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey WHERE l.l_shipdate = TIMESTAMP '{LOAD_DAY}'
-  UNION ALL
-  SELECT 'fact_ore_quality', c.c_custkey IS NOT NULL
-  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderdate = TIMESTAMP '{LOAD_DAY}'
-  UNION ALL
-  SELECT 'fact_equipment_telemetry', c.c_custkey IS NOT NULL
-  FROM (SELECT CASE WHEN event_type = 'signup' THEN -user_id ELSE user_id END AS sensor_id FROM events
-        WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16') e
-  LEFT JOIN customer c ON e.sensor_id = c.c_custkey)
-SELECT table_name, COUNT(*) AS batch_rows, COUNT(*) FILTER (WHERE NOT ok) AS bad_rows,
-       COUNT(*) FILTER (WHERE NOT ok) = 0 AS accepted,
-       CASE WHEN COUNT(*) FILTER (WHERE NOT ok) = 0 THEN COUNT(*) ELSE 0 END AS loaded_rows
-FROM b GROUP BY table_name""")
-def partial_load(spark, sf):
-    """Savepoint-style partial load: three batches, each checked against its
-    reference table; a batch with any bad row is dropped whole, the others
-    load."""
-    t = Tables(spark, sf)
-    p = (t.lineitem.filter(F.col("l_shipdate") == ts(LOAD_DAY)).select("l_suppkey")
-         .join(t.supplier.select(F.col("s_suppkey").alias("_k")), F.col("l_suppkey") == F.col("_k"), "left")
-         .select(F.lit("fact_production").alias("table_name"), F.col("_k").isNotNull().alias("ok")))
-    q = (t.orders.filter(F.col("o_orderdate") == ts(LOAD_DAY)).select("o_custkey")
-         .join(t.customer.select(F.col("c_custkey").alias("_k")), F.col("o_custkey") == F.col("_k"), "left")
-         .select(F.lit("fact_ore_quality").alias("table_name"), F.col("_k").isNotNull().alias("ok")))
-    e = (t.events.filter(_range("ts", "2024-01-15", "2024-01-16"))
-         .select(F.when(F.col("event_type") == "signup", -F.col("user_id")).otherwise(F.col("user_id"))
-                 .alias("sensor_id"))
-         .join(t.customer.select(F.col("c_custkey").alias("_k")), F.col("sensor_id") == F.col("_k"), "left")
-         .select(F.lit("fact_equipment_telemetry").alias("table_name"), F.col("_k").isNotNull().alias("ok")))
-    g = batch_gate(p.unionByName(q).unionByName(e), "table_name", "ok")
-    return g.select("table_name", "batch_rows", "bad_rows", "accepted",
-                    F.when(F.col("accepted"), F.col("batch_rows")).otherwise(F.lit(0)).alias("loaded_rows"))
-
-
 # ---------------------------------------------------------------- C16
 @query("load_audit", f"""
 SELECT l_linenumber::BIGINT AS shift_id, count(*) AS total_records, sum({DEC.format('l_quantity')})::DOUBLE AS total_tons

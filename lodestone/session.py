@@ -70,6 +70,11 @@ def _checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share."""
+    return _checkpoint_root(spark).rstrip("/")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{_checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -20,8 +20,8 @@ ORDERS = {
     "downtime_by_category": "total_hours DESC", "director_quality": "mine_name, grade_name",
     "string_lengths": "all_chars DESC, p_partkey", "split_code": "type_code, o_orderkey", "operator_short_name": "surname_upper",
     "equipment_age": "commissioning_date, o_orderkey", "peak_hour": "cnt DESC, peak_hour",
-    "math_rounding": "fe_rounded DESC, o_orderkey", "topk_deviation": "abs_deviation DESC, o_orderkey", "shift_stats": "shift_id",
-    "reasons_by_equipment": "total_min DESC, equipment_id", "date_key_format": "date_id", "conditional_counts": "full_date",
+    "math_rounding": "fe_rounded DESC, o_orderkey", "topk_deviation": "distance DESC, o_orderkey", "shift_stats": "shift_id",
+    "reasons_by_equipment": "total_min DESC, equipment_id", "date_key_format": "date_id", "conditional_counts": "day",
     "safe_kpi": "tons_per_trip DESC NULLS FIRST, full_name", "downtime_categories": "total_hours DESC",
     "semi_exists": "alarm_count DESC, equipment_name", "missing_days": "full_date", "topn_lateral": "mine_name, duration_min, event_id",
     "share_of_total": "tons DESC, equipment_name", "running_total": "mine_name, full_date", "moving_avg_7_14": "full_date",
