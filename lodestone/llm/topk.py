@@ -7,11 +7,13 @@ and with it score(q, x) = (|q|^2 + |x|^2 - |q - x|^2) / 2 at most.
 
 Candidates are packed into blocks around their nearest pivot (a crowded pivot
 has many blocks), queries likewise.  First each query meets the block that it
-lies in itself, which gives a k-th score to beat.  Then every block of queries
-meets every block of candidates: a query leaves a block whose range of pivot
-distances can't reach its k-th score, the rest of the block is put in order of
-the bound and evaluated until no bound can reach the k-th score.  The queries
-are a stated set, so the pairs of blocks are their work against all rows.
+lies in itself, which gives a k-th score to beat.  Then the outlines of blocks
+(ranges of pivot distances, the largest norm, the least score to beat) say which
+pairs of a block of queries and one of candidates can matter; only these are
+shipped.  In a task a query leaves a block that can't reach its own k-th score,
+the rest of the block is put in order of the bound and evaluated until no bound
+can reach it.  The queries are a stated set, so the pairs of blocks are their
+work against all rows.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.operators.joins import bounded
+
 from . import common
 
 #: Pivots; rows from which they are chosen (a sample by hash, the only part that is sampled).
@@ -68,7 +72,10 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 def choose_pivots(rows: DataFrame, count: int = PIVOTS, sample: int = SAMPLE) -> dict[int, np.ndarray]:
     """Per vector length: up to ``count`` distinct vectors, each as far as can be from those before."""
-    picked = rows.select("v").distinct().orderBy(F.xxhash64("v")).limit(sample).collect()
+    # of the vectors with the least hashes, a few times as many as are wanted, before any of them is moved
+    share = min(1.0, 4 * sample / max(1, rows.count()))
+    low = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) < int(share * (1 << 30))
+    picked = rows.select("v").where(low).distinct().orderBy(F.xxhash64("v")).limit(sample).collect() or rows.select("v").limit(1).collect()
     by_length: dict[int, list] = {}
     for r in picked:
         by_length.setdefault(len(r.v), []).append(r.v)
@@ -180,6 +187,39 @@ def _packed(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.groupBy("dim", "block").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
 
 
+def _outlines(blocks: DataFrame, beat: bool) -> DataFrame:
+    """(dim, block, low, high, most, beat): of the vectors of packed blocks the ranges of distances to pivots, the
+    largest square norm, and the least score to beat (NULL if a query has none)."""
+    kinds = [("dim", pa.int32()), ("block", pa.int64()), ("low", pa.list_(pa.float32())), ("high", pa.list_(pa.float32())), ("most", pa.float64()), ("beat", pa.int64())]
+
+    @common.released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in range(batch.num_rows):
+                row = batch.slice(r, 1)
+                v, d = (_matrix(row.column(c).flatten()) for c in (2, 3))
+                known = row.column(4).flatten().to_pylist() if beat else [None]
+                out.append((row.column(0)[0].as_py(), row.column(1)[0].as_py(), d.min(0).astype(np.float32), d.max(0).astype(np.float32),
+                            float((v * v).sum(1).max()), None if None in known else min(known)))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, (_, kind) in enumerate(kinds)], names=[n for n, _ in kinds])
+
+    columns = ["dim", "block", F.col("rows.v"), F.col("rows.d"), *[F.col("rows.beat")] * beat]
+    return blocks.select(*columns).mapInArrow(run, "dim int, block long, low array<float>, high array<float>, most double, beat long")
+
+
+def _pairs(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(dim, asked, block): which block of queries may find something in which block of candidates, by their outlines."""
+    q = _outlines(queries, True).select("dim", F.col("block").alias("asked"), *[F.col(c).alias(f"q_{c}") for c in ("low", "high", "most", "beat")])
+    x = common.checkpoint(_outlines(candidates, False).drop("beat"))
+    both = common.checkpoint(q).join(bounded(x), "dim")
+    apart = F.zip_with(F.zip_with("low", "q_high", lambda a, b: a - b), F.zip_with("q_low", "high", lambda a, b: a - b), lambda a, b: F.greatest(a, b))
+    slack = 1e-3 * (1 + F.array_max("q_high")) + 1e-6 * F.sqrt(F.greatest("q_most", "most"))  # rounded distances: bounds stay bounds
+    gap = F.greatest(F.array_max(apart) - slack, F.lit(0.0))
+    bound = (F.col("q_most") + F.col("most") - gap * gap) / 2 + 1e-6 * (F.col("q_most") + F.col("most") + 1)
+    return both.where(F.col("q_beat").isNull() | (bound >= F.col("q_beat"))).select("dim", "asked", "block")
+
+
 def top_k(vectors: DataFrame, k: int = 20, query_step: int = 20, scale: int = 64, pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Each query's k best vectors: query_id, rank, vec_id, score.
 
@@ -210,10 +250,9 @@ def top_k(vectors: DataFrame, k: int = 20, query_step: int = 20, scale: int = 64
     near = met(_packed(asked.withColumn("beat", F.lit(None).cast("long")), "vec_id", "v", "beat", "d"))
     near = near.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s"))
     beat = near.select(F.col("query_id").alias("vec_id"), F.when(F.size("s") >= k, F.element_at("s", k)).alias("beat"))
-    # every block of queries against every block of candidates of the same length
-    asked = _numbered(asked.drop("block").join(beat, "vec_id", "left"), QUERY_ROWS)
-    last = common.checkpoint(rows.groupBy("dim").agg(F.max("block").alias("last")))  # one row a length
-    queries = _packed(asked, "vec_id", "v", "beat", "d").drop("block").join(last, "dim")
-    found = met(queries.select("dim", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("block"), "rows"))
+    # blocks of queries against those blocks of candidates of the same length that may have a better score
+    asked = common.checkpoint(_packed(_numbered(asked.drop("block").join(beat, "vec_id", "left"), QUERY_ROWS), "vec_id", "v", "beat", "d"))
+    queries = asked.select("dim", F.col("block").alias("asked"), "rows")
+    found = met(_pairs(asked, blocks).join(queries, ["dim", "asked"]).select("dim", "block", "rows"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -62,3 +62,28 @@ def test_fewer_bounds_evaluated_than_rows():
     finally:
         topk._scorer = real
     assert sum(seen) < 5 * 3000
+
+
+def test_only_blocks_that_may_matter_are_shipped(spark):
+    """Clusters far from each other: a block of queries meets the blocks of its own cluster, not all."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    centres = [[rng.choice([-1.0, 1.0]) * 2 for _ in range(16)] for _ in range(12)]
+    rows = [(i, [c + rng.gauss(0, 0.02) for c in centres[i % 12]]) for i in range(1200)]
+    shipped = []
+    real = topk._pairs
+
+    def counted(queries, candidates):
+        pairs = real(queries, candidates)
+        shipped.append((pairs.count(), queries.count() * candidates.count()))
+        assert pairs.groupBy("dim", "asked", "block").count().where(F.col("count") > 1).isEmpty()
+        return pairs
+
+    topk._pairs = counted
+    try:
+        assert run(spark, rows, k=5, block_rows=40, query_step=5) == plain(rows, k=5, step=5)
+    finally:
+        topk._pairs = real
+    (pairs, every), = shipped
+    assert pairs < every / 3
