@@ -177,7 +177,11 @@ def line_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with the lines that stay; documents of which no line with words stays go, unless they had none."""
+    """``docs`` with the lines that stay; documents of which no line with words stays go, unless they had none.
+
+    Repeated rows are treated alike; NULL and blank texts stay as they are; all
+    columns stay, whatever their names; an empty table gives an empty result.
+    """
     keyed = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     joined = keyed.join(kept_lines(docs), ["doc", "text_hash"], "left")
     own = F.col("row.text")

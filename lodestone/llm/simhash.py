@@ -268,7 +268,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, most_bits: int = MOST_B
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, most_bits: int = MOST_BITS, most_in_bucket: int = MOST_IN_BUCKET) -> DataFrame:
-    """``docs`` with exactly one row of each group: the smallest by doc_id (NULL last), then by a hash of the text; of rows that repeat both, any one."""
+    """``docs`` with exactly one row of each group: the smallest by doc_id (NULL last), then by a hash of the text; of rows that repeat both, any one.
+
+    NULL and empty texts are one group, as their fingerprints are equal; all
+    columns stay, whatever their names; an empty table gives an empty result.
+    """
     rows = common.checkpoint(_hashed(docs, words))
     own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     least = _least_of_groups(rows, own, most_bits, most_in_bucket)

@@ -469,7 +469,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
-    """``docs`` with the bytes that stay; what a cut leaves of a broken character goes with it, and so does a document of which only white space is left."""
+    """``docs`` with the bytes that stay; what a cut leaves of a broken character goes with it, and so does a document of which only white space is left.
+
+    Repeated rows are copies of each other; texts without a repeated string stay
+    as they are, NULL and blank ones too; all columns stay, whatever their names;
+    an empty table gives an empty result.
+    """
     ranges = _of_documents(docs, length, **options)
     keyed = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     joined = keyed.join(ranges, ["doc", "text_hash"], "left").select("row", "ranges", F.col("row.text").alias("text"))

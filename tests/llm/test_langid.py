@@ -80,3 +80,73 @@ def test_rejected_rows_go(spark):
     kept = langid.identified(frame, langid.train(frame))
     assert kept.columns == frame.columns
     assert {r.doc_id for r in kept.collect()} == {*range(80), 902}
+
+
+def test_scripts_that_nothing_was_learned_of(spark):
+    """Their letters speak for no language: the score tells it, and the pipeline's form drops such texts."""
+    latin = [(i, EN if i % 2 else DE, "en" if i % 2 else "de") for i in range(80)]
+    odd = [(900, RU, None), (901, "語 中文 日本", None), (902, f"{EN} {RU} {RU} {RU}", None), (903, f"{EN} {EN} 語", None)]
+    frame = docs(spark, latin + odd)
+    model = langid.train(frame)
+    got = {r.doc_id: r for r in langid.identify(frame, model).collect()}
+    assert got[900].score == got[901].score == 0 and got[900].lang_pred in ("en", "de")
+    share = sum(map(str.isalpha, EN)) / sum(map(str.isalpha, f"{EN}{RU}{RU}{RU}"))
+    assert got[902].lang_pred == "en" and abs(got[902].score - share) < 1e-9 and got[903].score > 0.9
+    assert {r.doc_id for r in langid.identified(frame, model).collect()} == {*range(80), 903}
+
+
+def test_predictions_against_plain_counting(spark):
+    """Trigram counts, script shares, word scores and the best path of every text, all in plain Python."""
+    import math
+    import unicodedata
+
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([(EN, "en"), (DE, "de"), (RU, "ru"), (EN[5:], "en"), (DE[7:], "de")] * 8)]
+    rows += [(500 + i, t, None) for i, t in enumerate(["the satz is", "dieser english", f"we {RU}", "nicht want lang it", "Das IST english"])]
+    frame = docs(spark, rows)
+    model = langid.train(frame)
+
+    def split(text):
+        out, word = [], ""
+        for c in text + " ":
+            if unicodedata.category(c).startswith("L"):
+                word += c.lower()
+            elif word:
+                out.append(word)
+                word = ""
+        return out
+
+    def bucket(gram):  # as the model hashes three letters (0 outside a word)
+        x = sum(ord(c) * m if c else 0 for c, m in zip(gram, (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))) & 0xFFFFFFFF
+        x ^= x >> 15
+        return (x * 0x2C1B3C6D & 0xFFFFFFFF) >> (32 - langid.BUCKETS.bit_length() + 1)
+
+    def grams(word):
+        padded = ["", *word, ""]
+        return [bucket(padded[i:i + 3]) for i in range(len(word))]
+
+    counts = {}
+    for i, t, lang in rows:
+        if lang and zlib.crc32(str(i).encode()) % 5:
+            for w in split(t):
+                for g in grams(w):
+                    counts.setdefault(lang, {}).setdefault(g, 0)
+                    counts[lang][g] += 1
+    names = sorted(counts)
+    script = {"en": "latin", "de": "latin", "ru": "cyrillic"}
+
+    def score(word, lang):
+        total = sum(counts[lang].values()) + langid.SMOOTHING * langid.BUCKETS
+        return sum(math.log((counts[lang].get(g, 0) + langid.SMOOTHING) / total) for g in grams(word))
+
+    got = {r.doc_id: r for r in langid.identify(frame, model).collect()}
+    for i, t, _ in rows:
+        words = split(t)
+        kind = ["cyrillic" if "а" <= w[0] <= "я" else "latin" for w in words]
+        best = None
+        for path in itertools.product(*[[n for n in names if script[n] == k] for k in kind]) if len(words) < 12 else []:
+            value = sum(score(w, n) for w, n in zip(words, path)) - langid.SWITCH_PENALTY * sum(a != b for a, b in zip(path, path[1:]))
+            if best is None or value > best[0] + 1e-6:
+                best = (value, path)
+        if best:
+            letters = {n: sum(len(w) for w, p in zip(words, best[1]) if p == n) for n in names}
+            assert got[i].score == max(letters.values()) / sum(letters.values()) and letters[got[i].lang_pred] == max(letters.values()), t

@@ -102,3 +102,21 @@ def test_repeated_rows_and_ids(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
     assert sorted((r.doc_id or 0, r.text) for r in docs.collect()) == sorted([(1, a), (0, b), (5, c), (5, d)])
+
+
+def test_clashing_names_and_a_very_long_text(spark):
+    """Further columns named like the stages' own come through; a text longer than any batch is handled whole."""
+    rng = random.Random(2)
+    long = "\n".join(" ".join(rng.choices(["some", "english", "words", "that", "differ", str(rng.random())], k=12)) for _ in range(30_000))
+    rows = [(1, long, 1, "a", 2, "x"), (2, "a short english text about words", 3, "b", 4, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept int, row string, component_id int, text_hash string")
+    from lodestone.llm import langid, lines, simhash, suffixes
+
+    train = spark.createDataFrame([(i, "some english words that differ about a short text", "en") for i in range(10)], "doc_id long, text string, lang string")
+    model = langid.train(train)
+    for stage in (lambda d: langid.identified(d, model), lines.without_duplicates, simhash.keep_one, suffixes.without_repeats):
+        after = stage(docs)
+        assert after.columns == docs.columns
+        assert sorted(after.drop("text").collect()) == sorted(docs.drop("text").collect())
+        assert stage(docs.limit(0)).count() == 0
+    assert {r.doc_id: len(r.text) for r in langid.identified(docs, model).collect()} == {1: len(long), 2: len(rows[1][1])}

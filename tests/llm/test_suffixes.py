@@ -75,3 +75,29 @@ def test_merge_of_two_shards():
     suffixes.merge(one, np.array([0, 1]), two, np.array([0, 1]))
     assert one.ranges(0) == [(4, 5)] and one.ranges(1) == [(4, 5)]
     assert two.ranges(0) == [(2, 3)] and two.ranges(1) == [(0, 1)]
+
+
+@pytest.mark.parametrize("copies", [1, 3])
+def test_a_hot_passage_makes_no_more_rows_than_pieces(spark, copies):
+    """One passage in ever changing surroundings, with whole copies beside it, dealt through all levels of anchors."""
+    rng = random.Random(12)
+    passage = "".join(rng.choices("abcdefgh ", k=150))
+    texts = ["".join(rng.choices("abcdefgh ", k=60)) + passage + "".join(rng.choices("abcdefgh ", k=60)) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts * copies)] + [(1000 + i, texts[0]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    options = {"length": 100, "anchors": (20, 60, 100), "most_kinds": 8, "shard_bytes": 4000}
+    got = sorted(map(tuple, suffixes.remove_repeats(docs, **options).collect()))
+    assert got == sorted(plain(rows, 100))
+    found = suffixes.repeated_starts(docs, **options)
+    assert found.count() <= suffixes.pieces(docs, 100, 20).count()
+
+
+def test_a_very_long_text(spark):
+    """Longer than what is anchored at a time: a passage far apart in one text."""
+    rng = random.Random(4)
+    passage = "P" + "".join(rng.choices("abcdefghij", k=500)) + "Q"
+    far = "".join(rng.choices("klmnopqrstuvwxyz", k=2_600_000))
+    text = far[:1_300_000] + "1" + passage + "2" + far[1_300_000:] + "3" + passage + "4"
+    got, = suffixes.remove_repeats(spark.createDataFrame([(1, text)], "doc_id long, text string"), with_text=True).collect()
+    assert (got.n_bytes, got.n_removed, got.n_spans) == (len(text), 2 * len(passage), 2)
+    assert bytes(got.kept).decode() == text.replace(passage, "")
