@@ -101,3 +101,49 @@ def test_held_out_documents_by_language(spark):
         (n, right), (clean, wrong) = by[lang, 1], by[lang, 0]
         assert right >= 0.75 * n and wrong <= 0.02 * clean, (lang, by)
     print(sorted(by.items()))
+
+
+def test_severity_against_plain_python(spark):
+    """Features, scores and expected grades of every text, computed word by word."""
+    import math
+    import re
+
+    texts = [None, "", "Bad bad WORDS badly said", "fine words here", "worse worst worsen", "bad worse", "a b c", "ünfein Bad-bad"]
+
+    def named(text):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        out = set(words) | {w + "+" for w in words if words.count(w) > 1}
+        for k in (3, 4, 5, 6):
+            starts = [w[:k] for w in set(words) if len(w) >= k]
+            out |= {"^" + p for p in starts}
+            out |= {"^" + p + "+" for p in starts if starts.count(p) > 1 or any(w[:k] == p and words.count(w) > 1 for w in words)}
+        return out
+
+    weights = {"bad": 1.5, "bad+": 0.7, "^wor": 0.4, "^wor+": 0.9, "^worse": -0.3, "fine": -1.0, "ünfein": 0.2}
+    hashes = {zlib.crc32(w.encode()): v for w, v in weights.items()}
+    order = sorted(hashes)
+    thresholds = [0.5, 1.25, 3.0]
+    model = toxicity.Model(np.array(order), np.array([hashes[h] for h in order]), np.array(thresholds))
+    got = {r.doc_id: r for r in toxicity.severity(spark.createDataFrame([(i, t, 9) for i, t in enumerate(texts)], DOCS), model).collect()}
+    for i, t in enumerate(texts):
+        score = sum(v for w, v in weights.items() if w in named(t))
+        p = [1 / (1 + math.exp(c - score)) for c in thresholds]
+        assert abs(got[i].expected_severity - sum(p)) < 1e-9 and abs(got[i].toxic_probability - p[0]) < 1e-9
+        assert got[i].grade == sum(x >= 0.5 for x in p) and got[i].toxic == (p[0] >= 0.5)
+
+
+def test_fit_against_a_search_of_all_parameters(spark):
+    """One feature and two thresholds: the fitted likelihood is that of the best point of a fine grid."""
+    rng = np.random.default_rng(6)
+    held = rng.random(600) < 0.4
+    chance = np.where(held, 0.8, 0.2)
+    grade = (rng.random(600) < chance).astype(int) + (rng.random(600) < chance * 0.5).astype(int)
+    rows = spark.createDataFrame([(int(g), 1.0, [0] if h else []) for g, h in zip(grade, held)], "grade int, weight double, at array<long>").repartition(2)
+    model = toxicity.descend(rows, np.array([7]), [float((grade == g).sum()) for g in range(3)])
+
+    def loss(w, t):
+        sizes = held.astype(int)
+        return toxicity.gradient(toxicity.Model(np.array([7]), np.array([w]), np.array(t)), np.zeros(sizes.sum(), int), sizes, grade, np.ones(600))[2]
+
+    best = min(loss(w, (a, a + d)) for w in np.arange(0, 5, 0.25) for a in np.arange(-1, 3, 0.2) for d in np.arange(0.2, 4, 0.2))
+    assert loss(float(model.weights[0]), model.thresholds) <= best * 1.002 and (np.diff(model.thresholds) > 0).all()
