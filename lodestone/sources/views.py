@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.operators.joins import bounded
-from lodestone.session import scratch_dir
+from lodestone.session import checkpoint, scratch_dir
 
 _SUM = "decimal(38,6)"
 
@@ -74,10 +73,11 @@ class AggregateView:
         ``base_after`` is the base with the changes made; it is read for the
         groups computed again only.
         """
-        plus, minus = self._aggregated(inserted), self._aggregated(deleted)
+        plus, minus = checkpoint(self._aggregated(inserted)), checkpoint(self._aggregated(deleted))
         touched = plus.select(*self.keys).unionByName(minus.select(*self.keys)).distinct().alias("k")
-        parts = bounded(touched.select(F.col(f"k.{self.part}").alias("_part")).distinct())
-        old = self._stored().join(parts, F.col(self.part).eqNullSafe(F.col("_part")), "left_semi")
+        parts = [r[0] for r in touched.select(f"k.{self.part}").distinct().collect()]     # of the view's folders, those with a change
+        known = F.col(self.part).isin([p for p in parts if p is not None])
+        old = self._stored().filter(known | F.col(self.part).isNull() if None in parts else known)     # the others aren't listed or read
         given = (old.alias("o").join(touched, self._same("o", "k"), "full_outer")
                  .select(*[F.coalesce(f"o.{c}", f"k.{c}").alias(c) if c in self.keys else F.col(f"o.{c}").alias(c) for c in old.columns]))
         merged = given.alias("s").join(plus.alias("p"), self._same("s", "p"), "left").join(minus.alias("m"), self._same("s", "m"), "left")

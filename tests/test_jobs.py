@@ -258,6 +258,8 @@ def test_refresh_computes_only_groups_that_lost_an_extreme(spark, scratch):
     view = AggregateView(spark, scratch + "/view", ["g", "m"], ["v"], "m").build(spark.createDataFrame(data, schema))
     import os
     files = {p: os.path.getmtime(p) for p in (os.path.join(d, f) for d, _, fs in os.walk(scratch + "/view/m=m2") for f in fs)}
+    os.remove(next(p for p in files if p.endswith(".parquet")))      # nothing reads the other part either
+    files = {p: t for p, t in files.items() if os.path.exists(p) and not p.endswith(".crc")}
     gone = [("a", "m1", Decimal(2)), ("b", "m1", Decimal(3))]      # the middle of one group, the largest of another
     after = [x for x in data if x not in gone]
     redo = view.refresh(spark.createDataFrame(after, schema), spark.createDataFrame([], schema), spark.createDataFrame(gone, schema))
