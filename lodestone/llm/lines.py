@@ -1,12 +1,15 @@
 """Line deduplication by a deletion-neighbourhood join, in DataFrame functions only.
 
 A line's words are its runs of non-white characters.  Equal lines are found by
-a 128-bit hash of their words.  Lines of at least ``LEAST_WORDS`` words are also
-duplicates within one word inserted, deleted or replaced.
-
-*Fewer variants.*  Two lines one edit apart agree on their first or on their
-last ``EDGE`` words, whichever the edit doesn't touch; lines that share neither
-with another line are done.  The others are cut into ``q`` segments; the line
+a 128-bit hash of their words, which stands for them.  Lines of at least
+``LEAST_WORDS`` words are also duplicates within one word inserted, deleted or
+replaced.
+
+*Fewer variants.*  Two lines of 2 k words or more that are one edit apart agree on
+their first or on their last k words, whichever the edit doesn't touch (k is
+``EDGE``, and half of that for lines of fewer than 2 ``EDGE`` words, with which
+lines of just so many are compared both ways); lines that share neither with
+another line are done.  The others are cut into ``q`` segments; the line
 without one segment is a hashed key, and only where two lines share such a key
 are variants made, with one word of that segment deleted.
 
@@ -14,7 +17,7 @@ are variants made, with one word of that segment deleted.
 are a replacement apart, all of them: a group needs only its earliest line,
 found by an aggregation that combines map-side.  A line of m + 1 words that
 equals, with a word deleted, a whole line of m words is an insertion apart.
-Every link is verified on the words of both lines before a line goes.
+Every such link is verified on the words of both lines before a line goes.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lodestone.session import scratch_dir
 
-LEAST_WORDS, EDGE, SEGMENTS = 8, 4, 4
+LEAST_WORDS, EDGE, SEGMENTS = 4, 4, 4
 _ID = ["doc", "text_hash", "line"]
 
 
@@ -57,16 +60,19 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """The earliest place of each different line, its number of words and the hashes of its edges (NULL for short lines)."""
+    """The earliest place of each different line, its number of words and the hashes of its edges (none for very short lines)."""
     rows = lines_of(docs)
     n = F.size("words")
-    long = n >= LEAST_WORDS
-    hashed = rows.select(
-        F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), F.col("words")).alias("b"), F.struct(*_ID).alias("place"), n.alias("n"),
-        F.when(long, F.xxhash64(F.lit("first"), F.slice("words", 1, EDGE))).alias("first_words"),
-        F.when(long, F.xxhash64(F.lit("last"), F.slice("words", -EDGE, EDGE))).alias("last_words"))
-    found = hashed.groupBy("a", "b").agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ("n", "first_words", "last_words")])
-    return found.select("place.*", "n", "first_words", "last_words")
+
+    def edges(k: int, some: Column) -> Column:
+        first, last = F.xxhash64(F.lit(f"first {k}"), F.slice("words", 1, k)), F.xxhash64(F.lit(f"last {k}"), F.slice("words", -k, k))
+        return F.when(some, F.array(first, last)).otherwise(F.array().cast("array<bigint>"))
+
+    wide = edges(EDGE, n >= 2 * EDGE)
+    narrow = edges(EDGE // 2, (n >= LEAST_WORDS) & (n <= 2 * EDGE))
+    hashed = rows.select(F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), F.col("words")).alias("b"), F.struct(*_ID).alias("place"), F.concat(wide, narrow).alias("edges"))
+    found = hashed.groupBy("a", "b").agg(F.min("place").alias("place"), F.first("edges").alias("edges"))
+    return found.select("place.*", "edges")
 
 
 def _shared(rows: DataFrame, key: list[str], least: Column) -> DataFrame:
@@ -77,7 +83,7 @@ def _shared(rows: DataFrame, key: list[str], least: Column) -> DataFrame:
 
 def _candidates(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(doc, text_hash, line, words) of lines that share an edge with another line."""
-    edges = lines.where("n >= %d" % LEAST_WORDS).select(*_ID, F.explode(F.array("first_words", "last_words")).alias("edge"))
+    edges = lines.select(*_ID, F.explode("edges").alias("edge"))
     some = _shared(edges, ["edge"], F.count("*") > 1)
     wanted = some.groupBy("doc", "text_hash").agg(F.collect_set("line").alias("wanted"))
     texts = _documents(docs).select("doc", "text_hash", "text").join(wanted, ["doc", "text_hash"])

@@ -28,7 +28,7 @@ def plain(rows):
             w = words(line)
             if not w:
                 continue
-            near = any(w == v or (len(w) >= 8 and len(v) >= 8 and abs(len(w) - len(v)) <= 1 and distance(w, v) <= 1) for v in seen)
+            near = any(w == v or (len(w) >= 4 and len(v) >= 4 and abs(len(w) - len(v)) <= 1 and distance(w, v) <= 1) for v in seen)
             if not near:
                 kept.append(i)
             seen.append(w)
@@ -96,6 +96,18 @@ def test_documents_without_their_duplicate_lines(spark):
     assert {r.doc_id: r.text for r in kept.collect()} == {1: "a\n\nb", 2: "c\n", 4: None, 5: " "}
 
 
+@pytest.mark.parametrize("n", [3, 4, 5, 7, 8, 9])
+def test_lines_of_every_short_length(spark, n):
+    """Each line with every word deleted, replaced, and with a word put in at every place."""
+    base = [f"w{i}" for i in range(n)]
+    rows = [(0, " ".join(base))]
+    rows += [(1 + i, " ".join(base[:i] + base[i + 1:])) for i in range(n)] + [(50 + i, " ".join(base[:i] + ["new"] + base[i + 1:])) for i in range(n)]
+    rows += [(100 + i, " ".join(base[:i] + ["more"] + base[i:])) for i in range(n + 1)]
+    got = {r.doc_id: r.kept_lines for r in lines.line_duplicates(frame(spark, rows)).collect()}
+    assert got == plain(rows)
+    assert sum(len(k) for k in got.values()) == (1 if n > 4 else 1 + n if n == 4 else len(rows))
+
+
 @pytest.mark.parametrize("m", [8, 9, 100, 5000])
 def test_segments_cover_the_line(spark, m):
     from pyspark.sql import functions as F
