@@ -80,7 +80,21 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op8_suffix_array_dedup")
+@query("op8_suffix_array_dedup", """
+WITH bytes AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+starts AS (SELECT r, unnest(range(n - 199)) AS i, h FROM bytes WHERE n >= 200),
+hashed AS (SELECT r, i, md5_number(h[i + 1:i + 200]) AS s FROM starts),
+hit AS (SELECT r, i FROM hashed WHERE s IN (SELECT s FROM hashed GROUP BY s HAVING count(*) > 1)),
+run AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM hit),
+numbered AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS k FROM run),
+span AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY r, k),
+cut AS (SELECT r, a, b, lead(a) OVER (PARTITION BY r ORDER BY a) AS next_a, row_number() OVER (PARTITION BY r ORDER BY a) AS k FROM span),
+piece AS (
+  SELECT r, 0 AS k, h[1:coalesce(a, n)] AS kept, 0 AS gone, 0 AS spans FROM bytes LEFT JOIN (SELECT r, min(a) AS a FROM span GROUP BY r) USING (r)
+  UNION ALL SELECT r, k, h[b + 1:coalesce(next_a, n)], b - a, 1 FROM cut JOIN bytes USING (r)),
+whole AS (SELECT r, string_agg(hex(kept), '' ORDER BY k) AS kept, sum(gone)::BIGINT AS n_removed, sum(spans)::BIGINT AS n_spans FROM piece GROUP BY r)
+SELECT doc_id, n::BIGINT AS n_bytes, n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256 FROM bytes JOIN whole USING (r)
+""")
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(common.read(spark, sf_dir, "documents"))
 
