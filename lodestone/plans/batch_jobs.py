@@ -66,8 +66,8 @@ def archive_old_telemetry(spark, sf):
     """Telemetry before a date goes to the archive; what isn't in the new fact table is deleted."""
     events = Tables(spark, sf).events
     job = archive_job(events, F.col("ts") < ts(TELEMETRY_BEFORE), "archive_events")
-    return events.agg(F.lit(job.counts["archived"]).alias("archived"),
-                      (F.count(F.lit(1)) - F.lit(job.counts["remaining"])).alias("deleted"), F.lit(job.counts["remaining"]).alias("remaining"))
+    archived, remaining = (F.lit(job.counts[side]).cast("bigint") for side in ("archived", "remaining"))
+    return events.agg(archived.alias("archived"), (F.count(F.lit(1)) - remaining).alias("deleted"), remaining.alias("remaining"))
 
 
 # ---------------------------------------------------------------- D3 / J11

@@ -7,7 +7,6 @@ is only created locally when the session has none configured (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 

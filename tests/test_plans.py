@@ -85,6 +85,7 @@ def test_bucketed_fact_tables_join_without_exchange(spark):
 # bounded independently of the data volume.
 UNPARTITIONED_WINDOW_OK = {
     "downtime_categories": "one row per downtime class (4)",
+    "sorted_positions": "one row per range partition (offsets of row_index)",
     "downtime_classes": "one row per class (5)",
     "moving_avg_7_14": "one row per day of a quarter",
     "moving_anomaly": "one row per day of a quarter",
