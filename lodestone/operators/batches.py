@@ -105,45 +105,94 @@ def load_batches(checked: DataFrame, table: str, day: str, ok: str, tables: Sequ
 
 
 # ---------------------------------------------------------------- atomic batches
+AMOUNT = "decimal(38,4)"
+
+
+def _moves(accounts: DataFrame, entries: DataFrame, key: str, balance: str, batch: str, amount: str) -> DataFrame:
+    """A row for each batch and account that it moves (``_b``, ``_k``).
+
+    ``_a`` is the sum of its entries, ``_open`` the opening balance (NULL: unknown
+    account), ``_own`` ``_a`` itself (where the key stands for several rows of
+    ``accounts``, the running sum over them), ``_undated`` what the NULL batch,
+    which comes first, has moved before.
+    """
+    def nothing(c: Column) -> Column:
+        return F.coalesce(c, F.lit(0)).cast(AMOUNT)
+
+    net = entries.groupBy(F.col(batch).alias("_b"), F.col(key).alias("_k")).agg(nothing(F.sum(amount)).alias("_a"))
+    held = accounts.select(F.col(key).alias("_k"), F.col(balance).cast(AMOUNT).alias("_open"))
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    undated = F.sum(F.when(F.col("_b").isNull(), F.col("_a"))).over(Window.partitionBy("_k").orderBy("_b", "_open").rowsBetween(*upto))
+    return checkpoint(net.join(held, "_k", "left").repartition("_k").select(
+        "_k", "_b", "_open", "_a", F.sum("_a").over(Window.partitionBy("_k", "_b").orderBy("_open").rowsBetween(*upto)).cast(AMOUNT).alias("_own"),
+        nothing(F.when(F.col("_b").isNotNull(), undated)).alias("_undated")))
+
+
+def _tried(rows: DataFrame, guesses: Sequence[str], undated: Column) -> DataFrame:
+    """What each batch would leave if the batches before it were taken as a guess says (boolean columns of ``rows``).
+
+    A row for each batch: for each guess itself, ``low_`` the lowest balance and ``ok_``
+    whether the batch can be taken.  All guesses share one window over the sums.
+    """
+    before = Window.partitionBy("_k").orderBy("_b", "_open").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    zero = F.lit(0).cast(AMOUNT)
+    opening = F.col("_open") + F.when(undated, F.col("_undated")).otherwise(zero)
+    left = rows.select("_b", *guesses, *[
+        (opening + F.coalesce(F.sum(F.when(F.col(g) & F.col("_b").isNotNull(), F.col("_a"))).over(before), zero)
+         + F.when(F.col(g) & F.col("_b").isNotNull(), zero).otherwise(F.col("_own"))).alias(f"after_{g}") for g in guesses])
+    return left.groupBy("_b").agg(*[c for g in guesses for c in (
+        F.first(g).alias(g), F.min(f"after_{g}").alias(f"low_{g}"),
+        (F.count_if((F.col(f"after_{g}") < 0) | F.col(f"after_{g}").isNull()) == 0).alias(f"ok_{g}"))])
+
+
 def transfer_batches(accounts: DataFrame, entries: DataFrame, key: str, balance: str, batch: str, amount: str) -> tuple[DataFrame, DataFrame]:
     """Apply batches of entries in order, each whole or not at all: none may leave an account below zero.
 
     Entries are first summed by batch and account (map-side, so an account in
-    a third of all entries is a row a batch).  Running balances over the order of
-    the batches then show the first batch that must be refused, given that all
-    before it are taken; it goes, and the balances after it are looked at again.
-    So a round is a job over the sums, and there are as many as refused batches
-    and one more.  Returns (final balances, verdicts: batch, accepted, lowest
-    balance that the batch would leave on one of its accounts).  Entries of
-    unknown accounts refuse their batch, as a foreign key would (no lowest
-    balance if it has no other); NULL amounts count as nothing.
+    a third of all entries is a row a batch).  A round guesses every verdict and works out each batch's
+    from running balances of the batches before it that the guess takes.  Up to
+    and with the first batch whose guess was wrong, these verdicts are final; they
+    are the guess of the next round, and with no wrong guess all are.  Each round
+    also tries the final ones followed by all taken and by all refused, and goes
+    on from the guess that holds longest: so there is at most a round for each
+    refused batch and one more, or a round for each one taken and two more, and
+    mostly far fewer.  A round is one job over the sums; it writes its verdicts, a
+    row for each batch, and the next round and the balances read them back.
+
+    Returns (final balances, verdicts: batch, accepted, lowest balance that the
+    batch would leave on one of its accounts).  Entries of unknown accounts refuse
+    their batch, as a foreign key would (no lowest balance if it has no other);
+    NULL amounts count as nothing.  The NULL batch comes first, is never refused,
+    and goes without a verdict at the first refused one.
     """
-    net = checkpoint(entries.groupBy(F.col(batch).alias("_b"), F.col(key).alias("_k"))
-                     .agg(F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,4)").alias("_a")))
-    held = accounts.select(F.col(key).alias("_k"), F.col(balance).cast("decimal(38,4)").alias("_open"))
-    moves = checkpoint(net.join(held, "_k", "left"))
-    order = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = (F.col("_open") + F.sum("_a").over(order)).alias("_after")
-    refused: list = []
-    lowest = None
+    spark = accounts.sparkSession
+    moves = _moves(accounts, entries, key, balance, batch, amount)
+    guesses, undated, first = ["taken"], F.lit(True), None
+    rows = moves.withColumn("taken", F.lit(True))
     while True:
-        live = moves.filter(~F.col("_b").isin(refused)) if refused else moves
-        after = live.select("_b", "_k", running)
-        wrong = after.filter((F.col("_after") < 0) | F.col("_after").isNull())
-        if refused:
-            wrong = wrong.filter(F.col("_b") > F.lit(refused[-1]))
-        first = wrong.agg(F.min("_b")).first()[0]
-        done = after if first is None else after.filter(F.col("_b") <= F.lit(first))
-        if refused:
-            done = done.filter(F.col("_b") > F.lit(refused[-1]))
-        seen = done.groupBy("_b").agg(F.min("_after").alias("_low")).withColumn("_ok", F.lit(True) if first is None else F.col("_b") < F.lit(first))
-        lowest = seen if lowest is None else lowest.unionByName(seen)
-        if first is None:
+        path, seen = scratch_dir(spark, "transfers"), Observation("transfers")
+        tried = _tried(rows, guesses, undated)
+        wrong = [F.min(F.when(F.col(g) != F.col(f"ok_{g}"), F.col("_b"))).alias(g) for g in guesses]
+        tried.observe(seen, *wrong).write.parquet(path)
+        holds = seen.get
+        settled = next((g for g in guesses if holds[g] is None), None)
+        best = settled or max(guesses, key=lambda g: holds[g])
+        verdicts = spark.read.schema(tried.schema).parquet(path).select("_b", F.col(f"ok_{best}").alias("_ok"), F.col(f"low_{best}").alias("_low"))
+        if settled:
             break
-        refused.append(first)
-    lowest = checkpoint(lowest)
-    taken = moves.filter(F.col("_open").isNotNull() & ~F.col("_b").isin(refused)) if refused else moves.filter(F.col("_open").isNotNull())
-    total = taken.groupBy(F.col("_k").alias("_key")).agg(F.sum("_a").alias("_sum"))
+        if first is None:
+            first, undated = holds[best], F.col("_b") <= F.lit(holds[best])
+        final = F.col("_b") <= F.lit(holds[best])
+        guesses = ["again", "taken", "refused"]
+        guess = verdicts.select("_b", F.col("_ok").alias("again"), (F.col("_ok") | ~final).alias("taken"), (F.col("_ok") & final).alias("refused"))
+        rows = moves.join(bounded(guess), "_b")
+    live = moves.filter(F.col("_open").isNotNull())
+    if first is None:
+        verdicts = verdicts.withColumn("_ok", F.lit(True))
+    else:
+        verdicts = verdicts.filter(F.col("_b").isNotNull())
+        live = live.join(bounded(verdicts.filter("_ok").select("_b")), "_b", "left_semi")
+    total = live.groupBy(F.col("_k").alias("_key")).agg(F.sum("_a").alias("_sum"))
     final = (accounts.join(total, F.col(key) == F.col("_key"), "left")
-             .withColumn(balance, (F.col(balance) + F.coalesce("_sum", F.lit(0))).cast("decimal(38,4)")).drop("_key", "_sum"))
-    return final, lowest.select(F.col("_b").alias(batch), F.col("_ok").alias("accepted"), F.col("_low").alias("lowest_after"))
+             .withColumn(balance, (F.col(balance) + F.coalesce("_sum", F.lit(0))).cast(AMOUNT)).drop("_key", "_sum"))
+    return final, verdicts.select(F.col("_b").alias(batch), F.col("_ok").alias("accepted"), F.col("_low").alias("lowest_after"))

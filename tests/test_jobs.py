@@ -190,6 +190,61 @@ def test_transfers_against_one_by_one(spark, seed):
     assert sorted((r.b, r.accepted, r.lowest_after) for r in verdicts.collect()) == want
 
 
+def _transferred(spark, accounts, entries):
+    final, verdicts = transfer_batches(spark.createDataFrame(accounts, "k long, held decimal(18,2)"),
+                                       spark.createDataFrame(entries, "b int, k long, a decimal(18,2)"), "k", "held", "b", "a")
+    return sorted((r.k, r.held) for r in final.collect()), sorted(((r.b, r.accepted, r.lowest_after) for r in verdicts.collect()), key=lambda v: (v[0] is not None, v))
+
+
+def test_refused_batches_do_not_cost_a_round_each(spark):
+    accounts = [(0, Decimal(1)), (1, Decimal(500)), (2, Decimal(0))]
+    entries = [x for b in range(40) for x in ((b, b % 2, Decimal(-30)), (b, 2, Decimal(30)))]       # even ones overdraw account 0, odd ones soon account 1
+    spark.sparkContext.setJobGroup("refused", "many refused batches")
+    try:
+        got = _transferred(spark, accounts, entries)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("refused"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == one_by_one(accounts, entries)
+    assert sum(not ok for _, ok, _ in got[1]) == 24 and jobs < 24
+
+
+def test_one_refused_batch_before_a_chain_takes_two_rounds(spark, monkeypatch):
+    from lodestone.operators import batches
+    rounds, tried = [], batches._tried
+    monkeypatch.setattr(batches, "_tried", lambda *a: rounds.append(1) or tried(*a))
+    accounts = [(0, Decimal(10)), (1, Decimal(1)), *[(k, Decimal(0)) for k in range(2, 14)]]
+    entries = [(1, 0, Decimal(-100)), (1, 1, Decimal(-1))]
+    entries += [x for b in range(2, 14) for x in ((b, b - 1, Decimal(-1)), (b, b, Decimal(1)))]     # each needs what the one before has paid in
+    assert _transferred(spark, accounts, entries) == one_by_one(accounts, entries)
+    assert len(rounds) == 2
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_many_transfers_with_mixed_verdicts(spark, seed):
+    rng = random.Random(seed)
+    accounts = [(k, Decimal(rng.randint(0, 60))) for k in range(8)]
+    entries = [(b, k, Decimal(rng.choice((-1, 1)) * rng.randint(1, 20))) for b in range(60) for k in rng.sample(range(8), 2)]
+    got = _transferred(spark, accounts, entries)
+    assert got == one_by_one(accounts, entries)
+    assert {ok for _, ok, _ in got[1]} == {True, False}
+
+
+def test_transfers_without_a_batch(spark):
+    accounts = [(1, Decimal(10)), (2, Decimal(0))]
+    entries = [(None, 1, Decimal(-4)), (None, 2, Decimal(4)), (1, 1, Decimal(-6)), (1, 2, Decimal(6))]
+    assert _transferred(spark, accounts, entries) == ([(1, 0), (2, 10)], [(None, True, 4), (1, True, 0)])
+    entries.append((2, 1, Decimal(-1)))
+    assert _transferred(spark, accounts, entries) == ([(1, 4), (2, 6)], [(1, True, 0), (2, False, -1)])
+    assert _transferred(spark, accounts, entries[:0]) == ([(1, 10), (2, 0)], [])
+
+
+def test_transfers_of_an_account_that_comes_twice(spark):
+    accounts = [(1, Decimal(10)), (1, Decimal(10)), (2, Decimal(0))]
+    entries = [(b, k, a) for b in (1, 2, 3) for k, a in ((1, Decimal(-4)), (2, Decimal(4)))]
+    assert _transferred(spark, accounts, entries) == ([(1, 2), (1, 2), (2, 4)], [(1, True, 2), (2, False, -6), (3, False, -6)])
+
+
 # ---------------------------------------------------------------- merge in one pass
 def _scans(plan, table):
     return sum("FileScan" in x and table in x for x in plan.splitlines())
